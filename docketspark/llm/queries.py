@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.llm import op7_mixing
+from docketspark.llm import op3_quality, op7_mixing
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,7 +16,12 @@ def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op7_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3_quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 QUERIES = {
+    "op3_quality_classifier": op3_quality_classifier,
     "op7_mixing_sources": op7_mixing_sources,
 }
 ORACLES: dict[str, str] = {}
