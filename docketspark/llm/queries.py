@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.llm import op3_quality, op7_mixing, op9_toxicity
+from docketspark.llm import op3_quality, op7_mixing, op9_toxicity, op10_simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +24,14 @@ def op9_toxicity_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op9_toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op10_simhash.with_edits(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op3_quality_classifier": op3_quality_classifier,
     "op7_mixing_sources": op7_mixing_sources,
     "op9_toxicity_classifier": op9_toxicity_classifier,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLES: dict[str, str] = {}
