@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.llm import op3_quality, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
+from docketspark.llm import op2_jaccard, op3_quality, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -36,7 +36,12 @@ def op6_decontamination_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_jaccard.jaccard_join(_table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
 QUERIES = {
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op6_decontamination_hits": op6_decontamination_hits,
     "op7_mixing_sources": op7_mixing_sources,
