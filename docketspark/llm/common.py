@@ -24,12 +24,13 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: lineage ends there."""
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
+    """Writes df as Parquet in the shared folder and reads it back: lineage ends there. clear_written leaves it if keep is set."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    _written.append(path)
+    if not keep:
+        _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

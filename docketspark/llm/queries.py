@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.llm import op2_jaccard, op3_quality, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
+from docketspark.llm import op2_jaccard, op3_quality, op4_suffix, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,9 +40,14 @@ def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_jaccard.jaccard_join(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
 
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4_suffix.removals(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
+    "op4_suffix_dedup": op4_suffix_dedup,
     "op6_decontamination_hits": op6_decontamination_hits,
     "op7_mixing_sources": op7_mixing_sources,
     "op8_language_id": op8_language_id,
