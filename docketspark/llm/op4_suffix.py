@@ -430,13 +430,14 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
     Bytes of a character that a cut leaves incomplete go too; an `n_chars` column follows the new text;
     null texts stay null.
     """
+    names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text")
             kept = [k.decode("utf-8", "ignore") for _, _, k in _cut(batch.column("_spans"), *text_bytes(column))]
             text = pa.array([k if v else None for k, v in zip(kept, column.is_valid().to_pylist(), strict=True)], pa.string())
-            yield pa.RecordBatch.from_arrays([text if c == "text" else batch.column(c) for c in docs.columns], docs.columns)
+            yield pa.RecordBatch.from_arrays([text if c == "text" else batch.column(c) for c in names], names)
 
     marked = _with_spans(docs, length).select(*docs.columns, "_spans")
     out = marked.mapInArrow(run, docs.schema)
