@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docketspark.llm import op2_jaccard, op3_quality, op4_suffix, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
+from docketspark.llm import op1_chat, op2_jaccard, op3_quality, op4_suffix, op5_warc, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,14 +44,53 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4_suffix.removals(_table(spark, sf_dir, "documents"))
 
 
+def op1_chat_roles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1_chat.recover(_table(spark, sf_dir, "conversations"))
+
+
+#: In the audited replica the body's first byte is overwritten where this holds of the id.
+DAMAGED = "pmod(page_id, 50) = 7"
+
+
+def op5_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    damaged = pages.withColumn("html", F.when(F.expr(DAMAGED), F.expr("concat('#', substring(html, 2))")).otherwise(F.col("html")))
+    return op5_warc.audited(op5_warc.archived(pages), op5_warc.archived(damaged))
+
+
+OP5_SQL = """
+with framed as (
+  select page_id, page_id // 1000 as file,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+         || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: '
+         || cast(strlen(html) as varchar) || chr(13) || chr(10) || chr(13) || chr(10) || html
+         || chr(13) || chr(10) || chr(13) || chr(10) as bytes,
+         page_id % 50 = 7 as damaged
+  from pages),
+laid as (
+  select page_id, file, cast(strlen(bytes) as bigint) as length, damaged, sha256(bytes) as own from framed),
+placed as (
+  select page_id, file, row_number() over (partition by file order by page_id, own) - 1 as record,
+         cast(coalesce(sum(length) over (partition by file order by page_id, own rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset",
+         length, own, damaged
+  from laid)
+select page_id, file, record, "offset", length,
+       sha256(cast("offset" as varchar) || ':' || cast(length as varchar) || ':' || own) as digest,
+       case when damaged then 'corrupt' else 'intact' end as status
+from placed
+"""
+
+
 QUERIES = {
+    "op1_chat_roles": op1_chat_roles,
     "op2_jaccard_join": op2_jaccard_join,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_warc_fixity": op5_warc_fixity,
     "op6_decontamination_hits": op6_decontamination_hits,
     "op7_mixing_sources": op7_mixing_sources,
     "op8_language_id": op8_language_id,
     "op9_toxicity_classifier": op9_toxicity_classifier,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL}
