@@ -1,6 +1,369 @@
-"""Registered queries and their DuckDB oracles."""
+"""Registered queries over the generated tables, and their DuckDB oracles."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from docketspark.functions import fingerprint as fp
+from docketspark.functions import textquality as tq
+from docketspark.functions.resilience import RetryPolicy, schedule
+from docketspark.operators import breaker, citations, dedup, report, stats, textquality
+from docketspark.operators.validate import errors, issue_rows, validate, warnings
+from docketspark.plans.cases_view import CASES_SQL, cases, tables
+from docketspark.plans.schema import CASE_SCHEMA, FieldSpec, with_field, without_field
+from docketspark.sources import connectors, store
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+
+
+def _register(name: str, query: Query, sql: str | None = None, view: bool = True) -> None:
+    QUERIES[name] = query
+    if sql:
+        ORACLES[name] = f"with {CASES_SQL}\n{sql.strip()}" if view and not sql.strip().startswith("with") else sql.replace("{cases}", CASES_SQL)
+
+
+# --- citations -------------------------------------------------------------------------------------------------
+
+_TYPES_SQL = """
+found as (
+  select id, 'case_citation' as type, unnest(list_distinct(regexp_extract_all(text, '\\d{4}\\s+[A-Z]{2,6}\\s+\\d+'))) as citation from cases
+  union all select id, 'statute_section', unnest(list_distinct(regexp_extract_all(text, '[Ss]ection\\s+\\d+[A-Za-z]?(?:\\s*\\([a-z0-9]+\\))?'))) from cases
+  union all select id, 'article', unnest(list_distinct(regexp_extract_all(text, '[Aa]rticle\\s+\\d+[A-Za-z]?(?:\\s*\\([a-z0-9]+\\))?'))) from cases
+  union all select id, 'order_rule', unnest(list_distinct(regexp_extract_all(text, '[Oo]rder\\s+[IVXLCDM]+\\s+[Rr]ule\\s+\\d+'))) from cases)
+"""
+_FOUND = "with {cases}, " + _TYPES_SQL.strip() + "\n"
+
+_register("citation_extract", lambda s, d: citations.citations_by_type(cases(s, d)), _FOUND + "select id, type, citation from found")
+_register(
+    "citation_type_counts",
+    lambda s, d: citations.citations_by_type(cases(s, d)).groupBy("type").agg(F.count(F.lit(1)).alias("n"), F.count_distinct("citation").alias("n_unique")),
+    _FOUND + "select type, count(*) as n, count(distinct citation) as n_unique from found group by type",
+)
+_register("citation_counts", lambda s, d: citations.citation_counts(cases(s, d)), _FOUND + "select id, citation, count(*) as n from found group by id, citation")
+_register(
+    "citation_top20", lambda s, d: citations.most_cited(cases(s, d)),
+    _FOUND + "select citation, count(*) as n from found group by citation order by n desc, citation limit 20",
+)
+_register(
+    "citation_summary", lambda s, d: citations.citation_summary(cases(s, d)),
+    _FOUND + """select (select count(*) from cases) as cases_analyzed, count(distinct id) as cases_with_citations,
+      count(*) as total_citations, count(distinct citation) as unique_citations,
+      count(*)::double / greatest((select count(*) from cases), 1) as avg_per_case from found""",
+)
+CUSTOM_PATTERNS = {"reporter_year": r"(\d{4})\s+SC\s+\d+", "article": r"Article\s+\d+"}
+_register(
+    "citation_custom_pattern", lambda s, d: citations.citations_by_type(cases(s, d), CUSTOM_PATTERNS),
+    "with {cases}, " + _TYPES_SQL.strip() + """
+    select * from found where type <> 'article'
+    union all select id, 'article', unnest(list_distinct(regexp_extract_all(text, 'Article\\s+\\d+'))) from cases
+    union all select id, 'reporter_year', unnest(list_distinct(regexp_extract_all(text, '(\\d{4})\\s+SC\\s+\\d+', 1))) from cases""",
+)
+
+# --- corpus statistics -----------------------------------------------------------------------------------------
+
+_register(
+    "stats_courts_top10", lambda s, d: stats.court_distribution(cases(s, d)),
+    "select coalesce(court, 'Unknown') as court, count(*) as n from cases group by 1 order by n desc, court limit 10",
+)
+_register("stats_years", lambda s, d: stats.year_distribution(cases(s, d)), "select coalesce(cast(year as varchar), 'Unknown') as year, count(*) as n from cases group by 1")
+_register(
+    "stats_judges_top10", lambda s, d: stats.judge_frequency(cases(s, d)),
+    "select judge, count(*) as n from (select unnest(judges) as judge from cases) group by judge order by n desc, judge limit 10",
+)
+_TEXT = "cast(coalesce(round_even(avg({x}), 0), 0) as bigint) as avg_length{k}, cast(coalesce(max({x}), 0) as bigint) as max_length{k}, cast(coalesce(min({x}), 0) as bigint) as min_length{k}, count({x}) as cases_with_text{k}"
+_register("stats_text_length", lambda s, d: stats.text_stats(cases(s, d)), "select count(*) as total_cases, " + _TEXT.format(x="nullif(length(text), 0)", k="") + " from cases")
+_P1, _P2 = (1992, 1994), (1995, 1998)
+_register(
+    "stats_compare_periods", lambda s, d: stats.compare_periods(cases(s, d), _P1, _P2),
+    "select *, total_cases_2 - total_cases_1 as case_count_change, avg_length_2 - avg_length_1 as avg_length_change from (select "
+    + ", ".join(
+        f"count_if(year between {a} and {b}) as total_cases_{k}, " + _TEXT.format(x=f"case when year between {a} and {b} then nullif(length(text), 0) end", k=f"_{k}")
+        for k, (a, b) in enumerate((_P1, _P2), 1)
+    ) + " from cases)",
+)
+_register(
+    "store_year_counts", lambda s, d: store.year_counts(cases(s, d)),
+    "select coalesce(cast(year as varchar), 'unknown') as year_key, count(*) as n from cases where id <> '' group by 1",
+)
+
+# --- text quality ----------------------------------------------------------------------------------------------
+
+_PHRASES = ("all rights reserved", "disclaimer", "terms of use", r"copyright \d{4}", "click here", r"page \d+ of \d+", "login required")
+_BOILER = " + ".join(f"(length(t) - length(regexp_replace(t, '{p}', '', 'gi')))" for p in _PHRASES)
+
+
+def _quality_sql(source: str) -> str:
+    return f"""
+counted as (
+  select id, case when t <> '' then t end as t from {source}),
+flagged as (
+  select id, t, length(t) as chars,
+    len(list_filter(regexp_split_to_array(t, '\\s+'), lambda x: x <> '')) as word_count,
+    len(list_filter(regexp_split_to_array(t, '[.!?]+'), lambda x: regexp_matches(x, '\\S'))) as sentence_count
+  from counted),
+marked as (
+  select *, regexp_matches(t, '\\s{{10,}}') as excessive_whitespace, regexp_matches(t, '<[a-zA-Z][^>]*>') as html_tags,
+    regexp_matches(t, '[ï¿½â€™œ]') as encoding_errors, regexp_matches(t, '\\.\\.\\.\\s*$') or word_count < 50 as truncated,
+    ({_BOILER})::double / chars > 0.3 as boilerplate_heavy from flagged),
+summed as (
+  select *, excessive_whitespace::int + html_tags::int + encoding_errors::int + truncated::int + boilerplate_heavy::int as artifact_count from marked)
+select id, t is null as is_empty, cast(word_count as int) as word_count, cast(sentence_count as int) as sentence_count,
+  case when sentence_count > 0 then word_count::double / sentence_count when t is not null then 0.0::double end as avg_sentence_length,
+  excessive_whitespace, html_tags, encoding_errors, truncated, boilerplate_heavy, artifact_count,
+  coalesce(cast(greatest(1.00 - case when word_count < 50 then 0.40 when word_count < 200 then 0.10 else 0.00 end - artifact_count * 0.15, 0.00) as double), 0.0::double) as quality_score
+from summed"""
+
+
+_register(
+    "text_quality", lambda s, d: textquality.text_quality(cases(s, d)),
+    "with {cases}, texts as (select id, text as t from cases), " + _quality_sql("texts").strip(),
+)
+_register(
+    "text_quality_pages", lambda s, d: textquality.text_quality(tables(s, d, "pages")[0], "page_id", "html"),
+    "with texts as (select page_id as id, html as t from pages), " + _quality_sql("texts").strip(), view=False,
+)
+_register(
+    "text_quality_artifacts",
+    lambda s, d: textquality.text_quality(cases(s, d)).agg(*[F.count_if(a).alias(a) for a in tq.ARTIFACTS], F.count_if("is_empty").alias("empty")),
+    "with {cases}, texts as (select id, text as t from cases), quality as (with " + _quality_sql("texts").strip() + ")\nselect "
+    + ", ".join(f"count_if({a}) as {a}" for a in tq.ARTIFACTS) + ", count_if(is_empty) as empty from quality",
+)
+_register(
+    "boilerplate_ratio", lambda s, d: tables(s, d, "documents")[0].select("doc_id", tq.boilerplate_ratio(F.col("text")).alias("ratio")),
+    f"select doc_id, case when length(t) > 0 then ({_BOILER})::double / length(t) else 0.0::double end as ratio from (select doc_id, text as t from documents)",
+    view=False,
+)
+
+# --- validation ------------------------------------------------------------------------------------------------
+
+_SPECS = {s.name: s for s in CASE_SCHEMA}
+#: A schema with a longest length, a check and another weight, and without the fields the view lacks.
+CUSTOM_SCHEMA = with_field(
+    with_field(
+        without_field(without_field(without_field(without_field(CASE_SCHEMA, "headnotes"), "statutes_cited"), "text"), "court"),
+        FieldSpec("text", True, ("str",), 100, 3000, weight=2.0),
+    ),
+    FieldSpec("court", True, ("str",), 2, check=lambda c: F.when(c.startswith("I"), F.concat(F.lit("Unlikely court "), c)), weight=0.5),
+)
+
+
+def _field_sql(spec: FieldSpec, kind: str, extra: str = "") -> tuple[str, str]:
+    """(score, issue) of one string field; doubles throughout."""
+    c, low = spec.name, spec.min_length
+    must = "error" if spec.required else "warning"
+    issue = lambda sev, msg, val="null": f"{{'field': '{c}', 'severity': '{sev}', 'message': {msg}, 'value': {val}}}"
+    score, said = [f"when {c} is null then 0e0"], [f"when {c} is null then " + (issue("error", "'Required field is missing'") if spec.required else "null")]
+    full = "1e0"
+    if kind == "str":
+        if low:
+            score.append(f"when length({c}) < {low} then least(length({c})::double / {low}, 8e-1)")
+            said.append(f"when length({c}) < {low} then " + issue(must, f"'Too short: ' || length({c}) || ' chars (min: {low})'"))
+            full = f"greatest(least(length({c})::double / {10 * low}, 1e0), 9e-1)"
+        if spec.max_length:
+            score.append(f"when length({c}) > {spec.max_length} then 9e-1")
+            said.append(f"when length({c}) > {spec.max_length} then " + issue("warning", f"'Too long: ' || length({c}) || ' chars (max: {spec.max_length})'"))
+        if spec.pattern:
+            score.append(f"when not regexp_matches({c}, '{spec.pattern}') then 7e-1")
+            said.append(f"when not regexp_matches({c}, '{spec.pattern}') then " + issue("warning", "'Does not match expected pattern'", f"substr({c}, 1, 100)"))
+    if extra:
+        score.append(f"when {extra} then 8e-1")
+        said.append(f"when {extra} then " + issue("warning", f"'Unlikely court ' || {c}"))
+    return f"case {' '.join(score)} else {full} end", f"case {' '.join(said)} end"
+
+
+def _validated_sql(schema: tuple[FieldSpec, ...], where: str = "true") -> str:
+    kinds = {"year": "int", "judges": "list"}
+    parts = []
+    for s in schema:
+        if s.name in ("headnotes", "statutes_cited"):
+            parts.append((s, "0e0", "null"))
+        else:
+            parts.append((s, *_field_sql(s, kinds.get(s.name, "str"), "court like 'I%'" if s.check else "")))
+    total = sum(s.weight for s in schema)
+    weighted = " + ".join(f"s{k} * {s.weight:e}" for k, (s, _, _) in enumerate(parts))
+    scores = ", ".join(f"{sc} as s{k}" for k, (_, sc, _) in enumerate(parts))
+    issues = ", ".join(x for _, _, x in parts if x != "null")
+    return f"""checked as (select coalesce(id, '<unknown>') as case_id, {scores}, list_filter([{issues}], lambda x: x is not null) as issues from cases where {where}),
+validated as (select *, ({weighted}) / {total:.17e} as completeness_score, len(list_filter(issues, lambda x: x.severity = 'error')) = 0 as valid from checked)"""
+
+
+_BASE = "with {cases}, " + _validated_sql(CASE_SCHEMA) + "\n"
+_issue_sql = "select case_id, i.field as field, i.severity as severity, i.message as message, i.value as value from (select case_id, unnest(issues) as i from validated)"
+
+
+def _flat(validated: DataFrame) -> DataFrame:
+    return validated.select(
+        "case_id", "valid", F.round("completeness_score", 9).alias("completeness_score"),
+        F.size(errors(F.col("issues"))).cast("long").alias("n_errors"), F.size(warnings(F.col("issues"))).cast("long").alias("n_warnings"),
+    )
+
+
+_flat_sql = """select case_id, valid, round(completeness_score, 9) as completeness_score,
+  len(list_filter(issues, lambda x: x.severity = 'error')) as n_errors, len(list_filter(issues, lambda x: x.severity = 'warning')) as n_warnings from validated"""
+_register("validate_cases", lambda s, d: _flat(validate(cases(s, d))), _BASE + _flat_sql)
+_register("validate_issues", lambda s, d: issue_rows(validate(cases(s, d))), _BASE + _issue_sql)
+_register(
+    "validate_field_scores",
+    lambda s, d: validate(cases(s, d)).select("case_id", *[F.round(F.col("field_scores")[n], 9).alias(f"score_{n}") for n in _SPECS]),
+    _BASE + "select case_id, " + ", ".join(f"round(s{k}, 9) as score_{n}" for k, n in enumerate(_SPECS)) + " from validated",
+)
+_register("validate_custom_schema", lambda s, d: _flat(validate(cases(s, d), CUSTOM_SCHEMA)), "with {cases}, " + _validated_sql(CUSTOM_SCHEMA) + "\n" + _flat_sql)
+_register(
+    "validate_strict",
+    # a year kept as an array is of the wrong kind: a warning, or an error if strict
+    lambda s, d: issue_rows(validate(cases(s, d).withColumn("year", F.array("year")), strict=True)).groupBy("field", "severity", "message").agg(F.count(F.lit(1)).alias("n")),
+    "with {cases}, " + _validated_sql(CASE_SCHEMA) + ", issue as (" + _issue_sql + """)
+select field, severity, message, count(*) as n from issue group by all
+union all select 'year', 'error', 'Expected type int or str, got list', count(*) from cases""",
+)
+_register(
+    "validate_unknown_fields",
+    lambda s, d: issue_rows(validate(cases(s, d).withColumn("docket", F.col("court")).withColumn("_note", F.lit("x")))).where("severity = 'info'").select("case_id", "field", "message"),
+    "select id as case_id, 'docket' as field, 'Unknown field not in schema' as message from cases where court is not null",
+)
+
+# --- reports ---------------------------------------------------------------------------------------------------
+
+_round6 = lambda df, *names: df.withColumns({n: F.round(n, 6) for n in names})
+_summary = """select count(*) as total_cases, count_if(valid) as valid_cases, count_if(not valid) as invalid_cases,
+  round(count_if(valid)::double / greatest(count(*), 1), 6) as pass_rate, round(coalesce(avg(completeness_score), 0), 6) as avg_completeness from validated"""
+_register("report_summary", lambda s, d: _round6(report.summary(validate(cases(s, d))), "pass_rate", "avg_completeness"), _BASE + _summary)
+_register(
+    "report_field_completeness", lambda s, d: _round6(report.field_completeness(validate(cases(s, d))), "completeness"),
+    _BASE + " union all ".join(f"select '{n}' as field, round(avg(s{k}), 6) as completeness from validated" for k, n in enumerate(_SPECS)),
+)
+_register("report_severity", lambda s, d: report.severity_counts(validate(cases(s, d))), _BASE + f"select severity, count(*) as n from ({_issue_sql}) group by severity")
+_register(
+    "report_top_issues", lambda s, d: report.top_issues(validate(cases(s, d))),
+    _BASE + f"select field, message, severity, count(*) as n from ({_issue_sql}) group by all order by n desc, field, message, severity limit 20",
+)
+_register(
+    "report_distribution", lambda s, d: report.completeness_distribution(validate(cases(s, d))),
+    _BASE + """select bucket, count(v.k) as n from (values ('0-20%', 0), ('20-40%', 1), ('40-60%', 2), ('60-80%', 3), ('80-100%', 4)) b(bucket, k)
+    left join (select least(floor(completeness_score * 100 / 20), 4) as k from validated) v on v.k = b.k group by bucket""",
+)
+
+
+def _compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The corpus before and after documents without text were dropped."""
+    all_cases = cases(spark, sf_dir)
+    return _round6(report.compare(validate(all_cases), validate(all_cases.where("text is not null"))), "before", "after", "delta")
+
+
+def _long_sql(source: str) -> str:
+    fields = " ".join(f"union all select 'field:{n}', avg(s{k}) from {source}" for k, n in enumerate(_SPECS))
+    return f"""select 'cases' as metric, count(*)::double as v from {source} union all select 'pass_rate', count_if(valid)::double / count(*) from {source}
+      union all select 'completeness', avg(completeness_score) from {source} {fields}"""
+
+
+_register(
+    "report_compare", _compare,
+    _BASE.rstrip() + ", later as (select * from validated where case_id in (select id from cases where text is not null))\n"
+    + f"select a.metric, round(b.v, 6) as before, round(a.v, 6) as after, round(a.v - b.v, 6) as delta from ({_long_sql('later')}) a join ({_long_sql('validated')}) b using (metric)",
+)
+
+# --- fingerprints and duplicates -------------------------------------------------------------------------------
+
+_NORMAL = r"trim(regexp_replace(regexp_replace(lower(coalesce(text, '')), '\s+', ' ', 'g'), '[^\p{L}\p{N}\p{M}_\s]', '', 'g'))"
+
+
+def _prints_sql(bits: int) -> str:
+    """Fingerprints of documents: sums of signs over MD5 bits, packed as two signed halves."""
+    words = {"hi": range(64), "lo": range(64, 128)} if bits == 128 else {"lo": range(64, 128)}
+    sums = ", ".join(f"sum(case when (h.{w} >> {63 - i % 64}) & 1 = 1 then n else -n end) as b{i}" for w, r in words.items() for i in r)
+    pack = lambda r: " + ".join(f"(case when b{i} > 0 then {1 << (63 - i % 64)}::ubigint else 0::ubigint end)" for i in r)
+    hi = pack(range(64)) if bits == 128 else "0::ubigint"
+    signed = lambda x: f"cast(case when {x} >= 9223372036854775808 then {x}::hugeint - 18446744073709551616 else {x}::hugeint end as bigint)"
+    return f"""normal as (select doc_id, text, {_NORMAL} as t from documents),
+grams as (select doc_id, unnest(case when length(t) = 0 then [] when length(t) < 3 then [t] else list_transform(range(1, length(t) - 1), lambda i: substr(t, i, 3)) end) as g from normal),
+counted as (select doc_id, g, count(*) as n from grams group by all),
+hashed as (select g, ('0x' || substr(md5(g), 1, 16))::ubigint as hi, ('0x' || substr(md5(g), 17, 16))::ubigint as lo from (select distinct g from counted)),
+votes as (select doc_id, {sums} from counted join hashed h using (g) group by doc_id),
+packed as (select doc_id, {hi} as uhi, {pack(range(64, 128))} as ulo from votes),
+prints as (select n.doc_id, n.text, case when text <> '' then sha256(text) end as sha, coalesce({signed('uhi')}, 0) as hi, coalesce({signed('ulo')}, 0) as lo
+  from normal n left join packed using (doc_id))"""
+
+
+def _prints(spark: SparkSession, sf_dir: str, bits: int = 128) -> DataFrame:
+    return dedup.fingerprints(tables(spark, sf_dir, "documents")[0], bits, id_="doc_id")
+
+
+_register(
+    "fingerprint_normalize", lambda s, d: tables(s, d, "documents")[0].select("doc_id", F.sha2(fp.normalised(F.col("text")), 256).alias("normal_sha")),
+    f"select doc_id, sha256({_NORMAL}) as normal_sha from documents", view=False,
+)
+for _bits in (128, 64):
+    _register(
+        f"simhash{_bits}", lambda s, d, b=_bits: _prints(s, d, b).select("id", "hi", "lo"),
+        f"with {_prints_sql(_bits)} select cast(doc_id as varchar) as id, hi, lo from prints", view=False,
+    )
+_register(
+    "exact_hash_groups", lambda s, d: dedup.classes(_prints(s, d)).where("members > 1").select("sha", "representative", "members"),
+    "select sha256(text) as sha, min(cast(doc_id as varchar)) as representative, count(*) as members from documents group by 1 having count(*) > 1", view=False,
+)
+_register(
+    "exact_duplicate_members", lambda s, d: dedup.members(_prints(s, d)),
+    """with g as (select cast(doc_id as varchar) as id, sha256(text) as sha from documents),
+    c as (select sha, min(id) as representative, count(*) as n from g group by sha)
+    select id, representative, 'exact_hash' as method from g join c using (sha) where n > 1""", view=False,
+)
+_PAIRS = """, reps as (select sha, min(cast(doc_id as varchar)) as id, any_value(hi) as hi, any_value(lo) as lo from prints group by sha),
+pairs as (select a.id as id_a, b.id as id_b, 1 - (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::double / 128 as similarity
+  from reps a join reps b on a.id < b.id)
+"""
+_register(
+    "near_duplicate_pairs_95", lambda s, d: dedup.near_pairs(_prints(s, d), 0.95),
+    f"with {_prints_sql(128)}{_PAIRS}select id_a, id_b, similarity, 'simhash' as method from pairs where similarity >= 0.95", view=False,
+)
+_register(
+    "find_similar_top10", lambda s, d: dedup.find_similar(_prints(s, d), "7"),
+    f"""with {_prints_sql(128)} select cast(b.doc_id as varchar) as id, 1 - (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::double / 128 as similarity, 'simhash' as method
+    from prints a join prints b on a.doc_id = 7 and b.doc_id <> 7 order by similarity desc, id limit 10""", view=False,
+)
+_register(
+    "dedup_stats", lambda s, d: dedup.dedup_stats(_prints(s, d)),
+    """select (select count(*) from documents) as total_indexed, count(*) as exact_duplicate_groups, 0.85::double as threshold, 128::bigint as hash_bits
+    from (select text from documents where text <> '' group by text having count(*) > 1)""", view=False,
+)
+
+# --- store, connectors, control plane --------------------------------------------------------------------------
+
+
+def _ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cases with a recorded year before 1996 count as fetched."""
+    return cases(spark, sf_dir).where("year < 1996").select("id")
+
+
+_register("skip_existing_anti", lambda s, d: store.unfetched(cases(s, d).select("id", "year"), _ledger(s, d)), "select id, year from cases where year is null or year >= 1996")
+_register("is_fetched_semi", lambda s, d: cases(s, d).select("id", "court").join(_ledger(s, d), "id", "left_semi"), "select id, court from cases where year < 1996")
+_register("batch_limit", lambda s, d: store.next_batch(cases(s, d).select("id", "year"), _ledger(s, d), 25), "select id, year from cases where year is null or year >= 1996 order by id limit 25")
+
+
+def _upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as versions of their customer's record; the last by date, then key, wins."""
+    orders = tables(spark, sf_dir, "orders")[0]
+    stamp = F.struct("o_orderdate", "o_orderkey")
+    return store.latest(orders.select(F.col("o_custkey").alias("id"), "o_orderkey", "o_totalprice", stamp.alias("_scraped_at"))).drop("_scraped_at")
+
+
+_register(
+    "upsert_latest", _upsert,
+    "select o_custkey as id, o_orderkey, o_totalprice from orders qualify row_number() over (partition by o_custkey order by o_orderdate desc, o_orderkey desc) = 1", view=False,
+)
+_register(
+    "connector_enumerate", lambda s, d: connectors.listed_years(s, 2020, 2024),
+    "select 'case_' || y || '_' || lpad(k::varchar, 3, '0') as id, 'Case ' || k || ' of ' || y as title, y::int as year from range(2020, 2025) a(y), range(1, 11) b(k)", view=False,
+)
+_register(
+    "retry_schedule", lambda s, d: schedule(s, 10, RetryPolicy(11, 2.0, 2.0, 60.0)),
+    "select k as attempt, case when k = 0 then 0e0 else least(2e0 * pow(2, k - 1), 60e0) end as delay from range(0, 11) t(k)", view=False,
+)
+_register(
+    "circuit_replay",
+    lambda s, d: breaker.replay(tables(s, d, "events")[0], "user_id", "ts", F.col("event_type") == "error", "event_id", threshold=2, recovery=3600.0),
+)
