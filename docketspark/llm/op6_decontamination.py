@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import pieces, text_bytes, written
+from docketspark.llm.common import fresh, pieces, text_bytes, written
 
 NO_ITEMS = hashlib.sha256(b"").hexdigest()
 
@@ -107,7 +107,7 @@ def search(q: Queries, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarra
     return suffix[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)], which
 
 
-def _judged(q: Queries, column: pa.Array, earlier: pa.RecordBatch | None):
+def _judged(q: Queries, column: pa.Array, earlier: tuple[pa.Array, pa.Array] | None):
     """(words of each row, whether each word is hit, offsets, ids of each row) with what earlier passes found."""
     hashes, first = word_hashes(column)
     place, which = search(q, hashes, first)
@@ -120,9 +120,9 @@ def _judged(q: Queries, column: pa.Array, earlier: pa.RecordBatch | None):
     for r, k in np.unique(np.stack([row, which]), axis=1).T.tolist():
         items[r].update(q.items[k])
     if earlier is not None:
-        old = earlier.column("_hit").to_pylist()
+        old = earlier[0].to_pylist()
         hit |= np.concatenate([np.frombuffer(x, bool) for x in old]) if old else hit
-        for mine, found in zip(items, earlier.column("_items").to_pylist(), strict=True):
+        for mine, found in zip(items, earlier[1].to_pylist(), strict=True):
             mine.update(found)
     return hit, first, items
 
@@ -144,21 +144,21 @@ def docs_broadcast(df: DataFrame, value):
 
 def _passes(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, final, schema) -> DataFrame:
     """Runs one pass for each block; the last one hands every batch and what was found to `final`."""
-    rows = docs
+    rows, hits, ids = docs, fresh(docs, "hit"), fresh(docs, "items")
 
     def make(shared, last: bool, later: bool):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                found = _judged(shared.value, batch.column("text"), batch if later else None)
+                found = _judged(shared.value, batch.column("text"), (batch.column(hits), batch.column(ids)) if later else None)
                 if last:
                     yield final(batch, *found)
                     continue
                 hit, first, items = found
-                kept = [c for c in batch.schema.names if c not in ("_hit", "_items")]
+                kept = [c for c in batch.schema.names if c not in (hits, ids)]
                 own = [hit[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(c) for c in kept), pa.array(own, pa.binary()), pa.array([sorted(x) for x in items], pa.list_(pa.string()))],
-                    [*kept, "_hit", "_items"],
+                    [*kept, hits, ids],
                 )
 
         return run
@@ -167,7 +167,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
     for shared, last in _blocks(benchmark, window, block_bytes):
         if last:
             return rows.mapInArrow(make(shared, True, later), schema)
-        carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + ", _hit binary, _items array<string>"
+        carried = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema) + f", {hits} binary, {ids} array<string>"
         rows, later = written(rows.mapInArrow(make(shared, False, later), carried), "pass"), True
     raise AssertionError("there is a last block")
 

@@ -123,7 +123,7 @@ def fit(docs: DataFrame, parts: int = 4, held_fold: int = 2, s: Settings = Setti
     known = {r[0]: r[1] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(known)
     if not languages:
-        return [], np.zeros((1, 0)), np.zeros((len(SCRIPT_NAMES), 0), bool)
+        return [], np.zeros((1 << s.bits, 0), np.float32), np.zeros((len(SCRIPT_NAMES), 0), bool)
     share = F.create_map(*[x for k in languages for x in (F.lit(k), F.lit(min(1.0, s.per_language / known[k])))])
     draw = F.pmod(F.xxhash64(F.lit(s.seed), "doc_id"), F.lit(1 << 30)) / float(1 << 30)
     index = F.create_map(*[x for i, k in enumerate(languages) for x in (F.lit(k), F.lit(i))])
