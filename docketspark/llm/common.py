@@ -42,6 +42,14 @@ def clear_written(spark: SparkSession) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that df does not have, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -64,3 +72,14 @@ def pieces(raw: np.ndarray, at: np.ndarray, most: int = 1 << 20) -> Iterator[tup
         j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
         yield i, j, raw[at[i] : at[j]], at[i : j + 1] - at[i]
         i = j
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The rows of all batches in slices of about `most` bytes of the text column, one row at least, so that arrays of a task stay small."""
+    for batch in batches:
+        at = text_bytes(batch.column(column))[1]
+        i = 0
+        while i < batch.num_rows:
+            j = max(i + 1, int(np.searchsorted(at, at[i] + most, "right")) - 1)
+            yield batch.slice(i, j - i)
+            i = j
