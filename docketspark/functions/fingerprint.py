@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -27,6 +28,29 @@ def checked(bits: int, ngram: int) -> None:
         raise ValueError(f"ngram must be positive, not {ngram}")
 
 
+def _counted(text: str, n: int) -> dict:
+    """Occurrences of each n-gram; up to three code points are kept as one number, which numpy counts."""
+    if n > 3 or len(text) < n:
+        return Counter([text[k : k + n] for k in range(len(text) - n + 1)] or [text])
+    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
+    codes = points[: len(points) - n + 1].copy()
+    for k in range(1, n):
+        codes = (codes << 21) | points[k : len(points) - n + 1 + k]
+    names, counts = np.unique(codes, return_counts=True)
+    return dict(zip(names.tolist(), counts.tolist(), strict=True))
+
+
+def _spelled(gram: str | int) -> str:
+    """The n-gram that a number stands for."""
+    if isinstance(gram, str):
+        return gram
+    out = ""
+    while gram:
+        gram, point = gram >> 21, gram & ((1 << 21) - 1)
+        out = chr(point - 1) + out
+    return out
+
+
 def simhash(text: Column, bits: int = 128, ngram: int = 3, normalise: bool = True) -> Column:
     """struct<hi bigint, lo bigint>: a bit is set where the n-grams' MD5 bits vote above zero; hi is 0 for 64 bits.
 
@@ -37,23 +61,25 @@ def simhash(text: Column, bits: int = 128, ngram: int = 3, normalise: bool = Tru
 
     @F.pandas_udf("hi long, lo long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        cache: dict[str, np.ndarray] = {}
+        place: dict = {}  # n-gram -> its row of signs
+        signs = np.zeros((1 << 12, 128), np.float32)
         for texts in batches:
             out = np.zeros((len(texts), 16), np.uint8)
             for i, t in enumerate(texts):
                 if not t:
                     continue
-                grams = [t[k : k + ngram] for k in range(len(t) - ngram + 1)] if len(t) >= ngram else [t]
-                names, counts = np.unique(grams, return_counts=True)
-                rows = []
-                for g in names.tolist():
-                    if (row := cache.get(g)) is None:
-                        digest = np.frombuffer(hashlib.md5(g.encode()).digest(), np.uint8)
-                        row = np.unpackbits(digest).astype(np.int8) * 2 - 1
-                        if len(cache) < 200_000:
-                            cache[g] = row
-                    rows.append(row)
-                votes = counts @ np.array(rows, np.int64)
+                counts = _counted(t, ngram)
+                if len(place) + len(counts) > 1 << 17:  # the cache stays bounded
+                    place.clear()
+                for g in counts.keys() - place.keys():
+                    if len(place) >= len(signs):
+                        signs = np.concatenate([signs, np.zeros_like(signs)])
+                    signs[len(place)] = np.unpackbits(np.frombuffer(hashlib.md5(_spelled(g).encode()).digest(), np.uint8)) * 2.0 - 1
+                    place[g] = len(place)
+                at = np.fromiter(map(place.__getitem__, counts), np.int64, len(counts))
+                # whole numbers below 2**24 are exact in single precision
+                exact = np.float32 if len(t) < 1 << 24 else np.float64
+                votes = np.fromiter(counts.values(), exact, len(counts)) @ signs[at].astype(exact, copy=False)
                 out[i] = np.packbits(votes > 0)
             halves = out.view(">i8").astype(np.int64)
             yield pd.DataFrame({"hi": halves[:, 0] if bits == 128 else 0 * halves[:, 0], "lo": halves[:, 1]})

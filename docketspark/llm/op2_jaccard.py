@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import partitions, pieces, text_bytes, written
+from docketspark.llm.common import fresh, partitions, pieces, sliced, text_bytes, written
 from docketspark.llm.graph import components
 
 
@@ -80,8 +80,8 @@ def level(n: np.ndarray, percent: int) -> np.ndarray:
     return np.ceil(np.log2(np.where(need > 16, need / 0.97, need))).astype(np.int64)
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(row, signature) of the slices that are not empty.
+def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, signature) of the slices that are not empty, and how many of them each row has in common with any linked one, at least.
 
     A set is sliced at the level of its own size and of the smallest size it may link with. A set
     with no more filled slices than it can have differences could agree with another one on empty
@@ -90,6 +90,7 @@ def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
     """
     n = np.diff(first)
     rows_out, found_out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    least = np.full(len(n), np.iinfo(np.int64).max)
     levels = np.stack([level(n, percent), level(-(-n * percent // 100), percent)])
     for lv in np.unique(levels[:, n > 0]).tolist() if (n > 0).any() else []:
         todo = np.flatnonzero((n > 0) & (levels == lv).any(axis=0))
@@ -112,48 +113,98 @@ def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
             rows_out.append(todo[key >> lv])
             found_out.append(kernels.mix(content + tag + (key & ((1 << lv) - 1)).astype(np.uint64)))
             filled = np.bincount(key >> lv, minlength=len(todo))
+            if not salt:  # sets differ in `most` elements, so in as many slices, at most
+                least[todo] = np.minimum(least[todo], np.maximum(1, filled - most))
             again = (filled <= most) & (salt < 63)
             todo, most, salt = todo[again], most[again], salt + 1
-    return np.concatenate(rows_out), np.concatenate(found_out)
+    return np.concatenate(rows_out), np.concatenate(found_out), least
+
+
+#: Shingles that a region's join has in arrays at a time.
+_AT_ONCE = 1 << 20
+
+
+def _shared_with(pivot: np.ndarray, sets: list[np.ndarray], members: np.ndarray) -> np.ndarray:
+    """The size of the intersection of a set with each member's."""
+    out = np.zeros(len(members), np.int64)
+    sizes = np.array([len(sets[i]) for i in members], np.int64)
+    total, i = np.cumsum(sizes), 0
+    while i < len(members):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _AT_ONCE, "right")))
+        flat = np.concatenate([sets[k] for k in members[i:j]])
+        at = np.minimum(np.searchsorted(pivot, flat), len(pivot) - 1)
+        out[i:j] = np.add.reduceat((pivot[at] == flat).astype(np.int64), np.r_[0, np.cumsum(sizes[i : j - 1])])
+        i = j
+    return out
+
+
+class _Meetings:
+    """Which sets of a region agree on how many slices."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        rows, found, least = [], [], []
+        total, i = np.cumsum([len(s) for s in sets]), 0
+        while i < len(sets):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _AT_ONCE, "right")))
+            first = np.r_[0, total[i:j] - (total[i - 1] if i else 0)]
+            row, signature, own = signatures(np.concatenate(sets[i:j]), first, percent)
+            rows.append((row + i).astype(np.int32)), found.append(signature), least.append(own)
+            i = j
+        row, found, self.least = np.concatenate(rows), np.concatenate(found), np.concatenate(least)
+        order = np.argsort(found)
+        row, found = row[order], found[order]
+        new = np.r_[True, found[1:] != found[:-1]]
+        group = np.cumsum(new) - 1
+        several = np.bincount(group)[group] > 1
+        self.member, group = row[several], group[several]
+        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
+        self.start, self.end = head, np.append(head[1:], len(group))
+        slot = np.repeat(np.arange(len(head)), self.end - self.start)
+        order = np.argsort(self.member, kind="stable")
+        self.slots, self.first = slot[order], np.searchsorted(self.member[order], np.arange(len(sets) + 1))
+
+    def candidates(self, q: int) -> np.ndarray:
+        """The sets that agree with q on as many slices as linked ones must."""
+        slots = self.slots[self.first[q] : self.first[q + 1]]
+        low, count = self.start[slots], self.end[slots] - self.start[slots]
+        shared, total, i = np.zeros(len(self.least), np.int64), np.cumsum(count), 0
+        while i < len(slots):
+            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _AT_ONCE, "right")))
+            c = count[i:j]
+            place = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c - low[i:j], c)
+            shared += np.bincount(self.member[place], minlength=len(shared))
+            i = j
+        return np.flatnonzero((shared >= self.least) & (shared >= self.least[q]))
 
 
 def region_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """The component of each set of a region, by pivots; exact."""
+    """The component of each set of a region, by pivots; exact. Arrays hold about _AT_ONCE shingles at a time beside the sets."""
     n = len(sets)
-    size = np.array([len(s) for s in sets])
-    out = np.full(n, -1)
-    left = np.ones(n, bool)
-    indexed, hashes, owner = n + 1, np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    if n == 1:
+        return np.zeros(1, np.int64)
+    size = np.array([len(s) for s in sets], np.int64)
+    out, left = np.full(n, -1), np.ones(n, bool)
     reach = 1 - percent / 100 + 1e-9
+    met = _Meetings(sets, percent)
     for p in range(n):
         if not left[p]:
             continue
-        queue, from_pivot = [p], np.zeros(n)
-        left[p], out[p] = False, p
+        left[p], out[p], queue = False, p, [p]
+        from_pivot = np.full(n, np.nan)
+        from_pivot[p] = 0.0
         while queue:
             q = queue.pop()
-            rest = int(left.sum())
-            if not rest:
-                break
-            if indexed > n or rest * 2 < indexed:
-                members = np.flatnonzero(left)
-                indexed = len(members)
-                hashes = np.concatenate([sets[i] for i in members])
-                owner = np.repeat(members, size[members])
-                order = np.argsort(hashes, kind="stable")
-                hashes, owner = hashes[order], owner[order]
-            low, high = np.searchsorted(hashes, sets[q], "left"), np.searchsorted(hashes, sets[q], "right")
-            count = high - low
-            place = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - low, count)
-            shared = np.bincount(owner[place], minlength=n)
-            union = size[q] + size - shared
+            near = met.candidates(q)
+            near = near[left[near]]
+            # the pivot's ball joins it first; then only what the triangle inequality leaves within reach of a member is compared
+            near = near[~(np.abs(from_pivot[near] - from_pivot[q]) > reach)]
+            if not len(near):
+                continue
+            shared = _shared_with(sets[q], sets, near)
+            union = size[q] + size[near] - shared
             if q == p:
-                from_pivot = 1 - shared / union
-                from_pivot[p] = 0.0
-                window = left
-            else:
-                window = left & (np.abs(from_pivot - from_pivot[q]) <= reach)
-            linked = np.flatnonzero(window & (100 * shared >= percent * union))
+                from_pivot[near] = 1 - shared / union
+            linked = near[100 * shared >= percent * union]
             left[linked], out[linked] = False, p
             queue.extend(linked.tolist())
     return out
@@ -189,7 +240,7 @@ def _slices(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = 0
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             column = batch.column("doc_id")
             valid = np.asarray(column.is_valid())
             ids = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -197,7 +248,7 @@ def _slices(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFram
             for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
                 hashes, first = shingle_sets(raw, at, words)
                 a, b = set_keys(hashes, first)
-                row, signature = signatures(hashes, first, percent)
+                row, signature, _ = signatures(hashes, first, percent)
                 sizes.append(np.diff(first)), one.append(a), two.append(b), rows.append(row + i), found.append(signature)
             if not sizes:
                 continue
@@ -265,15 +316,16 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _joined(words: int, percent: int):
     """For rows (region, doc_id, text) sorted by region: (doc_id, set, smallest id of its component)."""
 
-    def close(ids: list, sets: list[np.ndarray]) -> list[tuple]:
-        order = sorted(range(len(ids)), key=lambda i: ids[i])
-        ids, sets = [ids[i] for i in order], [sets[i] for i in order]
-        found = region_components(sets, percent)
-        keys = [int(set_keys(s, np.array([0, len(s)]))[0][0].astype(np.int64)) for s in sets]
-        return [(ids[i], keys[i], ids[found[i]]) for i in range(len(ids))]
+    def close(ids: list, keys: list[int], sets: dict[int, np.ndarray]) -> list[tuple]:
+        order = sorted(range(len(ids)), key=lambda i: (ids[i], i))
+        place = {keys[i]: k for k, i in reversed(list(enumerate(order)))}  # copies of a set are one entry, the smallest id's
+        entries = sorted(place.values())
+        found = region_components([sets[keys[order[k]]] for k in entries], percent)
+        least = {keys[order[k]]: ids[order[entries[c]]] for k, c in zip(entries, found.tolist(), strict=True)}
+        return [(ids[i], keys[i], least[keys[i]]) for i in order]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, ids, sets, done = None, [], [], []
+        region, ids, keys, sets, done = None, [], [], {}, []
 
         def flushed() -> pa.RecordBatch:
             columns = zip(*done, strict=True) if done else ([], [], [])
@@ -283,16 +335,19 @@ def _joined(words: int, percent: int):
             regions, own = batch.column("region").to_pylist(), batch.column("doc_id").to_pylist()
             for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
                 hashes, first = shingle_sets(raw, at, words)
+                key = set_keys(hashes, first)[0].astype(np.int64).tolist()
                 for k in range(len(first) - 1):
                     if regions[i + k] != region:
-                        done += close(ids, sets)
-                        region, ids, sets = regions[i + k], [], []
+                        done += close(ids, keys, sets)
+                        region, ids, keys, sets = regions[i + k], [], [], {}
                     if first[k + 1] > first[k]:
                         ids.append(own[i + k])
-                        sets.append(hashes[first[k] : first[k + 1]].copy())
+                        keys.append(key[k])
+                        if key[k] not in sets:
+                            sets[key[k]] = hashes[first[k] : first[k + 1]].copy()
             yield flushed()
             done = []
-        done = close(ids, sets)
+        done = close(ids, keys, sets)
         yield flushed()
 
     return run
@@ -317,11 +372,12 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of docs, all columns, whose id is the smallest of its component; null ids stay."""
+    other = fresh(docs, "later")
     later = (
         jaccard_join(docs, words, percent)
         .groupBy("doc_id")
         .agg(F.min("component_id").alias("component_id"))
         .where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias("_later"))
+        .select(F.col("doc_id").alias(other))
     )
-    return docs.join(later, F.col("doc_id") == F.col("_later"), "left_anti")
+    return docs.join(later, F.col("doc_id") == F.col(other), "left_anti")
