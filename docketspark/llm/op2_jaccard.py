@@ -180,8 +180,8 @@ class _Meetings:
 def region_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
     """The component of each set of a region, by pivots; exact. Arrays hold about _AT_ONCE shingles at a time beside the sets."""
     n = len(sets)
-    if n == 1:
-        return np.zeros(1, np.int64)
+    if n < 2:
+        return np.zeros(n, np.int64)
     size = np.array([len(s) for s in sets], np.int64)
     out, left = np.full(n, -1), np.ones(n, bool)
     reach = 1 - percent / 100 + 1e-9
