@@ -20,6 +20,7 @@ empty table gives an empty result; other columns are ignored.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,45 +75,54 @@ def differences(n: np.ndarray, percent: int) -> np.ndarray:
     return n * (100 - percent) // percent
 
 
-def level(n: np.ndarray, percent: int) -> np.ndarray:
-    """log2 of the number of slices for a set of n: more than it can differ in, with room for empty slices."""
-    need = differences(n, percent) + 1
-    return np.ceil(np.log2(np.where(need > 16, need / 0.97, need))).astype(np.int64)
+@functools.cache
+def _slice_counts(most: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers of slices, how many differences plus one each is enough for), up to `most`; about 100 / percent apart.
+
+    Of many slices some stay empty, so there are a few more of them than differences.
+    """
+    counts = [1]
+    while (counts[-1] if counts[-1] <= 16 else int(0.95 * counts[-1])) < most:
+        counts.append(max(counts[-1] + 1, counts[-1] * 100 // percent))
+    found = np.array(counts, np.int64)
+    return found, np.where(found <= 16, found, (0.95 * found).astype(np.int64))
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(row, signature) of the slices that are not empty, and how many of them each row has in common with any linked one, at least.
 
-    A set is sliced at the level of its own size and of the smallest size it may link with. A set
-    with no more filled slices than it can have differences could agree with another one on empty
-    slices alone; it is sliced again with another salt until it has more. Two such sets meet at the
-    first salt that is enough for either, as both go on until then.
+    A set is sliced at every level from that of the smallest size it may link with to that of its
+    own. A set with no more filled slices than it can have differences could agree with another one
+    on empty slices alone; it is sliced again with another salt until it has more. Two such sets meet
+    at the first salt that is enough for either, as both go on until then.
     """
     n = np.diff(first)
     rows_out, found_out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     least = np.full(len(n), np.iinfo(np.int64).max)
-    levels = np.stack([level(n, percent), level(-(-n * percent // 100), percent)])
-    for lv in np.unique(levels[:, n > 0]).tolist() if (n > 0).any() else []:
-        todo = np.flatnonzero((n > 0) & (levels == lv).any(axis=0))
-        most = differences(n[todo], percent)
-        # at the lower level the smaller partner, whose own level it is, bounds the differences
-        most = np.minimum(most, (1 << lv) - 1 if lv <= 4 else int(0.97 * (1 << lv)) - 1)
+    if not (n > 0).any():
+        return rows_out[0], found_out[0], least
+    counts, enough = _slice_counts(1 << int(differences(n.max(), percent) + 1).bit_length(), percent)
+    low, high = (np.searchsorted(enough, differences(x, percent) + 1) for x in (-(-n * percent // 100), n))
+    for lv in range(int(low[n > 0].min()), int(high.max()) + 1):
+        todo = np.flatnonzero((n > 0) & (low <= lv) & (lv <= high))
+        slices = int(counts[lv])
+        # at a lower level the smaller partner, whose own level it is, bounds the differences
+        most = np.minimum(differences(n[todo], percent), enough[lv] - 1)
         salt = 0
         while len(todo):
             take = np.concatenate([np.arange(first[r], first[r + 1]) for r in todo.tolist()])
             row = np.repeat(np.arange(len(todo)), n[todo])
             value = kernels.mix(hashes[take] + np.uint64(1000003 * (salt + 1)))
-            part = (value >> np.uint64(64 - lv)).astype(np.int64) if lv else np.zeros(len(take), np.int64)
-            key = (row << lv) | part
+            key = row * slices + (((value >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)).astype(np.int64)
             order = np.argsort(key, kind="stable")
             key, value = key[order], kernels.mix(value[order] + np.uint64(77))
             heads = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
             content = np.add.reduceat(value, heads)
             key = key[heads]
-            tag = np.uint64((lv * 64 + salt) * 0x9E3779B97F4A7C15 % (1 << 64))
-            rows_out.append(todo[key >> lv])
-            found_out.append(kernels.mix(content + tag + (key & ((1 << lv) - 1)).astype(np.uint64)))
-            filled = np.bincount(key >> lv, minlength=len(todo))
+            tag = np.uint64((slices * 64 + salt) * 0x9E3779B97F4A7C15 % (1 << 64))
+            rows_out.append(todo[key // slices])
+            found_out.append(kernels.mix(content + tag + (key % slices).astype(np.uint64)))
+            filled = np.bincount(key // slices, minlength=len(todo))
             if not salt:  # sets differ in `most` elements, so in as many slices, at most
                 least[todo] = np.minimum(least[todo], np.maximum(1, filled - most))
             again = (filled <= most) & (salt < 63)
@@ -314,22 +324,22 @@ def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _joined(words: int, percent: int):
-    """For rows (region, doc_id, text) sorted by region: (doc_id, set, smallest id of its component)."""
+    """For rows (region, doc_id, text) sorted by region: (region, set, smallest id of its component)."""
 
-    def close(ids: list, keys: list[int], sets: dict[int, np.ndarray]) -> list[tuple]:
+    def close(region: int | None, ids: list, keys: list[int], sets: dict[int, np.ndarray]) -> list[tuple]:
         order = sorted(range(len(ids)), key=lambda i: (ids[i], i))
         place = {keys[i]: k for k, i in reversed(list(enumerate(order)))}  # copies of a set are one entry, the smallest id's
         entries = sorted(place.values())
         found = region_components([sets[keys[order[k]]] for k in entries], percent)
         least = {keys[order[k]]: ids[order[entries[c]]] for k, c in zip(entries, found.tolist(), strict=True)}
-        return [(ids[i], keys[i], least[keys[i]]) for i in order]
+        return [(region, key, root) for key, root in least.items()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         region, ids, keys, sets, done = None, [], [], {}, []
 
         def flushed() -> pa.RecordBatch:
             columns = zip(*done, strict=True) if done else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["id", "key", "root"])
+            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["region", "key", "root"])
 
         for batch in batches:
             regions, own = batch.column("region").to_pylist(), batch.column("doc_id").to_pylist()
@@ -338,7 +348,7 @@ def _joined(words: int, percent: int):
                 key = set_keys(hashes, first)[0].astype(np.int64).tolist()
                 for k in range(len(first) - 1):
                     if regions[i + k] != region:
-                        done += close(ids, keys, sets)
+                        done += close(region, ids, keys, sets)
                         region, ids, keys, sets = regions[i + k], [], [], {}
                     if first[k + 1] > first[k]:
                         ids.append(own[i + k])
@@ -347,7 +357,7 @@ def _joined(words: int, percent: int):
                             sets[key[k]] = hashes[first[k] : first[k + 1]].copy()
             yield flushed()
             done = []
-        done = close(ids, keys, sets)
+        done = close(region, ids, keys, sets)
         yield flushed()
 
     return run
@@ -359,11 +369,21 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
     slices = _slices(docs, words, percent, n).repartition(n, "bucket")
     met = written(slices.mapInArrow(_meetings, _MET), "meetings")
     regions = components(met.where("kind = 0").select("a", "b"))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    members = texts.join(regions, F.col("doc_id") == F.col("node")).select(F.col("root").alias("region"), "doc_id", "text")
-    joined = members.repartition(n, "region").sortWithinPartitions("region").mapInArrow(_joined(words, percent), "id long, key long, root long")
-    roots = joined.groupBy("id", "key").agg(F.min("root").alias("root"))
     rows = met.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "b", F.col("key").alias("own"))
+    firsts = rows.where((F.col("doc_id") == F.col("b")) & (F.col("n_shingles") > 0)).select("b", "own").distinct()
+    placed = written(firsts.join(regions, F.col("b") == F.col("node")).select(F.col("root").alias("region"), "b", "own"), "regions")
+    # one text of each set is compared, and none where a region has one set only
+    sets = placed.groupBy("region", "own").agg(F.min("b").alias("least"))
+    several = sets.groupBy("region").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
+    asked = sets.join(several.select("region"), "region").select("region", F.col("least").alias("asked")).distinct()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    # merged at every size: ids asked for grow with the corpus
+    members = texts.join(asked.hint("merge"), F.col("doc_id") == F.col("asked")).select("region", "doc_id", "text")
+    joined = members.repartition(n, "region").sortWithinPartitions("region").mapInArrow(_joined(words, percent), "region long, key long, root long")
+    joined = joined.groupBy("region", "key").agg(F.min("root").alias("root")).withColumnRenamed("region", "in")
+    found = sets.join(joined, (F.col("region") == F.col("in")) & (F.col("own") == F.col("key")), "left")
+    found = found.select(F.col("region").alias("in"), F.col("own").alias("key"), F.coalesce("root", "least").alias("root"))
+    roots = placed.join(found, (F.col("region") == F.col("in")) & (F.col("own") == F.col("key"))).select(F.col("b").alias("id"), "key", "root").distinct()
     linked = rows.join(roots, (F.col("b") == F.col("id")) & (F.col("own") == F.col("key")) & (F.col("n_shingles") > 0), "left")
     alone = F.when(F.col("n_shingles") > 0, F.col("b")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", alone))
