@@ -1,7 +1,7 @@
 """N-gram Jaccard join: a metric-space join with pivots, exact.
 
 Jaccard distance is a metric. Between texts that share no shingle it is 1 whatever the pivots, so
-regions drawn around pivots of the whole corpus would all overlap (README has the figures). Regions
+regions drawn around pivots of the whole corpus would all overlap. Regions
 are therefore drawn first where the metric can tell texts apart: the universe of shingles is cut
 into more slices than two linked sets can differ in elements, so on one slice at least their
 distance is zero, and texts that agree on a slice that is not empty are put in one region. Inside a
