@@ -40,7 +40,9 @@ from docketspark.llm.common import partitions, pieces, sliced, text_bytes, writt
 
 #: Bytes of a minimizer. Longer ones are shared by fewer strings that are not equal, shorter ones leave fewer contexts.
 GRAM = 32
-SHARD_BYTES = 3 << 19
+#: An index and the arrays behind it take some 100 times as many bytes in a task, a piece of text some 120 times.
+SHARD_BYTES = 1 << 19
+PIECE_BYTES = 1 << 18
 _ORDER = -(1 << 63)
 
 
@@ -115,7 +117,7 @@ def _anchors(length: int, buckets: int):
         for batch in sliced(batches, "text"):
             key, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tag"))
             found = []
-            for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
+            for i, _, raw, at in pieces(*text_bytes(batch.column("text")), PIECE_BYTES):
                 row, *rest = contexts(raw, at, length)
                 found.append((row + i, *rest))
             if not found:
