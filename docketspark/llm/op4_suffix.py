@@ -40,7 +40,7 @@ from docketspark.llm.common import partitions, pieces, sliced, text_bytes, writt
 
 #: Bytes of a minimizer. Longer ones are shared by fewer strings that are not equal, shorter ones leave fewer contexts.
 GRAM = 32
-#: An index and the arrays behind it take some 100 times as many bytes in a task, a piece of text some 120 times.
+#: Bytes of text that a task indexes, or cuts into contexts, at a time; the arrays beside them take many times as much.
 SHARD_BYTES = 1 << 19
 PIECE_BYTES = 1 << 18
 _ORDER = -(1 << 63)
