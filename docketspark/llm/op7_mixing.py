@@ -1,12 +1,15 @@
 """Mixing sources to target weights by Sainte-Lague apportionment.
 
-Sources get token targets by weight; the tokens are cut into equal blocks, and the blocks are
-apportioned twice by highest quotients (votes / 1, 3, 5, ...): over the sources, then over each
-source's shards. A shard lays its documents end to end in a seeded order and takes its quota of
-blocks from that stream, passing over it again where the quota is larger, `max_repeats` times at most.
+Sources get token targets by weight, made whole words by highest quotients (votes / 1, 3, 5, ...).
+A source's words are cut into equal blocks, and the blocks are apportioned over its shards by highest
+quotients again; a shard that can hold no more leaves the ranking, and the words that fill no block,
+or that no shard had room for as a block, are apportioned one by one. A shard lays its documents end
+to end in a seeded order and takes its words from that stream, passing over it again where they are
+more, `max_repeats` times at most. A source so takes its target to the word, however small it is.
 
 Everything is DataFrame operations. One row per source and one per shard are ordered; a source of
-n rows has about sqrt(n) shards of sqrt(n) rows, so no group follows the corpus in proportion.
+n rows has about sqrt(n) shards of sqrt(n) rows, so no group follows the corpus in proportion. A
+source of few blocks and rows has fewer shards, so that each holds many blocks.
 
 Defined cases: null or empty text has size 0 and takes 0; a null source is a source of its own and
 ranks last; repeated rows are documents of their own; an empty table gives an empty result; other
@@ -59,10 +62,11 @@ def source_targets(totals: DataFrame, weights: Sequence[float], max_repeats: int
 
 
 def apportioned(parties: DataFrame, within: list[str], seats: Column, votes: Column, most: Column, order: list) -> DataFrame:
-    """Adds `quota`: the seats of each party by highest quotients votes / (2k - 1), never above `most`.
+    """Adds `quota`: the seats of each party by highest quotients votes / (2k - 1); a party with `most` seats leaves the ranking.
 
     With n parties, a divisor of V / (N - n/2) gives no seat too many and one of V / (N + n/2) none
-    too few, so only the seats between the two, 2n at most, are ranked by quotient.
+    too few. Where `most` is a common multiple of the votes, rounded down, parties at it lack one
+    seat each at most, so that V / (N + 3n/2) gives enough: only the seats between, 3n at most, are ranked.
     """
     w = Window.partitionBy(*within) if within else Window.partitionBy()
     base = (
@@ -72,8 +76,8 @@ def apportioned(parties: DataFrame, within: list[str], seats: Column, votes: Col
         .withColumn("_seats", seats)
     )
     share = lambda seats_: F.when(F.col("_all") > 0, F.floor(F.col("_v") * F.greatest(seats_, F.lit(0.0)) / F.col("_all") + 0.5)).otherwise(0)
-    base = base.withColumn("_sure", share(F.col("_seats") - F.col("_n") / 2)).withColumn(
-        "_top", share(F.col("_seats") + F.col("_n") / 2)
+    base = base.withColumn("_sure", F.least(share(F.col("_seats") - F.col("_n") / 2), most)).withColumn(
+        "_top", F.least(share(F.col("_seats") + 1.5 * F.col("_n")), most)
     )
     left = F.col("_seats") - F.sum("_sure").over(w)
     keep = [c for c in base.columns if c not in ("_n", "_all", "_seats", "_top")]
@@ -86,11 +90,25 @@ def apportioned(parties: DataFrame, within: list[str], seats: Column, votes: Col
     names = [c for c in keep if c not in ("_v", "_sure")]
     return (
         won.groupBy(*names)
-        .agg((F.first("_sure") + F.sum("_won")).alias("_quota"))
-        .select(*names, F.least(F.col("_quota"), most).alias("quota"))
+        .agg((F.first("_sure") + F.sum("_won")).alias("quota"))
     )
 
 
+def dealt(parties: DataFrame, within: list[str], words: Column, votes: Column, cap: Column, block: int, order: list) -> DataFrame:
+    """Adds `due`: the words of each party, in blocks as far as they go and then one by one over the room that is left.
+
+    All words are dealt where the caps (whole numbers) hold them. A room of r words as votes never
+    gets more than r of them: its quotients up to r are above 1/2, all others below.
+    """
+    w = Window.partitionBy(*within) if within else Window.partitionBy()
+    given = parties.withColumn("_words", words).withColumn("_cap", cap)
+    given = apportioned(given, within, F.floor(F.col("_words") / block), votes, F.floor(F.col("_cap") / block), order)
+    given = given.withColumn("_given", F.col("quota") * block).drop("quota")
+    given = given.withColumn("_left", F.col("_words") - F.sum("_given").over(w)).withColumn("_room", F.col("_cap") - F.col("_given"))
+    rest = apportioned(given.withColumnRenamed("_left", "_rest"), within, F.col("_rest"), F.col("_room"), F.col("_room"), order)
+    return rest.select(*parties.columns, (F.col("_given") + F.col("quota")).alias("due"))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = (5, 2, 1),
@@ -103,15 +121,18 @@ def mix(
     sized = written(rows, "sizes")
     totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("rows"))
     targets = source_targets(totals.select("source", "source_size"), weights, max_repeats)
-    blocks = F.floor(F.col("source_size") * max_repeats / block_tokens)
-    all_seats = F.floor(F.sum("target").over(Window.partitionBy()) / block_tokens + 0.5)
+    all_words = F.floor(F.sum("target").over(Window.partitionBy()) + 0.5)
+    whole = F.floor(F.col("source_size") * max_repeats)
     named = [F.col("source").isNull(), F.col("source")]
-    quotas = apportioned(targets, [], all_seats, F.col("target"), blocks, named)
+    quotas = dealt(targets, [], all_words, F.col("target"), whole, 1, named)
+    # about 64 blocks or 4,096 rows a shard at least, where that leaves a source no more than the root of its rows
+    many = F.greatest(F.ceil(F.col("t.source_size") / (64 * block_tokens)), F.ceil(F.col("rows") / 4096))
+    shards = F.greatest(F.least(F.ceil(F.sqrt("rows")), many), F.lit(1)).cast("long")
     # one row per source from here on: small beside the documents, but only AQE may decide to broadcast it
     plan = written(
         quotas.alias("q")
         .join(totals.alias("t"), F.col("q.source").eqNullSafe(F.col("t.source")))
-        .select("q.source", "q.source_size", "target", "quota", F.ceil(F.sqrt("rows")).cast("long").alias("shards")),
+        .select("q.source", "q.source_size", "target", F.col("due").alias("quota"), shards.alias("shards")),
         "sources",
     )
     placed = (
@@ -126,10 +147,10 @@ def mix(
     totals_by_shard = placed.groupBy("source", "shard").agg(
         F.sum("size").alias("shard_size"), F.first("quota").alias("source_quota")
     )
-    shard_quotas = apportioned(
+    shard_quotas = dealt(
         totals_by_shard, ["source"], F.col("source_quota"), F.col("shard_size"),
-        F.floor(F.col("shard_size") * max_repeats / block_tokens), [F.col("shard")],
-    ).select(F.col("source").alias("s"), F.col("shard").alias("k"), "shard_size", (F.col("quota") * block_tokens).alias("due"))
+        F.floor(F.col("shard_size") * max_repeats), block_tokens, [F.col("shard")],
+    ).select(F.col("source").alias("s"), F.col("shard").alias("k"), "shard_size", "due")
     stream = placed.join(shard_quotas, F.col("source").eqNullSafe(F.col("s")) & (F.col("shard") == F.col("k")))
     before = Window.partitionBy("source", "shard").orderBy("draw", "doc_id", "size")
     start = F.sum("size").over(before.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")

@@ -55,6 +55,43 @@ def test_mixing(spark, documents, odd, name):
     assert key(found) == key(op7_mixing.mix(docs.repartition(7)).collect())
 
 
+@pytest.mark.parametrize("large", [0, 40_000])
+def test_small_sources_get_their_targets(spark, large):
+    """Sources of 5 to 200 words, of few or many short texts: alone, and beside a large one, where all are at their caps."""
+    texts = [("b%03d" % n, "w " * n) for n in (5, 10, 20, 33, 77, 200)]
+    texts += [("s%d" % n, "w " * n) for n in (1, 2, 3, 8) for _ in range(25)] + [(None, "w w w")] * 9
+    texts += [("a", "w " * 400)] * (large // 400)
+    docs = spark.createDataFrame([(k, s, t) for k, (s, t) in enumerate(texts)], "doc_id long, source string, text string")
+    rows = [(r, source) for r, (source, _) in zip(sorted(op7_mixing.mix(docs).collect(), key=lambda r: r.doc_id), texts, strict=True)]
+    sizes, taken = {}, {}
+    for r, s in rows:
+        sizes[s] = sizes.get(s, 0) + r.size
+        taken[s] = taken.get(s, 0) + r.taken
+        assert 0 <= r.taken <= 3 * r.size
+    want = targets(sizes)
+    assert sum(taken.values()) == sum(sizes.values())
+    for s, t in taken.items():
+        assert abs(t - want[s]) <= max(1, 0.01 * want[s]), s
+    if large:
+        assert all(r.taken == 3 * r.size for r, s in rows if s != "a")
+
+
+def test_seats_of_full_parties_go_to_the_next_quotients(spark):
+    rng = random.Random(6)
+    rows = [(g, k, rng.choice([0, 4, 9, 10, 11, 20, 21, 300])) for g in range(30) for k in range(rng.randint(1, 9))]
+    votes = {g: {k: v for h, k, v in rows if h == g} for g in range(30)}
+    seats = {g: int(rng.choice([0.3, 1, 2, 2.9, 3]) * sum(v.values()) / 32) for g, v in votes.items()}
+    df = spark.createDataFrame([(*r, seats[r[0]]) for r in rows], "g long, k long, v long, seats long")
+    found = {(r.g, r.k): r.quota for r in op7_mixing.apportioned(df, ["g"], F.col("seats"), F.col("v"), F.floor(F.col("v") * 3 / 32), [F.col("k")]).collect()}
+    for g, own in votes.items():
+        won = dict.fromkeys(own, 0)
+        for _ in range(seats[g]):
+            open_ = [k for k in own if won[k] < own[k] * 3 // 32]
+            if open_:
+                won[max(open_, key=lambda k: (own[k] / (2 * won[k] + 1), -k))] += 1
+        assert {k: found[g, k] for k in own} == won
+
+
 def test_mixing_of_nothing(none, odd):
     assert op7_mixing.mix(none).count() == 0
     assert {r.taken for r in op7_mixing.mix(odd.where("text is null")).collect()} == {0}
