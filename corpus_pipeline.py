@@ -23,7 +23,7 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, the smallest id, of each group linked by a Jaccard similarity of 0.8 over five-word shingles."""
+    """One row, that of the smallest id, of each group linked by a Jaccard similarity of 0.8 over five-word shingles."""
     clear_written(spark)
     return op2_jaccard.one_of_each(docs)
 

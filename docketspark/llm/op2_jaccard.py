@@ -391,13 +391,20 @@ def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFram
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of docs, all columns, whose id is the smallest of its component; null ids stay."""
-    other = fresh(docs, "later")
-    later = (
-        jaccard_join(docs, words, percent)
-        .groupBy("doc_id")
-        .agg(F.min("component_id").alias("component_id"))
-        .where(F.col("doc_id") != F.col("component_id"))
-        .select(F.col("doc_id").alias(other))
-    )
-    return docs.join(later, F.col("doc_id") == F.col(other), "left_anti")
+    """One row of each component of rows, all columns: that of the smallest id, of equal ids the one whose columns hash least.
+
+    Rows are joined by a key of their own, so copies with one id or none are one group, and an id
+    that has several texts is judged text by text. A row without an id never takes the place of one
+    that has an id, nor the other way round: of a component's rows without an id, one stays as well.
+    """
+    key = fresh(docs, "row")
+    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
+    of = F.col("doc_id").cast("long")
+    content = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+    found = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), words, percent)
+    found = found.select(F.col("doc_id").alias("_row"), "component_id")
+    rows = keyed.select(F.col(key).alias("_own"), of.alias("_id"), content.alias("_content"))
+    placed = rows.join(found.hint("merge"), F.col("_own") == F.col("_row"))
+    first = F.min(F.struct("_id", "_content", "_own")).alias("first")
+    stay = placed.groupBy("component_id", F.col("_id").isNull().alias("_none")).agg(first).select(F.col("first._own").alias("_stay"))
+    return keyed.join(stay.hint("merge"), F.col(key) == F.col("_stay"), "left_semi").drop(key)

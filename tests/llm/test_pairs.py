@@ -76,6 +76,19 @@ def test_odd_rows(odd, odd_rows, none):
     assert op.one_of_each(none).count() == 0
 
 
+def test_one_row_of_each_component_stays(spark):
+    a, b, c, d = (prose(k, 60) for k in (101, 102, 103, 104))
+    rows = [(1, a, "x"), (1, a, "x"), (1, a, "y"), (3, a + " more", "x")]  # repeated rows and a near copy
+    rows += [(5, b, "x"), (9, b, "x"), (5, c, "x"), (2, c, "x")]  # 5 has two texts: b stays with 5, c with 2
+    rows += [(None, d, "x")] * 3 + [(None, d + " more", "x"), (None, None, "x"), (None, None, "x"), (7, "", "x"), (7, "", "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = op.one_of_each(df.repartition(5)).collect()
+    assert sorted((r.doc_id, r.text) for r in kept if r.doc_id is not None) == [(1, a), (2, c), (5, b), (7, ""), (7, "")]
+    nameless = [r.text for r in kept if r.doc_id is None]
+    assert nameless.count(None) == 2 and len(nameless) == 3
+    assert sorted(map(tuple, kept), key=repr) == sorted(map(tuple, op.one_of_each(df.coalesce(1)).collect()), key=repr)
+
+
 def test_region_join_is_exact():
     rng = np.random.default_rng(0)
     for _ in range(60):
