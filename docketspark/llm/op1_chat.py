@@ -6,9 +6,10 @@ how it ends and whether it opens the transcript. Start, transition and emission
 smoothed counts over all training conversations; Viterbi recovers the roles; neighbours of one role
 are one canonical turn.
 
-A conversation is worked on in blocks of `block` turn numbers: a block's best scores from each role
-to each role (a max-plus matrix) are enough to choose the roles at its ends, so a very long
-conversation is no single group; only one small matrix a block meets in one task.
+The segments are sorted by conversation, turn and place, and a conversation is worked on in blocks of
+`block` neighbours in that order at most: a block's best scores from each role to each role (a
+max-plus matrix) are enough to choose the roles at its ends, so a very long conversation, turn or
+text is no single group; only one small matrix a block meets in one task.
 
 Defined cases: null text is one empty segment; null conversation ids are one conversation; null
 turns come first; repeated rows are segments of their own; rows without a role are not trained on;
@@ -64,8 +65,8 @@ def seen_of(marker: int, text: str, opens: bool) -> list[int]:
     return [marker, size, min(5, text.count("\n")), ending, int(opens)]
 
 
-def cut(turns: DataFrame, block: int) -> DataFrame:
-    """conv_id, turn, role, seg, block, seen, text: the segments of every row."""
+def cut(turns: DataFrame) -> DataFrame:
+    """conv_id, turn, role, seg, seen, text: the segments of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,26 +80,49 @@ def cut(turns: DataFrame, block: int) -> DataFrame:
                     texts.append(body)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(at) for c in ("conv_id", "turn", "role", "block")), pa.array(seg, pa.int32()), pa.array(seen, pa.list_(pa.int32())), pa.array(texts, pa.string())],
-                ["conv_id", "turn", "role", "block", "seg", "seen", "text"],
+                [*(batch.column(c).take(at) for c in ("conv_id", "turn", "role")), pa.array(seg, pa.int32()), pa.array(seen, pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                ["conv_id", "turn", "role", "seg", "seen", "text"],
             )
 
-    rows = turns.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role",
-        F.coalesce(F.floor(F.col("turn") / block), F.lit(-1)).cast("long").alias("block"), "text",
-    )
-    return rows.mapInArrow(run, "conv_id long, turn long, role string, block long, seg int, seen array<int>, text string")
+    rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    return rows.mapInArrow(run, "conv_id long, turn long, role string, seg int, seen array<int>, text string")
 
 
-def fit(cut_rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray, list[np.ndarray]]:
+def in_blocks(cut_rows: DataFrame, block: int) -> DataFrame:
+    """The segments with `block` and `at`: runs of at most `block` neighbours of one conversation, both ascending in the order of segments.
+
+    Ranges are cut between any two segments: `_row` tells rows apart that are equal in all else.
+    """
+    rows = written(cut_rows.withColumn("_row", F.monotonically_increasing_id()), "segments")
+    order = ["conv_id", "turn", "seg", "text", "role", "_row"]
+    ranged = rows.repartitionByRange(partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
+    ranged = ranged.withColumn("_part", F.spark_partition_id().cast("long"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        conv, size, number, place = None, 0, -1, 0
+        for batch in batches:
+            blocks = []
+            first = (batch.column("_part")[0].as_py() << 40) if batch.num_rows else 0
+            for c in batch.column("conv_id").to_pylist():
+                if number < 0 or c != conv or size == block:
+                    conv, size, number = c, 0, number + 1
+                size += 1
+                blocks.append(first + number)
+            at = pa.array(range(first + place, first + place + len(blocks)), pa.int64())
+            place += len(blocks)
+            columns = [batch.column(c) for c in ("conv_id", "turn", "role", "seg", "seen", "text")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.int64()), at], ["conv_id", "turn", "role", "seg", "seen", "text", "block", "at"])
+
+    return written(ranged.mapInArrow(run, "conv_id long, turn long, role string, seg int, seen array<int>, text string, block long, at long"), "placed")
+
+
+def fit(placed_rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray, list[np.ndarray]]:
     """(roles, log start, log transitions, log emissions) counted over all rows with a role; tables of counts reach the driver."""
-    rows = cut_rows.where(F.col("role").isNotNull())
-    inside = Window.partitionBy("conv_id", "block").orderBy("turn", "seg", "text")
-    steps = rows.select("conv_id", "block", "role", F.lag("role").over(inside).alias("_before"), F.struct("turn", "seg").alias("at"))
-    ends = steps.groupBy("conv_id", "block").agg(F.max_by("role", "at").alias("last"))
-    ends = ends.select(F.col("conv_id").alias("c"), (F.col("block") + 1).alias("b"), "last")
-    heads = steps.where(F.col("_before").isNull())
-    joined = heads.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")), "left").select("role", F.col("last").alias("before"))
+    rows = placed_rows.where(F.col("role").isNotNull())
+    inside = Window.partitionBy("conv_id", "block").orderBy("at")
+    steps = rows.select("conv_id", "block", "role", F.lag("role").over(inside).alias("_before"), "at")
+    ends = steps.groupBy("conv_id", "block").agg(F.min_by("role", "at").alias("role"), F.max_by("role", "at").alias("last"))
+    joined = ends.select("role", F.lag("last").over(Window.partitionBy("conv_id").orderBy("block")).alias("before"))
     pairs = steps.where(F.col("_before").isNotNull()).select("role", F.col("_before").alias("before")).unionByName(joined)
     counts = pairs.groupBy("before", "role").count().collect()
     seen = rows.select("role", F.posexplode("seen").alias("k", "v")).groupBy("role", "k", "v").count().collect()
@@ -151,10 +175,10 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
     """
     spark = turns.sparkSession
     n = partitions(spark)
-    rows = written(cut(turns, block), "segments")
+    rows = in_blocks(cut(turns), block)
     held = F.coalesce(F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(parts)) == held_fold, F.lit(False))
     model = spark.sparkContext.broadcast(fit(rows.where(~held)))
-    sorted_rows = rows.repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "seg", "text")
+    sorted_rows = rows.repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
 
     def by_block(batches: Iterator[pa.RecordBatch]):
         """The sorted rows block by block: (key, rows)."""
@@ -221,6 +245,6 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
             )
 
     placed = rows.join(ends, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).drop("c", "b")
-    placed = placed.repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "turn", "seg", "text")
+    placed = placed.repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
     out = placed.mapInArrow(decoded, "conv_id long, turn long, seg int, recorded string, role string, rendered string")
     return out.select("conv_id", "turn", "seg", held.alias("held_out"), "recorded", "role", "rendered")

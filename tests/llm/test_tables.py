@@ -156,6 +156,22 @@ def test_chat_roles(spark, none):
     assert bodies == ["a\n", "b\nmore\n", "c\n"]
 
 
+def test_chat_blocks_hold_few_segments_whatever_the_turns(spark):
+    """A conversation without an id whose turns repeat or are null, one of a single turn, one of a single text."""
+    rng = random.Random(8)
+    says = ["User: why?", "Assistant: since it is so.", "and more\nof it", "", "System: be brief\n\nplain"]
+    rows = [(None, rng.choice([None, 0, 1, 2]), rng.choice(["user", "assistant", None]), rng.choice(says)) for _ in range(900)]
+    rows += [(1, 3, "user", "same")] * 300 + [(2, 0, "user", "a\n\n" * 400)] + [(k, 0, "user", "b") for k in range(3, 20)]
+    talk = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    placed = op1_chat.in_blocks(op1_chat.cut(talk), 16)
+    sizes = placed.groupBy("conv_id", "block").count()
+    assert sizes.agg(F.max("count")).first()[0] <= 16 and sizes.count() < placed.count() / 8
+    key = lambda found: sorted(map(tuple, found.collect()), key=repr)
+    got = key(op1_chat.recover(talk, block=16))
+    assert len(got) == sum(len(op1_chat.segments(r[3])) for r in rows)
+    assert got == key(op1_chat.recover(talk, block=10**6))
+
+
 def test_chat_viterbi_is_optimal():
     rng = np.random.default_rng(2)
     for _ in range(30):
