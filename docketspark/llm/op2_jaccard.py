@@ -5,9 +5,10 @@ regions drawn around pivots of the whole corpus would all overlap. Regions
 are therefore drawn first where the metric can tell texts apart: the universe of shingles is cut
 into more slices than two linked sets can differ in elements, so on one slice at least their
 distance is zero, and texts that agree on a slice that is not empty are put in one region. Inside a
-region, pivots take over: a pivot's ball of the link radius joins it, only texts whose distances to
-the pivot differ by at most that radius (the triangle inequality's window) are compared with the
-ball's members, and what is left is a region of its own, joined the same way.
+region, which one task holds whole, candidates come from an inverted index of the slices; a pivot's
+ball of the link radius joins it, and of the candidates only those whose distances to the pivot
+differ by at most that radius (the triangle inequality's window) are compared with the ball's
+members. There are no cells around pivots, no copies at their borders and no recursion.
 
 Every link between different sets is decided by their exact intersection. Texts with equal sets are
 one entry of the join.
