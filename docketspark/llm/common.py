@@ -2,44 +2,76 @@
 
 from __future__ import annotations
 
+import contextvars
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-_written: list[str] = []
+#: Paths of the tables written inside the innermost `scratch` block; None outside of any.
+_owned: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("owned", default=None)
 
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors and the driver can reach, as `spark.checkpoint.dir` names it.
 
-    Where the setting is missing (local sessions, tests) a temporary folder is made once.
+    A local session without the setting gets a temporary folder; on a cluster the setting is required,
+    as executors would write to their own disks.
     """
     folder = spark.sparkContext.getConf().get("spark.checkpoint.dir") or getattr(spark.sparkContext, "_own_shared", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         folder = spark.sparkContext._own_shared = tempfile.mkdtemp(prefix="shared-")
     return folder.rstrip("/")
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: lineage ends there. clear_written leaves it if keep is set."""
+    """Writes df as Parquet in the shared folder and reads it back: lineage ends there.
+
+    A surrounding `scratch` block deletes the table at its end unless keep is set; without one it
+    stays as long as the folder does, since a lazy result may still read it.
+    """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    if not keep:
-        _written.append(path)
+    owned = _owned.get()
+    if owned is not None and not keep:
+        owned.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def clear_written(spark: SparkSession) -> None:
-    """Deletes the tables that `written` has made; for callers whose results are stored by now."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+@contextmanager
+def scratch(spark: SparkSession):
+    """Tables written inside the block, and those only, are deleted at its end: store what is built on them within it."""
+    own: list[str] = []
+    mark = _owned.set(own)
+    try:
+        yield
+    finally:
+        _owned.reset(mark)
+        conf = spark._jsc.hadoopConfiguration()
+        for name in own:
+            path = spark._jvm.org.apache.hadoop.fs.Path(name)
+            path.getFileSystem(conf).delete(path, True)
+
+
+def with_group(df: DataFrame, keys: list[str], by: str, **totals: tuple) -> DataFrame:
+    """df with totals of each group of `keys` on all of its rows, no key's rows ever in one task.
+
+    Totals are built and handed back by 64 parts of a group, told apart by a hash of the column `by`.
+    Each total is (F.sum, F.min or F.max, column); df is read twice, and rows whose key is null go.
+    """
+    part = fresh(df, "part")
+    split = df.withColumn(part, F.pmod(F.xxhash64(by), F.lit(64)).cast("int"))
+    local = split.groupBy(*keys, part).agg(*[kind(c).alias(n) for n, (kind, c) in totals.items()])
+    whole = local.groupBy(*keys).agg(*[kind(n).alias(n) for n, (kind, _) in totals.items()])
+    return split.join(local.select(*keys, part).join(whole, keys), [*keys, part]).drop(part)
 
 
 def fresh(df: DataFrame, name: str) -> str:

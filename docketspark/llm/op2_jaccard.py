@@ -1,17 +1,27 @@
-"""N-gram Jaccard join: a metric-space join with pivots, exact.
-
-Jaccard distance is a metric. Between texts that share no shingle it is 1 whatever the pivots, so
-regions drawn around pivots of the whole corpus would all overlap. Regions
-are therefore drawn first where the metric can tell texts apart: the universe of shingles is cut
-into more slices than two linked sets can differ in elements, so on one slice at least their
-distance is zero, and texts that agree on a slice that is not empty are put in one region. Inside a
-region, which one task holds whole, candidates come from an inverted index of the slices; a pivot's
-ball of the link radius joins it, and of the candidates only those whose distances to the pivot
-differ by at most that radius (the triangle inequality's window) are compared with the ball's
-members. There are no cells around pivots, no copies at their borders and no recursion.
-
-Every link between different sets is decided by their exact intersection. Texts with equal sets are
-one entry of the join.
+"""N-gram Jaccard join: a metric-space join over pivots and Voronoi regions, exact.
+
+Jaccard distance is a metric, but between texts that share no shingle it is 1 whatever the pivots,
+so pivots are drawn where the metric can tell texts apart. The universe of shingles is cut into more
+slices than two linked sets can differ in elements, so linked sets agree on a slice that is not
+empty. The least set with a slice's content is the pivot of all sets that have it: a set belongs to
+the region of each pivot it has a slice in common with, and every linked pair meets in one region.
+
+Regions are joined recursively:
+
+1. Distances to the region's pivot are computed by parts of it. What lies within the link radius (the
+   pivot's ball) is linked to it; two members of the ball need no comparison any more. A region that
+   its ball covers is done, and of the ball only the members that the triangle inequality leaves
+   within reach of one outside are kept.
+2. A region that is small enough is joined by one task: pairs that share one of their rarest shingles,
+   whose distances to the pivot differ by at most the radius, are compared exactly.
+3. A larger one draws pivots of its own; a set goes to the cell of its nearest pivot, and is copied
+   to an earlier pivot's cell where its distance is at most two radii above that to its own pivot and
+   one radius above that of the cell's farthest member. Cells are regions of the next round.
+4. Cells that don't shrink (the metric can't tell their members apart) are cut into blocks, and each
+   pair of blocks is joined by one task: exact and of bounded memory, but quadratic in the cell.
+
+Texts with equal sets are one node, and the nodes that a slice of a batch has in common send one
+entry, so that no slice content, however common, is one task's.
 
 Defined cases: null, empty and wordless texts have no shingle, link with nothing and are their own
 component; a text with fewer words than a shingle has the whole sequence as its one shingle; rows
@@ -25,15 +35,25 @@ import functools
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import fresh, partitions, pieces, sliced, text_bytes, written
+from docketspark.llm.common import fresh, partitions, pieces, sliced, text_bytes, with_group, written
 from docketspark.llm.graph import components
 
+#: A region that has more shingles, or more sets, is cut by pivots.
+REGION_SHINGLES = 1 << 20
+REGION_SETS = 1 << 12
+#: Pivots that a region draws, as expected.
+PIVOTS = 16
+#: Salts after which a set that never fills enough slices has its shingles themselves as signatures.
+SALTS = 3
+#: Rows of a slice of a batch: a node is the slice's number and 16 bits for the row's place.
+_SLICE_ROWS = 1 << 16
+
 
 def shingle_sets(raw: np.ndarray, at: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct shingle hashes of each row, offsets of each row's first)."""
@@ -89,29 +109,31 @@ def _slice_counts(most: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     return found, np.where(found <= 16, found, (0.95 * found).astype(np.int64))
 
 
-def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, signature) of the slices that are not empty, and how many of them each row has in common with any linked one, at least.
+def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, signature) of the slices that are not empty.
 
     A set is sliced at every level from that of the smallest size it may link with to that of its
     own. A set with no more filled slices than it can have differences could agree with another one
     on empty slices alone; it is sliced again with another salt until it has more. Two such sets meet
-    at the first salt that is enough for either, as both go on until then.
+    at the first salt that is enough for either, as both go on until then; where none of SALTS is,
+    as at low thresholds, both have each of their shingles for a signature and meet at a shared one.
     """
     n = np.diff(first)
     rows_out, found_out = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
-    least = np.full(len(n), np.iinfo(np.int64).max)
     if not (n > 0).any():
-        return rows_out[0], found_out[0], least
+        return rows_out[0], found_out[0]
     counts, enough = _slice_counts(1 << int(differences(n.max(), percent) + 1).bit_length(), percent)
     low, high = (np.searchsorted(enough, differences(x, percent) + 1) for x in (-(-n * percent // 100), n))
+    scarce = np.zeros(len(n), bool)
     for lv in range(int(low[n > 0].min()), int(high.max()) + 1):
         todo = np.flatnonzero((n > 0) & (low <= lv) & (lv <= high))
         slices = int(counts[lv])
         # at a lower level the smaller partner, whose own level it is, bounds the differences
         most = np.minimum(differences(n[todo], percent), enough[lv] - 1)
-        salt = 0
-        while len(todo):
-            take = np.concatenate([np.arange(first[r], first[r + 1]) for r in todo.tolist()])
+        for salt in range(SALTS):
+            if not len(todo):
+                break
+            take = _spans(first[todo], n[todo])
             row = np.repeat(np.arange(len(todo)), n[todo])
             value = kernels.mix(hashes[take] + np.uint64(1000003 * (salt + 1)))
             key = row * slices + (((value >> np.uint64(32)) * np.uint64(slices)) >> np.uint64(32)).astype(np.int64)
@@ -123,15 +145,22 @@ def signatures(hashes: np.ndarray, first: np.ndarray, percent: int) -> tuple[np.
             tag = np.uint64((slices * 64 + salt) * 0x9E3779B97F4A7C15 % (1 << 64))
             rows_out.append(todo[key // slices])
             found_out.append(kernels.mix(content + tag + (key % slices).astype(np.uint64)))
-            filled = np.bincount(key // slices, minlength=len(todo))
-            if not salt:  # sets differ in `most` elements, so in as many slices, at most
-                least[todo] = np.minimum(least[todo], np.maximum(1, filled - most))
-            again = (filled <= most) & (salt < 63)
-            todo, most, salt = todo[again], most[again], salt + 1
-    return np.concatenate(rows_out), np.concatenate(found_out), least
+            again = np.bincount(key // slices, minlength=len(todo)) <= most
+            todo, most = todo[again], most[again]
+        scarce[todo] = True
+    todo = np.flatnonzero(scarce)
+    if len(todo):
+        rows_out.append(np.repeat(todo, n[todo]))
+        found_out.append(kernels.mix(hashes[_spans(first[todo], n[todo])] ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
+    return np.concatenate(rows_out), np.concatenate(found_out)
+
 
+def _spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each of the runs, one after the other."""
+    return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - start, count)
 
-#: Shingles that a region's join has in arrays at a time.
+
+#: Shingles that a comparison has in arrays at a time.
 _AT_ONCE = 1 << 20
 
 
@@ -149,246 +178,422 @@ def _shared_with(pivot: np.ndarray, sets: list[np.ndarray], members: np.ndarray)
     return out
 
 
-class _Meetings:
-    """Which sets of a region agree on how many slices."""
-
-    def __init__(self, sets: list[np.ndarray], percent: int):
-        rows, found, least = [], [], []
-        total, i = np.cumsum([len(s) for s in sets]), 0
-        while i < len(sets):
-            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _AT_ONCE, "right")))
-            first = np.r_[0, total[i:j] - (total[i - 1] if i else 0)]
-            row, signature, own = signatures(np.concatenate(sets[i:j]), first, percent)
-            rows.append((row + i).astype(np.int32)), found.append(signature), least.append(own)
-            i = j
-        row, found, self.least = np.concatenate(rows), np.concatenate(found), np.concatenate(least)
-        order = np.argsort(found)
-        row, found = row[order], found[order]
-        new = np.r_[True, found[1:] != found[:-1]]
-        group = np.cumsum(new) - 1
-        several = np.bincount(group)[group] > 1
-        self.member, group = row[several], group[several]
-        head = np.flatnonzero(np.r_[True, group[1:] != group[:-1]]) if len(group) else group
-        self.start, self.end = head, np.append(head[1:], len(group))
-        slot = np.repeat(np.arange(len(head)), self.end - self.start)
-        order = np.argsort(self.member, kind="stable")
-        self.slots, self.first = slot[order], np.searchsorted(self.member[order], np.arange(len(sets) + 1))
-
-    def candidates(self, q: int) -> np.ndarray:
-        """The sets that agree with q on as many slices as linked ones must."""
-        slots = self.slots[self.first[q] : self.first[q + 1]]
-        low, count = self.start[slots], self.end[slots] - self.start[slots]
-        shared, total, i = np.zeros(len(self.least), np.int64), np.cumsum(count), 0
-        while i < len(slots):
-            j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _AT_ONCE, "right")))
-            c = count[i:j]
-            place = np.arange(c.sum()) - np.repeat(np.cumsum(c) - c - low[i:j], c)
-            shared += np.bincount(self.member[place], minlength=len(shared))
-            i = j
-        return np.flatnonzero((shared >= self.least) & (shared >= self.least[q]))
+def _measured(pivot: np.ndarray, sets: list[np.ndarray], percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distance of each set to the pivot, whether the two are linked)."""
+    shared = _shared_with(pivot, sets, np.arange(len(sets)))
+    union = len(pivot) + np.array([len(s) for s in sets], np.int64) - shared
+    return 1 - shared / union, 100 * shared >= percent * union
 
 
-def region_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """The component of each set of a region, by pivots; exact. Arrays hold about _AT_ONCE shingles at a time beside the sets."""
-    n = len(sets)
-    if n < 2:
-        return np.zeros(n, np.int64)
+def _reach(percent: int) -> float:
+    return 1 - percent / 100 + 1e-9
+
+
+def links_within(sets: list[np.ndarray], percent: int, far: np.ndarray, ball: np.ndarray, side: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join the sets of a region into its components, exact.
+
+    far: distances to the region's pivot (nan: unknown); ball: what is linked to it, and so one
+    component already; two sets of one side other than 0 are not to be compared. Linked sets share
+    one of their rarest shingles, as many as either can do without and one more.
+    """
+    n, found = len(sets), []
+    label = np.arange(n)
+    if ball.any():
+        label[ball] = np.flatnonzero(ball)[0]
+    groups = len(np.unique(label))
+    if groups < 2:
+        return found
     size = np.array([len(s) for s in sets], np.int64)
-    out, left = np.full(n, -1), np.ones(n, bool)
-    reach = 1 - percent / 100 + 1e-9
-    met = _Meetings(sets, percent)
-    for p in range(n):
-        if not left[p]:
+    owner = np.repeat(np.arange(n), size)
+    _, code, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rare = times[code]
+    order = np.lexsort((code, rare, owner))
+    place = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+    early = (place < (size - -(-size * percent // 100) + 1)[owner]) & (rare[order] > 1)
+    own, code = owner[early], code[order][early]
+    by = np.lexsort((own, code))
+    own, code = own[by], code[by]
+    cuts = np.flatnonzero(np.r_[True, code[1:] != code[:-1], True]) if len(code) else np.zeros(1, np.int64)
+    slot = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+    of = np.argsort(own, kind="stable")
+    first = np.searchsorted(own[of], np.arange(n + 1))
+    common = np.bincount(label).argmax()  # pairs inside the largest component needn't be looked at
+    settled = label == common
+    for q in np.flatnonzero(~settled).tolist():
+        near = np.zeros(n, bool)
+        for k in slot[of[first[q] : first[q + 1]]].tolist():
+            near[own[cuts[k] : cuts[k + 1]]] = True
+        near[: q + 1] &= settled[: q + 1]
+        c = np.flatnonzero(near)
+        c = c[(label[c] != label[q]) & ((side[c] != side[q]) | (side[c] == 0))]
+        c = c[(100 * np.minimum(size[c], size[q]) >= percent * np.maximum(size[c], size[q])) & ~(np.abs(far[c] - far[q]) > _reach(percent))]
+        if not len(c):
             continue
-        left[p], out[p], queue = False, p, [p]
-        from_pivot = np.full(n, np.nan)
-        from_pivot[p] = 0.0
-        while queue:
-            q = queue.pop()
-            near = met.candidates(q)
-            near = near[left[near]]
-            # the pivot's ball joins it first; then only what the triangle inequality leaves within reach of a member is compared
-            near = near[~(np.abs(from_pivot[near] - from_pivot[q]) > reach)]
-            if not len(near):
-                continue
-            shared = _shared_with(sets[q], sets, near)
-            union = size[q] + size[near] - shared
-            if q == p:
-                from_pivot[near] = 1 - shared / union
-            linked = near[100 * shared >= percent * union]
-            left[linked], out[linked] = False, p
-            queue.extend(linked.tolist())
-    return out
+        shared = _shared_with(sets[q], sets, c)
+        for k in c[100 * shared >= percent * (size[c] + size[q] - shared)].tolist():
+            if label[k] != label[q]:
+                found.append((q, k))
+                label[label == label[k]] = label[q]
+                groups -= 1
+        if groups == 1:
+            break
+    return found
 
 
-def _packed(bucket: np.ndarray, ids: np.ndarray, found: np.ndarray) -> Iterator[tuple[int, bytes]]:
-    """One blob for each bucket: runs of ids and 48 bits of each signature."""
-    order = np.lexsort((ids, bucket))
-    bucket, ids, found = bucket[order], ids[order], found[order]
-    cuts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1], True]) if len(bucket) else np.zeros(1, np.int64)
-    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-        own = ids[a:b]
-        heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
-        runs = np.diff(np.append(heads, b - a)).astype(np.uint32)
-        yield int(bucket[a]), b"".join([
-            np.array([len(heads), b - a], np.int64).tobytes(), own[heads].tobytes(), runs.tobytes(),
-            (found[a:b] >> np.uint64(32)).astype(np.uint32).tobytes(), (found[a:b] >> np.uint64(16)).astype(np.uint16).tobytes(),
-        ])
+def region_components(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """The component of each set of a region, named by its first member; the first set is the pivot."""
+    n = len(sets)
+    if n < 2:
+        return np.zeros(n, np.int64)
+    far, ball = _measured(sets[0], sets, percent)
+    label = np.where(ball, 0, np.arange(n))
+    for a, b in links_within(sets, percent, far, ball, np.zeros(n, np.int64)):
+        low, high = sorted((label[a], label[b]))
+        label[label == high] = low
+    return label
 
 
-def _unpacked(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-    runs, n = np.frombuffer(blob, np.int64, 2).tolist()
-    at = 16
-    ids = np.frombuffer(blob, np.int64, runs, at)
-    counts = np.frombuffer(blob, np.uint32, runs, at := at + 8 * runs)
-    high = np.frombuffer(blob, np.uint32, n, at := at + 4 * runs)
-    low = np.frombuffer(blob, np.uint16, n, at + 4 * n)
-    return np.repeat(ids, counts), (high.astype(np.uint64) << np.uint64(16)) | low
+_ROW = np.dtype([("id", "<i8"), ("ok", "?"), ("n", "<i8"), ("rep", "<i4")])
+_REP = np.dtype([("id", "<i8"), ("n", "<i8"), ("one", "<u8"), ("two", "<u8")])
 
 
-def _slices(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
-    """(bucket, kind, blob): signatures of the first text of each set in a batch (0), or what is known of each row (1)."""
+def _slices(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """One row a slice of a batch: its rows, its distinct sets (rep: the smallest id of each), and their signatures in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        turn = 0
-        for batch in sliced(batches, "text"):
-            column = batch.column("doc_id")
-            valid = np.asarray(column.is_valid())
-            ids = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes, one, two, rows, found = [], [], [], [], []
-            for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
-                hashes, first = shingle_sets(raw, at, words)
-                a, b = set_keys(hashes, first)
-                row, signature, _ = signatures(hashes, first, percent)
-                sizes.append(np.diff(first)), one.append(a), two.append(b), rows.append(row + i), found.append(signature)
-            if not sizes:
-                continue
-            sizes, one, two, rows, found = map(np.concatenate, (sizes, one, two, rows, found))
-            order = np.lexsort((ids, two, one, ~valid))
-            new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1]) | (valid[order][1:] != valid[order][:-1])]
-            head = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
-            rep = np.empty(len(ids), np.int64)
-            rep[order] = head
-            speaks = (rep == np.arange(len(ids))) & valid
-            rows, found = rows[speaks[rows]], found[speaks[rows]]
-            bucket = ((found & np.uint64(0xFFFF)) % np.uint64(buckets)).astype(np.int64)
-            out = [(b, 0, x) for b, x in _packed(bucket, ids[rows], found)]
-            known = pd.DataFrame({"id": ids, "ok": valid, "n": sizes, "rep": ids[rep], "set": one.view(np.int64)})
-            turn += 1
-            out.append(((turn * 7919 + int(ids[0])) % buckets, 1, known.to_records(index=False).tobytes()))
-            for k in range(0, len(out), 256):
-                some = out[k : k + 256]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[0] for x in some], pa.int32()), pa.array([x[1] for x in some], pa.int32()), pa.array([x[2] for x in some], pa.binary())],
-                    ["bucket", "kind", "blob"],
-                )
+        number = TaskContext.get().partitionId() << 20
+        for big in sliced(batches, "text"):
+            for k in range(0, big.num_rows, _SLICE_ROWS):
+                batch = big.slice(k, _SLICE_ROWS)
+                column = batch.column("doc_id")
+                valid = np.asarray(column.is_valid())
+                ids = column.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+                sizes, one, two, rows, found = [], [], [], [], []
+                for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
+                    hashes, first = shingle_sets(raw, at, words)
+                    a, b = set_keys(hashes, first)
+                    row, signature = signatures(hashes, first, percent)
+                    sizes.append(np.diff(first)), one.append(a), two.append(b), rows.append(row + i), found.append(signature)
+                sizes, one, two, rows, found = map(np.concatenate, (sizes, one, two, rows, found))
+                known = np.zeros(len(ids), _ROW)
+                known["id"], known["ok"], known["n"], known["rep"] = ids, valid, sizes, -1
+                use = np.flatnonzero(valid & (sizes > 0))
+                order = use[np.lexsort((ids[use], two[use], one[use]))]
+                new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])][: len(order)]
+                known["rep"][order] = np.cumsum(new) - 1
+                head = order[new]
+                rep = np.zeros(len(head), _REP)
+                rep["id"], rep["n"], rep["one"], rep["two"] = ids[head], sizes[head], one[head], two[head]
+                speaks = np.zeros(len(ids), bool)
+                speaks[head] = True
+                rows, found = rows[speaks[rows]], found[speaks[rows]]
+                owner = known["rep"][rows]
+                order = np.lexsort((owner, found))
+                out = known.tobytes(), rep.tobytes(), owner[order].astype(np.uint16).tobytes(), found[order].tobytes()
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in out)], ["slice", "rows", "reps", "owner", "sig"])
+                number += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "bucket int, kind int, blob binary")
+    return rows.mapInArrow(run, "slice long, rows binary, reps binary, owner binary, sig binary")
 
 
-_KNOWN = np.dtype([("id", "<i8"), ("ok", "?"), ("n", "<i8"), ("rep", "<i8"), ("set", "<i8")])
-_MET = "kind int, a long, b long, n long, key long"
+def _heads(*keys: np.ndarray) -> np.ndarray:
+    """Whether each place of sorted arrays differs from the one before it."""
+    new = np.ones(len(keys[0]), bool)
+    new[1:] = np.logical_or.reduce([k[1:] != k[:-1] for k in keys])
+    return new
 
 
-def _meetings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Edges (0, smallest id, other id) of texts that share a signature; rows (1, id, first text of its set, size, set) as they are."""
+def _offered(buckets: int):
+    """Slices to (bucket, slice, keys, owners, ones, twos, reps): each signature and each set once a slice, by the bucket it falls in."""
+    names = ("keys", "owners", "ones", "twos", "reps")
 
-    def emit(kind: int, a, b, n, key) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(b), kind), pa.int32()), a, pa.array(b, pa.int64()), pa.array(n, pa.int64()), pa.array(key, pa.int64())],
-            ["kind", "a", "b", "n", "key"],
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for number, reps, owner, sig in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps", "owner", "sig")), strict=True):
+                sig, owner, rep = np.frombuffer(sig, np.uint64), np.frombuffer(owner, np.uint16), np.frombuffer(reps, _REP)
+                new = _heads(sig)
+                sig, owner = sig[new], owner[new]
+                at = [sig % np.uint64(buckets), rep["one"] % np.uint64(buckets)]
+                order = [np.argsort(x, kind="stable") for x in at]
+                cuts = [np.searchsorted(x[o], np.arange(buckets + 1, dtype=np.uint64)) for x, o in zip(at, order, strict=True)]
+                columns = sig[order[0]], owner[order[0]], rep["one"][order[1]], rep["two"][order[1]], order[1].astype(np.uint16)
+                which = 0, 0, 1, 1, 1
+                full = [b for b in range(buckets) if any(c[b] < c[b + 1] for c in cuts)]
+                blobs = [pa.array([x[cuts[w][b] : cuts[w][b + 1]].tobytes() for b in full], pa.binary()) for x, w in zip(columns, which, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([number] * len(full), pa.int64()), *blobs], ["bucket", "slice", *names])
+
+    return run
+
+
+_OFFER = "bucket int, slice long, keys binary, owners binary, ones binary, twos binary, reps binary"
 
-    ids, found = [], []
+
+def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(slice, pivots, same): for the signatures of several slices their least node, and for sets that have an earlier copy that one."""
+    got: list[list[np.ndarray]] = [[], [], [], [], []]
     for batch in batches:
-        for bucket, kind, blob in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if kind:
-                known = np.frombuffer(blob, _KNOWN)
-                yield emit(1, pa.array(known["id"], pa.int64(), mask=~known["ok"]), known["rep"], known["n"], known["set"])
-            else:
-                a, b = _unpacked(blob)
-                ids.append(a)
-                found.append((b << np.uint64(16)) | np.uint64(bucket & 0xFFFF))
-    if not ids:
+        for number, *blobs in zip(*(batch.column(c).to_pylist() for c in ("slice", "keys", "owners", "ones", "twos", "reps")), strict=True):
+            keys, owners, ones, twos, reps = (np.frombuffer(b, t) for b, t in zip(blobs, (np.uint64, np.uint16, np.uint64, np.uint64, np.uint16), strict=True))
+            for k, x in enumerate((keys, (number << 16) | owners.astype(np.int64), ones, twos, (number << 16) | reps.astype(np.int64))):
+                got[k].append(x)
+    if not got[0]:
         return
-    ids, found = np.concatenate(ids), np.concatenate(found)
-    order = np.lexsort((ids, found))
-    ids, found = ids[order], found[order]
-    new = np.r_[True, found[1:] != found[:-1]]
-    head = ids[np.maximum.accumulate(np.where(new, np.arange(len(ids)), 0))]
-    apart = head != ids
-    if apart.any():
-        edges = np.unique(np.stack([head[apart], ids[apart]]), axis=1)
-        zero = np.zeros(edges.shape[1], np.int64)
-        yield emit(0, pa.array(edges[0], pa.int64()), edges[1], zero, zero)
-
-
-def _joined(words: int, percent: int):
-    """For rows (region, doc_id, text) sorted by region: (region, set, smallest id of its component)."""
-
-    def close(region: int | None, ids: list, keys: list[int], sets: dict[int, np.ndarray]) -> list[tuple]:
-        order = sorted(range(len(ids)), key=lambda i: (ids[i], i))
-        place = {keys[i]: k for k, i in reversed(list(enumerate(order)))}  # copies of a set are one entry, the smallest id's
-        entries = sorted(place.values())
-        found = region_components([sets[keys[order[k]]] for k in entries], percent)
-        least = {keys[order[k]]: ids[order[entries[c]]] for k, c in zip(entries, found.tolist(), strict=True)}
-        return [(region, key, root) for key, root in least.items()]
+    key, node, one, two, rep = map(np.concatenate, got)
+    order = np.lexsort((node, key))
+    key, node = key[order], node[order]
+    new = _heads(key)
+    pivot = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] if len(key) else node
+    several = ~new
+    several[:-1] |= ~new[1:]
+    key, node, pivot = key[several], node[several], pivot[several]
+    order = np.lexsort((rep, two, one))
+    one, two, rep = one[order], two[order], rep[order]
+    new = _heads(one, two)
+    least = rep[np.maximum.accumulate(np.where(new, np.arange(len(rep)), 0))] if len(rep) else rep
+    rep, least = rep[~new], least[~new]
+    tables = []
+    for at, a, b in ((node >> 16, key.view(np.int64), pivot), (rep >> 16, rep, least)):
+        order = np.argsort(at, kind="stable")
+        tables.append((at[order], np.stack([a, b], axis=1)[order]))
+    slices = np.unique(np.concatenate([t[0] for t in tables]))
+    for k in range(0, len(slices), 1024):
+        some = slices[k : k + 1024]
+        blobs = []
+        for at, pairs in tables:
+            cuts = np.searchsorted(at, some, "left"), np.searchsorted(at, some, "right")
+            blobs.append(pa.array([pairs[i:j].tobytes() for i, j in zip(*(c.tolist() for c in cuts), strict=True)], pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *blobs], ["slice", "pivots", "same"])
+
+
+_MET = "kind int, a long, b long, n long"
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Slices and their answers to (0, pivot, set, its size) for each region a set belongs to, and (1, first copy, later copy, 0)."""
+    pairs_of = lambda blobs: np.concatenate([np.zeros((0, 2), np.int64), *(np.frombuffer(b, np.int64).reshape(-1, 2) for b in blobs or ())])
+    for batch in batches:
+        for number, reps, owner, sig, pivots, same in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps", "owner", "sig", "pivots", "same")), strict=True):
+            rep, sig, owner = np.frombuffer(reps, _REP), np.frombuffer(sig, np.uint64), np.frombuffer(owner, np.uint16).astype(np.int64)
+            base, pivots, same = number << 16, pairs_of(pivots), pairs_of(same)
+            new = _heads(sig)
+            group = np.cumsum(new) - 1
+            pivot = base | owner[new]
+            pivot[np.searchsorted(sig[new], pivots[:, 0].view(np.uint64))] = pivots[:, 1]
+            copy = np.zeros(len(rep), bool)
+            copy[same[:, 0] & (_SLICE_ROWS - 1)] = True
+            a, b = pivot[group], base | owner
+            apart = (a != b) & ~copy[owner]
+            a, b = np.unique(np.stack([a[apart], b[apart]]), axis=1) if apart.any() else (a[:0], b[:0])
+            kind = np.r_[np.zeros(len(a)), np.ones(len(same))]
+            n = np.r_[rep["n"][b & (_SLICE_ROWS - 1)], np.zeros(len(same), np.int64)]
+            columns = (kind, pa.int32()), (np.r_[a, same[:, 1]], pa.int64()), (np.r_[b, same[:, 0]], pa.int64()), (n, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(x.astype(t.to_pandas_dtype()), t) for x, t in columns], ["kind", "a", "b", "n"])
+
+
+def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, doc_id, one, two) of every distinct set of every slice."""
+    for batch in batches:
+        for number, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps")), strict=True):
+            rep = np.frombuffer(reps, _REP)
+            columns = (number << 16) | np.arange(len(rep)), rep["id"], rep["one"].view(np.int64), rep["two"].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "doc_id", "one", "two"])
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, n_shingles, node, alone) of every row; node is null where there is no set, alone the component if nothing is linked."""
+    for batch in batches:
+        for number, rows, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "rows", "reps")), strict=True):
+            row, rep = np.frombuffer(rows, _ROW), np.frombuffer(reps, _REP)
+            none = row["rep"] < 0
+            alone = np.where(none, row["id"], rep["id"][row["rep"]] if len(rep) else 0)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(row["id"], pa.int64(), mask=~row["ok"]), pa.array(row["n"], pa.int64()), pa.array((number << 16) | row["rep"].astype(np.int64), pa.int64(), mask=none), pa.array(alone, pa.int64(), mask=~row["ok"])],
+                ["doc_id", "n_shingles", "node", "alone"],
+            )
+
+
+def _sets_of(words: int):
+    """Rows (node, one, two, text) to (node, set): the shingles in order, of the rows whose text has that set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = None
+        for big in batches:
+            for batch in sliced(iter([big]), "text"):
+                node, one, two = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "one", "two"))
+                nodes, sets = [], []
+                for i, j, raw, at in pieces(*text_bytes(batch.column("text"))):
+                    hashes, first = shingle_sets(raw, at, words)
+                    a, b = set_keys(hashes, first)
+                    right = (a.view(np.int64) == one[i:j]) & (b.view(np.int64) == two[i:j])
+                    for k in np.flatnonzero(right).tolist():
+                        if node[i + k] != last:  # rows of one id and text come together
+                            last = node[i + k]
+                            nodes.append(last)
+                            sets.append(hashes[first[k] : first[k + 1]].tobytes())
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
+
+    return run
+
+
+_REGION = "kind int, region long, part int, parts int, a long, b long, n long, d double, ball boolean, copied int"
+
+
+def _joined(percent: int):
+    """Rows of parts of regions, in order of (region, part, role), pivots first, to links (kind 0: a, b) and, of regions in parts, members of cells (kind 1).
+
+    A cell is named by its pivot a; b is the member, d its distance, ball whether the two are linked, copied whether it is at home elsewhere.
+    """
+
+    def settle(key: tuple, pivots: list, members: list, links: list, cells: list) -> None:
+        region, part, parts = key
+        nodes = np.array([m[0] for m in members], np.int64)
+        sets = [m[1] for m in members]
+        if not len(nodes):
+            return
+        pivots = list(dict(pivots).items())
+        far, ball = np.array([m[2] for m in members], np.float64), np.array([m[3] for m in members], bool)
+        if pivots:
+            measured = [_measured(s, sets, percent) for _, s in pivots]
+            own, linked = np.array([m[0] for m in measured]), np.array([m[1] for m in measured])
+            names = np.array([p for p, _ in pivots], np.int64)
+            p, k = np.nonzero(linked)
+            links.extend(x for x in zip(names[p].tolist(), nodes[k].tolist(), strict=True) if x[0] != x[1])
+        if parts == 1:
+            if pivots:
+                far, ball = own[0], linked[0]
+            side = np.array([m[4] for m in members], np.int64)
+            links.extend((int(nodes[i]), int(nodes[j])) for i, j in links_within(sets, percent, far, ball, side))
+            return
+        if not pivots:  # none was drawn: one cell
+            own, linked, names = far[None], ball[None], np.zeros(1, np.int64)
+        home = own.argmin(axis=0)
+        nearest = own[home, np.arange(len(nodes))]
+        for c in range(len(names)):
+            there = np.flatnonzero((home == c) | ((names[c] < names[home]) & (own[c] <= nearest + 2 * _reach(percent))))
+            cells.extend((region, part, parts, int(names[c]), int(nodes[k]), len(sets[k]), float(own[c, k]), bool(linked[c, k]), int(home[k] != c)) for k in there.tolist())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        region, ids, keys, sets, done = None, [], [], {}, []
+        key, pivots, members, links, cells = None, [], [], [], []
 
         def flushed() -> pa.RecordBatch:
-            columns = zip(*done, strict=True) if done else ([], [], [])
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.int64()) for c in columns], ["region", "key", "root"])
+            rows = [(0, 0, 0, 0, a, b, 0, 0.0, True, 0) for a, b in links] + [(1, *c) for c in cells]
+            kinds = pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_(), pa.int32()
+            columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in _REGION.split(", ")])
 
         for batch in batches:
-            regions, own = batch.column("region").to_pylist(), batch.column("doc_id").to_pylist()
-            for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
-                hashes, first = shingle_sets(raw, at, words)
-                key = set_keys(hashes, first)[0].astype(np.int64).tolist()
-                for k in range(len(first) - 1):
-                    if regions[i + k] != region:
-                        done += close(region, ids, keys, sets)
-                        region, ids, keys, sets = regions[i + k], [], [], {}
-                    if first[k + 1] > first[k]:
-                        ids.append(own[i + k])
-                        keys.append(key[k])
-                        if key[k] not in sets:
-                            sets[key[k]] = hashes[first[k] : first[k + 1]].copy()
-            yield flushed()
-            done = []
-        done = close(region, ids, keys, sets)
+            names = ("region", "part", "parts", "role", "node", "d", "ball", "side")
+            sets = batch.column("set")
+            for k, (region, part, parts, role, node, d, ball, side) in enumerate(zip(*(batch.column(c).to_pylist() for c in names), strict=True)):
+                if key != (region, part, parts):
+                    if key:
+                        settle(key, pivots, members, links, cells)
+                    key, pivots, members = (region, part, parts), [], []
+                own = np.frombuffer(sets[k].as_buffer(), np.uint64)
+                if role:
+                    members.append((node, own, float("nan") if d is None else d, bool(ball), side))
+                else:
+                    pivots.append((node, own))
+            if len(links) + len(cells) > 1 << 14:
+                yield flushed()
+                links, cells = [], []
+        if key:
+            settle(key, pivots, members, links, cells)
         yield flushed()
 
     return run
 
 
-def jaccard_join(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id of every row: the smallest id reachable over links of at least percent / 100."""
+def _in_blocks(sized: DataFrame) -> DataFrame:
+    """Members of regions that pivots can't cut: each block of a region with each other one, and with itself, is a region of one part."""
+    blocks = (2 * F.col("parts")).cast("int")
+    own = F.pmod(F.xxhash64("b", F.lit(5)), blocks).cast("int")
+    with_ = F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)).alias("_other")
+    rows = sized.withColumns({"_blocks": blocks, "_own": own}).select("*", with_)
+    low, high = F.least("_own", "_other"), F.greatest("_own", "_other")
+    side = F.when(low == high, 0).otherwise(F.when(F.col("_own") == low, 1).otherwise(2))
+    return rows.select(
+        F.xxhash64("region", low, high).alias("region"), "b", "n", F.lit(None).cast("double").alias("d"), F.lit(False).alias("ball"),
+        side.alias("side"), F.lit(1).alias("parts"), F.lit(0).cast("long").alias("many"), F.lit(0).cast("long").alias("before"),
+    )
+
+
+def region_links(met: DataFrame, sets: DataFrame, percent: int, most_shingles: int = REGION_SHINGLES, most_sets: int = REGION_SETS) -> list[DataFrame]:
+    """Tables of links (a, b) that join the members of the regions (a: pivot, b: set, n: its size) into components."""
+    n, links, reach = partitions(met.sparkSession), [], _reach(percent)
+    members = met.select(
+        F.col("a").alias("region"), "b", "n", F.lit(None).cast("double").alias("d"), F.lit(False).alias("ball"), F.lit(0).alias("side"),
+        F.lit(1 << 62).alias("before"),
+    )
+    depth = 0
+    while True:
+        sized = with_group(members, ["region"], "b", total=(F.sum, F.col("n")), many=(F.sum, F.lit(1)))
+        parts = F.greatest(F.ceil(F.col("total") / most_shingles), F.ceil(F.col("many") / most_sets)).cast("int")
+        sized = sized.select("region", "b", "n", "d", "ball", "side", parts.alias("parts"), "many", "before")
+        if depth > 1:  # cells of drawn pivots: those that kept most of their region are not cut again
+            sized = written(sized, "cells")
+            stuck = (F.col("parts") > 1) & ((F.col("many") > 0.7 * F.col("before")) | F.lit(depth > 6))
+            sized = sized.where(~stuck).unionByName(_in_blocks(sized.where(stuck)))
+        part = F.pmod(F.xxhash64("b", F.lit(depth)), F.col("parts")).cast("int")
+        asked = sized.select("region", part.alias("part"), "parts", F.lit(1).alias("role"), F.col("b").alias("id"), "d", "ball", "side")
+        if depth:
+            pivots = sized.where((F.col("parts") > 1) & (F.pmod(F.xxhash64("b", F.lit(depth + 100)), F.col("many")) < PIVOTS)).select("region", "parts", F.col("b").alias("id"))
+        else:
+            pivots = sized.groupBy("region").agg(F.max("parts").alias("parts")).select("region", "parts", F.col("region").alias("id"))
+        everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
+        pivots = pivots.select("region", everywhere, "parts", F.lit(0).alias("role"), "id", F.lit(None).cast("double").alias("d"), F.lit(True).alias("ball"), F.lit(0).alias("side"))
+        rows = asked.unionByName(pivots).join(sets.hint("merge"), F.col("id") == F.col("node"))
+        rows = rows.select("region", "part", "parts", "role", "node", "d", "ball", "side", "set")
+        rows = rows.repartition(n, "region", "part").sortWithinPartitions("region", "part", "parts", "role", "node")
+        found = written(rows.mapInArrow(_joined(percent), _REGION), "joined")
+        links.append(found.where("kind = 0").select("a", "b"))
+        cells = found.where("kind = 1")
+        if cells.isEmpty():
+            return links
+        sizes = with_group(cells, ["region"], "b", many=(F.sum, 1 - F.col("copied"))).select("region", "a", "b", "n", "d", "ball", "copied", F.col("many").alias("before"))
+        sizes = sizes.withColumn("cell", F.xxhash64("region", "a", F.lit(depth)))
+        sizes = with_group(
+            written(sizes, "homes"), ["cell"], "b", radius=(F.max, F.when(F.col("copied") == 0, F.col("d"))), outside=(F.min, F.when(~F.col("ball"), F.col("d"))),
+        )
+        # nothing is outside of the ball: done; else of the ball stays what may be linked with what is outside
+        near = ~F.col("ball") | (F.col("d") >= F.col("outside") - reach)
+        kept = sizes.where((F.col("d") <= F.col("radius") + reach) & F.col("outside").isNotNull() & near)
+        members = written(kept.select(F.col("cell").alias("region"), "b", "n", "d", "ball", F.col("copied").alias("side"), "before"), "members")
+        depth += 1
+
+
+def jaccard_join(
+    docs: DataFrame, words: int = 5, percent: int = 80, most_shingles: int = REGION_SHINGLES, most_sets: int = REGION_SETS
+) -> DataFrame:
+    """doc_id, n_shingles, component_id of every row: the smallest id reachable over links of at least percent / 100.
+
+    A region of more than most_shingles shingles or most_sets sets is cut by pivots of its own.
+    """
+    if not 0 < percent <= 100 or words < 1:
+        raise ValueError("percent must be above 0 and at most 100, words at least 1")
     n = partitions(docs.sparkSession)
-    slices = _slices(docs, words, percent, n).repartition(n, "bucket")
-    met = written(slices.mapInArrow(_meetings, _MET), "meetings")
-    regions = components(met.where("kind = 0").select("a", "b"))
-    rows = met.where("kind = 1").select(F.col("a").alias("doc_id"), F.col("n").alias("n_shingles"), "b", F.col("key").alias("own"))
-    firsts = rows.where((F.col("doc_id") == F.col("b")) & (F.col("n_shingles") > 0)).select("b", "own").distinct()
-    placed = written(firsts.join(regions, F.col("b") == F.col("node")).select(F.col("root").alias("region"), "b", "own"), "regions")
-    # one text of each set is compared, and none where a region has one set only
-    sets = placed.groupBy("region", "own").agg(F.min("b").alias("least"))
-    several = sets.groupBy("region").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    asked = sets.join(several.select("region"), "region").select("region", F.col("least").alias("asked")).distinct()
+    slices = written(_slices(docs, words, percent), "slices")
+    answers = slices.select("slice", "reps", "owner", "sig").mapInArrow(_offered(n), _OFFER).repartition(n, "bucket").mapInArrow(_answered, "slice long, pivots binary, same binary")
+    answers = answers.groupBy("slice").agg(F.collect_list("pivots").alias("pivots"), F.collect_list("same").alias("same")).withColumnRenamed("slice", "of")
+    asked = slices.select("slice", "reps", "owner", "sig").join(answers.hint("merge"), F.col("slice") == F.col("of"), "left").drop("of")
+    met = written(asked.mapInArrow(_met, _MET), "met")
+    nodes = slices.select("slice", "reps").mapInArrow(_nodes, "node long, doc_id long, one long, two long")
+    pairs = met.where("kind = 0").select("a", "b", "n")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(nodes.hint("merge"), F.col("w") == F.col("node")).select("node", F.col("doc_id").alias("asked"), "one", "two")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # merged at every size: ids asked for grow with the corpus
-    members = texts.join(asked.hint("merge"), F.col("doc_id") == F.col("asked")).select("region", "doc_id", "text")
-    joined = members.repartition(n, "region").sortWithinPartitions("region").mapInArrow(_joined(words, percent), "region long, key long, root long")
-    joined = joined.groupBy("region", "key").agg(F.min("root").alias("root")).withColumnRenamed("region", "in")
-    found = sets.join(joined, (F.col("region") == F.col("in")) & (F.col("own") == F.col("key")), "left")
-    found = found.select(F.col("region").alias("in"), F.col("own").alias("key"), F.coalesce("root", "least").alias("root"))
-    roots = placed.join(found, (F.col("region") == F.col("in")) & (F.col("own") == F.col("key"))).select(F.col("b").alias("id"), "key", "root").distinct()
-    linked = rows.join(roots, (F.col("b") == F.col("id")) & (F.col("own") == F.col("key")) & (F.col("n_shingles") > 0), "left")
-    alone = F.when(F.col("n_shingles") > 0, F.col("b")).otherwise(F.col("doc_id"))
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", alone))
-    return linked.select("doc_id", "n_shingles", component.alias("component_id"))
+    held = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("asked")).select("node", "one", "two", "text")
+    sets = written(held.mapInArrow(_sets_of(words), "node long, set binary"), "sets")
+    links = [*region_links(pairs, sets, percent, most_shingles, most_sets), met.where("kind = 1").select("a", "b")]
+    roots = components(functools.reduce(DataFrame.unionByName, links))
+    named = written(roots.join(nodes.select(F.col("node").alias("own"), "doc_id").hint("merge"), F.col("node") == F.col("own")).select("node", "root", "doc_id"), "named")
+    least = with_group(named, ["root"], "node", least=(F.min, F.col("doc_id"))).select(F.col("node").alias("of"), "least")
+    rows = slices.select("slice", "rows", "reps").mapInArrow(_rows, "doc_id long, n_shingles long, node long, alone long")
+    # rows without a node have keys of their own, which no node has, so that they are no hot key
+    keyed = rows.withColumn("key", F.coalesce("node", -F.monotonically_increasing_id() - 1))
+    linked = keyed.join(least.hint("merge"), F.col("key") == F.col("of"), "left")
+    return linked.select("doc_id", "n_shingles", F.coalesce("least", "alone").alias("component_id"))
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
