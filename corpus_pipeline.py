@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from docketspark.llm import op2_jaccard, op4_suffix, op6_decontamination, op7_mixing, op9_toxicity
-from docketspark.llm.common import clear_written, written
+from docketspark.llm.common import scratch, written
 
 #: A passage is cut where a string of so many bytes also starts earlier.
 PASSAGE_BYTES = 100
@@ -18,31 +18,26 @@ PASSAGE_BYTES = 100
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity classifier doesn't reject; labels come from the table of that name."""
-    clear_written(spark)
     return op9_toxicity.without_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row, that of the smallest id, of each group linked by a Jaccard similarity of 0.8 over five-word shingles."""
-    clear_written(spark)
     return op2_jaccard.one_of_each(docs)
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the passages that also start earlier in the corpus."""
-    clear_written(spark)
     return op4_suffix.deduplicated(docs, PASSAGE_BYTES)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no ten-word window of a benchmark item."""
-    clear_written(spark)
     return op6_decontamination.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, size, source_size, target, taken: the words that the mix takes of each document."""
-    clear_written(spark)
     return op7_mixing.mix(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
@@ -59,7 +54,8 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Applies the stages to the table of documents."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for _, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), "stage", keep=True)
+        with scratch(spark):  # the tables of a stage go once its result is stored
+            docs = written(stage(spark, docs, sf_dir), "stage", keep=True)
     return docs
 
 
