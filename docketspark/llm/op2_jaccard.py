@@ -46,7 +46,7 @@ from docketspark.llm.graph import components
 
 #: A region that has more shingles, or more sets, is cut by pivots.
 REGION_SHINGLES = 1 << 20
-REGION_SETS = 1 << 12
+REGION_SETS = 1 << 8
 #: Pivots that a region draws, as expected.
 PIVOTS = 16
 #: Salts after which a set that never fills enough slices has its shingles themselves as signatures.
