@@ -1,13 +1,16 @@
 """WARC fixity: Merkle trees over records and their offset ranges, compared between replicas.
 
-Records are framed as WARC responses and laid out in files of bounded size; each has its offset
-range and a SHA-256 over range and bytes. Sixteen neighbours make a node of the next level, up
-through the file to one root. Two replicas are compared from the root down, and only the children of
-nodes that differ are read, so intact replicas cost one comparison of roots.
-
-Defined cases: null url or body are framed as empty; a null id goes to the file of id 0, its records
-ordered by their bytes; repeated rows are records of their own; an empty archive has no root, and
-every record of the other replica is then missing or extra; other columns are ignored.
+Records are framed as WARC responses and laid out in files by id; each has its offset range and a
+SHA-256 over range and bytes. Sixteen neighbours make a node of the next level, up through the file
+to one root. Two replicas are compared from the root down: with equal roots nothing below is read,
+and else only the children of nodes that differ are compared. While these are in no more than
+MOST_FILES files, the reading of the next level is limited to those files, which Parquet's statistics
+turn into skipped pages, as records lie in order of their file.
+
+Defined cases: null url or body are framed as empty; negative ids have files of their own; null ids
+are dealt to the 4,096 files before file 0 by a hash of their url, ordered by their bytes; repeated
+rows are records of their own; an empty archive has no root, and every record of the other replica
+is then missing or extra; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -20,6 +23,8 @@ from docketspark.llm.common import written
 #: Children of a node as a power of two, and levels inside a file: 16 ** 3 records at most have one top node a file.
 FAN_BITS = 4
 FILE_LEVELS = 3
+#: Files that may be named in the filter of a level's reading.
+MOST_FILES = 1000
 
 
 def framed(url: Column, body: Column) -> Column:
@@ -36,7 +41,7 @@ def archived(pages: DataFrame, per_file: int = 1000, id_: str = "page_id", url:
     """page_id, file, record, offset, length, digest: where each page's record lies and its fixity."""
     laid = pages.select(
         F.col(id_).cast("long").alias("page_id"),
-        F.floor(F.coalesce(F.col(id_).cast("long"), F.lit(0)) / per_file).alias("file"),
+        F.coalesce(F.floor(F.col(id_).cast("long") / per_file), -1 - F.pmod(F.xxhash64(url), F.lit(4096))).alias("file"),
         framed(F.col(url), F.col(body)).alias("bytes"),
     ).select("page_id", "file", F.octet_length("bytes").cast("long").alias("length"), F.sha2("bytes", 256).alias("own"))
     order = Window.partitionBy("file").orderBy("page_id", "own")
@@ -53,13 +58,17 @@ def _parent(level: int) -> list[Column]:
     """(file, record) of a node's parent, for a node of this level."""
     if level < FILE_LEVELS:
         return [F.col("file"), F.shiftright("record", FAN_BITS).alias("record")]
-    if level == FILE_LEVELS:  # whatever a file still has is gathered in one node
-        return [F.col("file"), F.lit(0).cast("long").alias("record")]
+    if level == FILE_LEVELS:  # whatever a file still has is gathered in one node; files count from 0 above, negative ones between the others
+        counted = F.when(F.col("file") < 0, -2 * F.col("file") - 1).otherwise(2 * F.col("file"))
+        return [counted.alias("file"), F.lit(0).cast("long").alias("record")]
     return [F.shiftright("file", FAN_BITS).alias("file"), F.col("record")]
 
 
 def tree(archive: DataFrame) -> list[DataFrame]:
-    """The levels of the tree, records first: (file, record, digest) each; the last has one node at most."""
+    """The levels of the tree, records first: (file, record, digest) each; the last has one node at most.
+
+    Files above the file level are counted from 0, so that 63 / FAN_BITS levels always end in one node.
+    """
     levels = [archive.select("file", "record", "digest")]
     while True:
         k = len(levels) - 1
@@ -67,39 +76,51 @@ def tree(archive: DataFrame) -> list[DataFrame]:
         up = at.select(*[c.alias(n) for c, n in zip(_parent(k), ("file", "record"), strict=True)], F.struct("file", "record", "digest").alias("child"))
         children = F.array_sort(F.collect_list("child"))
         joined = F.concat_ws(",", F.transform(children, lambda c: c["digest"]))
-        levels.append(written(up.groupBy("file", "record").agg(F.sha2(joined, 256).alias("digest")), "tree"))
+        levels.append(written(up.groupBy("file", "record").agg(F.sha2(joined, 256).alias("digest")).sortWithinPartitions("file", "record"), "tree"))
         if k >= FILE_LEVELS and len(levels[-1].take(2)) < 2:
             return levels
 
 
 def differing(a: DataFrame, b: DataFrame) -> DataFrame:
-    """(file, record) of the nodes that the two do not share with equal digests."""
+    """file, record, status of the nodes that the two do not share with equal digests: missing or extra in b, or corrupt."""
     other = b.select("file", "record", F.col("digest").alias("other"))
     both = a.join(other, ["file", "record"], "full")
-    return both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("file", "record")
+    status = F.when(F.col("other").isNull(), "missing").when(F.col("digest").isNull(), "extra").otherwise("corrupt")
+    return both.where(~F.col("digest").eqNullSafe(F.col("other"))).select("file", "record", status.alias("status"))
+
+
+def _below(level: DataFrame, k: int, at: DataFrame, files: list[int] | None) -> DataFrame:
+    """The nodes of level k whose parents are in at; read from these files alone where they are known."""
+    if files is not None and k <= FILE_LEVELS:
+        level = level.where(F.col("file").isin(files))
+    parents = at.select(F.col("file").alias("f"), F.col("record").alias("r"))
+    up = [c.alias(n) for c, n in zip(_parent(k), ("_f", "_r"), strict=True)]
+    return level.select("*", *up).join(parents, (F.col("_f") == F.col("f")) & (F.col("_r") == F.col("r")), "left_semi").select("file", "record", "digest")
 
 
 def audit(primary: DataFrame, replica: DataFrame) -> DataFrame:
-    """file, record, status of every record that is not the same in both: corrupt, missing or extra in the replica."""
+    """file, record, status of every record that is not the same in both: corrupt, missing or extra in the replica.
+
+    The nodes that differ are a written table at each level, so the plan of a level holds that level only.
+    """
     one, two = tree(primary), tree(replica)
     while len(one) != len(two):  # one archive has more files: its tree is higher
         low = min(one, two, key=len)
         k = len(low) - 1
         up = low[-1].select(*[c.alias(n) for c, n in zip(_parent(k), ("file", "record"), strict=True)], "digest")
         low.append(up.select("file", "record", F.sha2(F.concat_ws(",", F.array("digest")), 256).alias("digest")))
-    at = differing(one[-1], two[-1])
+    at = written(differing(one[-1], two[-1]), "differing")
     for k in range(len(one) - 2, -1, -1):
-        parents = at.select(F.col("file").alias("f"), F.col("record").alias("r"))
-        below = []
-        for level in (one[k], two[k]):
-            up = [c.alias(n) for c, n in zip(_parent(k), ("_f", "_r"), strict=True)]
-            below.append(level.select("*", *up).join(parents, (F.col("_f") == F.col("f")) & (F.col("_r") == F.col("r")), "left_semi"))
-        at = differing(*below)
-    kept = [x.select("file", "record", F.lit(True).alias(n)) for x, n in ((one[0], "here"), (two[0], "there"))]
-    status = F.when(F.col("there").isNull(), "missing").when(F.col("here").isNull(), "extra").otherwise("corrupt")
-    return (
-        at.join(kept[0], ["file", "record"], "left").join(kept[1], ["file", "record"], "left").select("file", "record", status.alias("status"))
-    )
+        named = at.select("file").distinct().take(MOST_FILES + 1)
+        if not named:
+            break
+        files = None
+        if k <= FILE_LEVELS and len(named) <= MOST_FILES:
+            files = [r.file for r in named]
+            if k == FILE_LEVELS:  # the parents' files are counted from 0: the numbers that children have
+                files = [-(f + 1) // 2 if f % 2 else f // 2 for f in files]
+        at = written(differing(*[_below(level[k], k, at, files) for level in (one, two)]), "differing")
+    return at.select("file", "record", "status")
 
 
 def audited(primary: DataFrame, replica: DataFrame) -> DataFrame:
