@@ -1,4 +1,4 @@
-"""Suffix-array dedup over a run-compressed Burrows-Wheeler index, exact for the whole corpus.
+"""Suffix-array dedup over an index compressed by the runs of its Burrows-Wheeler transform, for the whole corpus.
 
 A string of `length` bytes is removed where it also starts earlier. One index of the whole corpus
 cannot be held, so the strings are dealt to shards by content: every string belongs to its
@@ -16,6 +16,14 @@ hold them. The run of strings that one minimizer owns, with the bytes they cover
    interval all but the earliest start are removed.
 4. The removed intervals go back to their documents.
 
+So contexts that are equal as a whole are settled by 64-bit hashes (steps 1 and 2), and the index
+decides where strings of different contexts are equal. It is compressed by runs as to what is
+compared and sampled; suffix array and ranks of a shard, half a megabyte of text, are plain arrays.
+
+A minimizer whose different contexts have more than `hot_bytes` together (a common line in many
+surroundings) isn't one shard's: each of its strings meets its equals by a 128-bit hash, in an
+aggregate that is built up before the shuffle and handed back in parts.
+
 Matching statistics say how long a match is, not whether it begins earlier; the minimum of the
 sampled starts over each interval decides that.
 
@@ -36,13 +44,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import partitions, pieces, sliced, text_bytes, written
+from docketspark.llm.common import partitions, pieces, sliced, text_bytes, with_group, written
 
 #: Bytes of a minimizer. Longer ones are shared by fewer strings that are not equal, shorter ones leave fewer contexts.
 GRAM = 32
 #: Bytes of text that a task indexes, or cuts into contexts, at a time; the arrays beside them take many times as much.
 SHARD_BYTES = 1 << 19
 PIECE_BYTES = 1 << 18
+#: Bytes of a minimizer's different contexts up to which one shard indexes them.
+HOT_BYTES = 8 << 20
 _ORDER = -(1 << 63)
 
 
@@ -59,16 +69,16 @@ def _sliding_least(keys: np.ndarray, width: int) -> np.ndarray:
 
 def contexts(raw: np.ndarray, at: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
     """(row, first string's start in the row, number of strings, minimizer hash, context hash) of all contexts."""
-    none = np.zeros(0, np.int64)
+    none, width = np.zeros(0, np.int64), min(GRAM, length)
     long = np.diff(at) >= length
     if not long.any():
         return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
     sums = kernels.prefix_sums(raw)
-    place = np.arange(len(raw) - GRAM + 1)
-    gram = kernels.range_hash(sums, place, place + GRAM)
+    place = np.arange(len(raw) - width + 1)
+    gram = kernels.range_hash(sums, place, place + width)
     bits = np.uint64(max(24, int(len(raw)).bit_length()))
     keys = ((gram >> bits) << bits) | place.astype(np.uint64)
-    least = _sliding_least(keys, length - GRAM + 1) & ((np.uint64(1) << bits) - np.uint64(1))
+    least = _sliding_least(keys, length - width + 1) & ((np.uint64(1) << bits) - np.uint64(1))
     size = np.diff(at)[long] - length + 1
     row = np.repeat(np.flatnonzero(long), size)
     start = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size - at[:-1][long], size)
@@ -93,7 +103,7 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
     return doc[head], start[head], (reach - lift)[np.append(head[1:], len(doc)) - 1]
 
 
-_ANCHOR = np.dtype([("gram", "<u4"), ("gram2", "<u2"), ("context", "<u8"), ("start", "<i4"), ("count", "u1")])
+_ANCHOR = np.dtype([("gram", "<u4"), ("gram2", "<u2"), ("context", "<u8"), ("start", "<i4"), ("count", "<u2")])
 _DOC = np.dtype([("key", "<i8"), ("tag", "<i4"), ("n", "<i4")])
 _PART = np.dtype([("key", "<i8"), ("tag", "<i4"), ("start", "<i4"), ("end", "<i4")])
 
@@ -220,6 +230,33 @@ def _meetings(length: int):
     return run
 
 
+def _strings(length: int):
+    """Rows (key, tag, text, asked) to (key, tag, start, one, two): every string of the asked contexts and two hashes of it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            key, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tag"))
+            raw, at = text_bytes(batch.column("text"))
+            for i, asked in enumerate(batch.column("asked")):
+                for want in asked.as_py():
+                    start, n = want["start"], want["size"]
+                    sums = kernels.prefix_sums(raw[at[i] + start : at[i] + start + n + length - 1])
+                    place = np.arange(n)
+                    # the second hash is one of the same bytes, mixed before they are summed
+                    other = kernels.prefix_sums(_SECOND[raw[at[i] + start : at[i] + start + n + length - 1]])
+                    one, two = (kernels.range_hash(x, place, place + length).view(np.int64) for x in (sums, other))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(n, key[i]), pa.int64()), pa.array(np.full(n, tag[i]), pa.int32()), pa.array(place + start, pa.int32()), pa.array(one), pa.array(two)],
+                        ["key", "tag", "start", "one", "two"],
+                    )
+
+    return run
+
+
+#: A fixed permutation of the byte values.
+_SECOND = np.random.default_rng(4).permutation(256).astype(np.uint8)
+
+
 def _fetched(length: int, buckets: int):
     """Rows (key, tag, text, asked) to blobs of contexts by minimizer: what the index is built of."""
 
@@ -292,7 +329,6 @@ class RunIndex:
         # strings' starts have no byte before them: 256, and every such row is a run of its own
         before = np.where(first, 256, text[np.arange(n) - 1].astype(np.int64))[self.order]
         self.heads = np.flatnonzero(np.r_[True, (before[1:] != before[:-1]) | (before[1:] == 256)])
-        self.letters = before[self.heads]
 
     def common_with_predecessor(self) -> np.ndarray:
         """For each place, the longest common prefix with the suffix one rank below; compared at run heads only.
@@ -378,8 +414,10 @@ def _indexed(length: int):
     return run
 
 
-def _with_spans(docs: DataFrame, length: int) -> DataFrame:
+def _with_spans(docs: DataFrame, length: int, hot_bytes: int) -> DataFrame:
     """docs' columns and `_spans`: the removed intervals (start, size) of each row, unordered, null if none."""
+    if not 1 <= length < 1 << 15:
+        raise ValueError("length must be from 1 to 32767 bytes")
     n = partitions(docs.sparkSession)
     keyed = docs.withColumns(
         {"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(_ORDER)), "_tag": F.hash(F.coalesce("text", F.lit("")))}
@@ -387,20 +425,23 @@ def _with_spans(docs: DataFrame, length: int) -> DataFrame:
     texts = keyed.select(F.col("_key").alias("key"), F.col("_tag").alias("tag"), "text")
     anchors = texts.mapInArrow(_anchors(length, n), _BLOB).repartition(n, "bucket")
     met = written(anchors.mapInArrow(_meetings(length), _MET), "meetings")
-    asked = (
-        met.where("kind = 0").groupBy("key", "tag").agg(F.collect_list(F.struct("gram", "start", "size")).alias("asked"))
-        .withColumnsRenamed({"key": "k", "tag": "t"})
-    )
+    wanted = met.where("kind = 0").select("gram", "key", "tag", "start", "size")
+    sized = written(with_group(wanted, ["gram"], "start", total=(F.sum, F.col("size") + length - 1)), "wanted")
     held = keyed.repartition(n, "_key", "_tag")
-    wanted = held.join(asked, (F.col("_key") == F.col("k")) & (F.col("_tag") == F.col("t")))
-    wanted = wanted.select(F.col("_key").alias("key"), F.col("_tag").alias("tag"), "text", "asked").dropDuplicates(["key", "tag"])
-    shards = wanted.mapInArrow(_fetched(length, n), _BLOB).repartition(n, "bucket")
-    found = shards.mapInArrow(_indexed(length), "key long, tag int, start int, size int")
-    spans = (
-        found.unionByName(met.where("kind = 1").select("key", "tag", "start", "size"))
-        .groupBy("key", "tag")
-        .agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
-    )
+
+    def with_texts(contexts_: DataFrame) -> DataFrame:
+        asked = contexts_.groupBy("key", "tag").agg(F.collect_list(F.struct("gram", "start", "size")).alias("asked")).withColumnsRenamed({"key": "k", "tag": "t"})
+        found = held.join(asked, (F.col("_key") == F.col("k")) & (F.col("_tag") == F.col("t")))
+        return found.select(F.col("_key").alias("key"), F.col("_tag").alias("tag"), "text", "asked").dropDuplicates(["key", "tag"])
+
+    shards = with_texts(sized.where(F.col("total") <= hot_bytes)).mapInArrow(_fetched(length, n), _BLOB).repartition(n, "bucket")
+    spans = shards.mapInArrow(_indexed(length), "key long, tag int, start int, size int").unionByName(met.where("kind = 1").select("key", "tag", "start", "size"))
+    hot = sized.where(F.col("total") > hot_bytes)
+    if not hot.isEmpty():
+        strings = written(with_texts(hot).mapInArrow(_strings(length), "key long, tag int, start int, one long, two long"), "strings")
+        strings = with_group(strings, ["one", "two"], "key", first=(F.min, F.struct("key", "start")))
+        spans = spans.unionByName(strings.where(F.struct("key", "start") > F.col("first")).select("key", "tag", "start", F.lit(length).alias("size")))
+    spans = spans.groupBy("key", "tag").agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
     return held.join(spans, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").drop("key", "tag")
 
 
@@ -421,7 +462,7 @@ def _cut(spans: pa.Array, raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.
         yield s, e, text[np.cumsum(change[:-1]) == 0].tobytes()
 
 
-def removals(docs: DataFrame, length: int = 100) -> DataFrame:
+def removals(docs: DataFrame, length: int = 100, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -435,11 +476,11 @@ def removals(docs: DataFrame, length: int = 100) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = _with_spans(rows, length).select("doc_id", "text", "_spans")
+    marked = _with_spans(rows, length, hot_bytes).select("doc_id", "text", "_spans")
     return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
+def deduplicated(docs: DataFrame, length: int = 100, hot_bytes: int = HOT_BYTES) -> DataFrame:
     """The rows of docs, all columns, with the removed bytes cut out of `text`.
 
     Bytes of a character that a cut leaves incomplete go too; an `n_chars` column follows the new text;
@@ -455,7 +496,7 @@ def deduplicated(docs: DataFrame, length: int = 100) -> DataFrame:
             text = pa.array([k if v else None for k, v in zip(kept, column.is_valid().to_pylist(), strict=True)], pa.string())
             yield pa.RecordBatch.from_arrays([text if c == "text" else batch.column(c) for c in own], own)
 
-    out = _with_spans(rows, length).select(*own, "_spans").mapInArrow(run, rows.schema).toDF(*docs.columns)
+    out = _with_spans(rows, length, hot_bytes).select(*own, "_spans").mapInArrow(run, rows.schema).toDF(*docs.columns)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out
