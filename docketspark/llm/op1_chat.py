@@ -9,7 +9,14 @@ are one canonical turn.
 The segments are sorted by conversation, turn and place, and a conversation is worked on in blocks of
 `block` neighbours in that order at most: a block's best scores from each role to each role (a
 max-plus matrix) are enough to choose the roles at its ends, so a very long conversation, turn or
-text is no single group; only one small matrix a block meets in one task.
+text is no single group; the matrices of a conversation's blocks stream through one task, which keeps
+one role number for each role and block.
+
+The canonical transcript opens each turn with a line `<|role|>` and closes each, the last one too,
+with a line `<|end|>`. Blank lines between paragraphs of one turn are kept;
+those before a marker are layout. A `<|` in a text gets a
+backslash between its two characters (and one more where there are some already), so no text can
+open or close a turn.
 
 Defined cases: null text is one empty segment; null conversation ids are one conversation; null
 turns come first; repeated rows are segments of their own; rows without a role are not trained on;
@@ -22,7 +29,6 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -41,21 +47,29 @@ _MARKER = re.compile(r"^[ \t]*[\[<*#]*\s*(" + "|".join(sorted(_CLASS, key=len, r
 SEEN = {"marker": 4, "size": 16, "lines": 6, "ending": 4, "opens": 2}
 
 
-def segments(text: str | None) -> list[tuple[int, str]]:
-    """(marker class, text without the marker) of each segment; one at least."""
+_OPENING = re.compile(r"<(\\*)\|")
+
+
+def escaped(text: str) -> str:
+    """The text without anything that reads as the canonical form's own marks; a backslash less gives it back."""
+    return _OPENING.sub(r"<\\\1|", text)
+
+
+def segments(text: str | None) -> list[tuple[int, str, int]]:
+    """(marker class, text without the marker, blank lines before an unmarked one) of each segment; one at least."""
     found: list[list] = []
-    blank = True
+    blank = 0
     for line in (text or "").split("\n"):
         mark = _MARKER.match(line)
         if not line.strip():
-            blank = True
+            blank += 1
             continue
         if mark or blank or not found:
-            found.append([_CLASS[mark[1].lower()] if mark else 0, [line[mark.end() :] if mark else line]])
+            found.append([_CLASS[mark[1].lower()] if mark else 0, [line[mark.end() :] if mark else line], blank if found and not mark else 0])
         else:
             found[-1][1].append(line)
-        blank = False
-    return [(m, "\n".join(lines)) for m, lines in found] or [(0, "")]
+        blank = 0
+    return [(m, "\n".join(lines), n) for m, lines, n in found] or [(0, "", 0)]
 
 
 def seen_of(marker: int, text: str, opens: bool) -> list[int]:
@@ -66,26 +80,27 @@ def seen_of(marker: int, text: str, opens: bool) -> list[int]:
 
 
 def cut(turns: DataFrame) -> DataFrame:
-    """conv_id, turn, role, seg, seen, text: the segments of every row."""
+    """conv_id, turn, role, seg, gap, seen, text: the segments of every row; gap: blank lines before one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            row, seg, seen, texts = [], [], [], []
+            row, seg, gap, seen, texts = [], [], [], [], []
             turn = batch.column("turn").to_pylist()
             for i, text in enumerate(batch.column("text").to_pylist()):
-                for k, (marker, body) in enumerate(segments(text)):
+                for k, (marker, body, blank) in enumerate(segments(text)):
                     row.append(i)
                     seg.append(k)
+                    gap.append(blank)
                     seen.append(seen_of(marker, body, k == 0 and turn[i] in (None, 0)))
                     texts.append(body)
             at = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c).take(at) for c in ("conv_id", "turn", "role")), pa.array(seg, pa.int32()), pa.array(seen, pa.list_(pa.int32())), pa.array(texts, pa.string())],
-                ["conv_id", "turn", "role", "seg", "seen", "text"],
+                [*(batch.column(c).take(at) for c in ("conv_id", "turn", "role")), pa.array(seg, pa.int32()), pa.array(gap, pa.int32()), pa.array(seen, pa.list_(pa.int32())), pa.array(texts, pa.string())],
+                ["conv_id", "turn", "role", "seg", "gap", "seen", "text"],
             )
 
     rows = turns.select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
-    return rows.mapInArrow(run, "conv_id long, turn long, role string, seg int, seen array<int>, text string")
+    return rows.mapInArrow(run, "conv_id long, turn long, role string, seg int, gap int, seen array<int>, text string")
 
 
 def in_blocks(cut_rows: DataFrame, block: int) -> DataFrame:
@@ -110,10 +125,10 @@ def in_blocks(cut_rows: DataFrame, block: int) -> DataFrame:
                 blocks.append(first + number)
             at = pa.array(range(first + place, first + place + len(blocks)), pa.int64())
             place += len(blocks)
-            columns = [batch.column(c) for c in ("conv_id", "turn", "role", "seg", "seen", "text")]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.int64()), at], ["conv_id", "turn", "role", "seg", "seen", "text", "block", "at"])
+            columns = [batch.column(c) for c in ("conv_id", "turn", "role", "seg", "gap", "seen", "text")]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(blocks, pa.int64()), at], ["conv_id", "turn", "role", "seg", "gap", "seen", "text", "block", "at"])
 
-    return written(ranged.mapInArrow(run, "conv_id long, turn long, role string, seg int, seen array<int>, text string, block long, at long"), "placed")
+    return written(ranged.mapInArrow(run, "conv_id long, turn long, role string, seg int, gap int, seen array<int>, text string, block long, at long"), "placed")
 
 
 def fit(placed_rows: DataFrame, smoothing: float = 0.5) -> tuple[list[str], np.ndarray, np.ndarray, list[np.ndarray]]:
@@ -204,24 +219,42 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
                 ["conv_id", "block", "moves", "first"],
             )
 
-    def chosen(blocks: pd.DataFrame) -> pd.DataFrame:
-        """For the blocks of a conversation, the role before each block (-1: none) and its last role."""
-        blocks = blocks.sort_values("block")
-        tables = [np.array(m).reshape(len(f), -1) for m, f in zip(blocks["moves"], blocks["first"], strict=True)]
-        best, back = np.array(blocks["first"].iloc[0]), []
-        for table in tables[1:]:
-            step = best[:, None] + table
-            back.append(step.argmax(axis=0))
-            best = step.max(axis=0)
-        ends = [int(best.argmax())]
-        for choice in reversed(back):
-            ends.append(int(choice[ends[-1]]))
-        ends = ends[::-1]
-        return pd.DataFrame({"conv_id": blocks["conv_id"], "block": blocks["block"], "before": [-1, *ends[:-1]], "last": ends})
-
-    table = written(sorted_rows.mapInArrow(transfers, "conv_id long, block long, moves array<double>, first array<double>"), "blocks")
-    ends = table.groupBy("conv_id").applyInPandas(chosen, "conv_id long, block long, before int, last int")
-    ends = ends.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "before", "last")
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Blocks in order of conversation and place to the role before each (-1: none), its last role, and whether it is the conversation's last."""
+        conv, best, back, numbers, out, begun = None, None, [], [], [], False
+
+        def close() -> None:
+            ends = [int(best.argmax())]
+            for choice in reversed(back):
+                ends.append(int(choice[ends[-1]]))
+            ends = ends[::-1]
+            out.extend((conv, k, a, b, k == numbers[-1]) for k, a, b in zip(numbers, [-1, *ends[:-1]], ends, strict=True))
+
+        def flushed() -> pa.RecordBatch:
+            kinds = pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()
+            columns = zip(*out, strict=True) if out else [()] * 5
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["c", "b", "before", "last", "final"])
+
+        for batch in batches:
+            for c, number, moves, first in zip(*(batch.column(x).to_pylist() for x in ("conv_id", "block", "moves", "first")), strict=True):
+                if not begun or c != conv:
+                    if begun:
+                        close()
+                    conv, best, back, numbers, begun = c, np.array(first), [], [number], True
+                    continue
+                step = best[:, None] + np.array(moves).reshape(len(first), -1)
+                back.append(step.argmax(axis=0).astype(np.int8 if len(first) < 128 else np.int32))
+                numbers.append(number)
+                best = step.max(axis=0)
+            yield flushed()
+            out = []
+        if begun:
+            close()
+        yield flushed()
+
+    table = sorted_rows.mapInArrow(transfers, "conv_id long, block long, moves array<double>, first array<double>")
+    table = table.repartition(n, "conv_id").sortWithinPartitions("conv_id", "block")
+    ends = table.mapInArrow(chosen, "c long, b long, before int, last int, final boolean")
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
@@ -231,7 +264,8 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
             path = viterbi(_scores([r["seen"] for r in kept], known), enter, known[2], last)
             previous = [before, *path[:-1]]
             # a turn is closed where the next one opens, so that a block needs nothing of the one after it
-            opening = ["" if a == b else ("" if a < 0 else "<|end|>\n") + f"<|{known[0][b]}|>\n" for a, b in zip(previous, path, strict=True)]
+            opening = ["\n" * r["gap"] if a == b else ("" if a < 0 else "<|end|>\n") + f"<|{known[0][b]}|>\n" for a, b, r in zip(previous, path, kept, strict=True)]
+            closing = [""] * (len(kept) - 1) + ["<|end|>\n" if kept[0]["final"] else ""]
             yield pa.RecordBatch.from_arrays(
                 [
                     pa.array([r["conv_id"] for r in kept], pa.int64()),
@@ -239,7 +273,7 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
                     pa.array([r["seg"] for r in kept], pa.int32()),
                     pa.array([r["role"] for r in kept], pa.string()),
                     pa.array([known[0][k] for k in path], pa.string()),
-                    pa.array([o + r["text"] + "\n" for o, r in zip(opening, kept, strict=True)], pa.string()),
+                    pa.array([o + escaped(r["text"]) + "\n" + e for o, r, e in zip(opening, kept, closing, strict=True)], pa.string()),
                 ],
                 ["conv_id", "turn", "seg", "recorded", "role", "rendered"],
             )
