@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
 
@@ -28,60 +27,65 @@ def checked(bits: int, ngram: int) -> None:
         raise ValueError(f"ngram must be positive, not {ngram}")
 
 
-def _counted(text: str, n: int) -> dict:
-    """Occurrences of each n-gram; up to three code points are kept as one number, which numpy counts."""
-    if n > 3 or len(text) < n:
-        return Counter([text[k : k + n] for k in range(len(text) - n + 1)] or [text])
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64) + 1
-    codes = points[: len(points) - n + 1].copy()
-    for k in range(1, n):
-        codes = (codes << 21) | points[k : len(points) - n + 1 + k]
-    names, counts = np.unique(codes, return_counts=True)
-    return dict(zip(names.tolist(), counts.tolist(), strict=True))
-
-
-def _spelled(gram: str | int) -> str:
-    """The n-gram that a number stands for."""
-    if isinstance(gram, str):
-        return gram
-    out = ""
-    while gram:
-        gram, point = gram >> 21, gram & ((1 << 21) - 1)
-        out = chr(point - 1) + out
-    return out
+#: The signs with which each of the 256 values of a hash byte votes on its 8 bits.
+_SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64) * 2 - 1
+#: Code points that are worked on at a time; a longer text is a piece of its own.
+_PIECE = 1 << 19
+
+
+def _grams(texts: list[str], n: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
+    """(row of each n-gram, its number among the distinct ones, the distinct ones); a shorter text is one gram, an empty one has none."""
+    sizes = np.array([len(t) for t in texts], np.int64)
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    count = np.where(sizes >= n, sizes - n + 1, (sizes > 0).astype(np.int64))
+    row = np.repeat(np.arange(len(texts)), count)
+    start = np.arange(len(row)) - np.repeat(np.cumsum(count) - count - (np.cumsum(sizes) - sizes), count)
+    length = np.minimum(sizes, n)[row]
+    code = np.zeros(len(row), np.int64)
+    for k in range(n):  # code points as digits of 21 bits; after every third, a number of what is before stands for it
+        if k > 2:
+            code = np.unique(code, return_inverse=True)[1].astype(np.int64)
+        digit = np.where(k < length, points[np.minimum(start + k, len(points) - 1)].astype(np.int64) + 1, 0)
+        code = (code << 21) | digit
+    _, first, number = np.unique(code, return_index=True, return_inverse=True)
+    whole = "".join(texts)
+    return row, number, [whole[start[i] : start[i] + length[i]] for i in first.tolist()]
+
+
+def _prints(texts: list[str], n: int) -> np.ndarray:
+    """(rows, 16) bytes: each text's votes; every distinct n-gram of the piece is hashed once."""
+    rows = len(texts)
+    row, number, grams = _grams(texts, n)
+    if not grams:
+        return np.zeros((rows, 16), np.uint8)
+    hashed = np.frombuffer(b"".join([hashlib.md5(g.encode("utf-8", "surrogatepass")).digest() for g in grams]), np.uint8).reshape(-1, 16)
+    # an n-gram's occurrences in a text vote together
+    cell, times = np.unique(row * len(grams) + number, return_counts=True)
+    at, number = (cell // len(grams)) << 8, cell % len(grams)
+    votes = np.empty((rows, 128))
+    for k in range(16):
+        votes[:, 8 * k : 8 * k + 8] = np.bincount(at | hashed[number, k], times, minlength=rows << 8).reshape(rows, 256) @ _SIGNS
+    return np.packbits(votes > 0, axis=1)
 
 
 def simhash(text: Column, bits: int = 128, ngram: int = 3, normalise: bool = True) -> Column:
     """struct<hi bigint, lo bigint>: a bit is set where the n-grams' MD5 bits vote above zero; hi is 0 for 64 bits.
 
     Votes need the bits of every n-gram, which no built-in aggregate gives without 128 sums over an
-    exploded table; an Arrow UDF with a cache of n-gram bits is several times faster.
+    exploded table; an Arrow UDF that counts the n-grams of many texts at once is several times faster.
     """
     checked(bits, ngram)
 
     @F.pandas_udf("hi long, lo long")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        place: dict = {}  # n-gram -> its row of signs
-        signs = np.zeros((1 << 12, 128), np.float32)
-        for texts in batches:
-            out = np.zeros((len(texts), 16), np.uint8)
-            for i, t in enumerate(texts):
-                if not t:
-                    continue
-                counts = _counted(t, ngram)
-                if len(place) + len(counts) > 1 << 17:  # the cache stays bounded
-                    place.clear()
-                for g in counts.keys() - place.keys():
-                    if len(place) >= len(signs):
-                        signs = np.concatenate([signs, np.zeros_like(signs)])
-                    signs[len(place)] = np.unpackbits(np.frombuffer(hashlib.md5(_spelled(g).encode()).digest(), np.uint8)) * 2.0 - 1
-                    place[g] = len(place)
-                at = np.fromiter(map(place.__getitem__, counts), np.int64, len(counts))
-                # whole numbers below 2**24 are exact in single precision
-                exact = np.float32 if len(t) < 1 << 24 else np.float64
-                votes = np.fromiter(counts.values(), exact, len(counts)) @ signs[at].astype(exact, copy=False)
-                out[i] = np.packbits(votes > 0)
-            halves = out.view(">i8").astype(np.int64)
+        for series in batches:
+            texts, out, i = [t or "" for t in series], [np.zeros((0, 16), np.uint8)], 0
+            total = np.cumsum([len(t) for t in texts])
+            while i < len(texts):
+                j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + _PIECE, "right")))
+                out.append(_prints(texts[i:j], ngram))
+                i = j
+            halves = np.concatenate(out).view(">i8").astype(np.int64)
             yield pd.DataFrame({"hi": halves[:, 0] if bits == 128 else 0 * halves[:, 0], "lo": halves[:, 1]})
 
     return run(normalised(text) if normalise else F.coalesce(text, F.lit("")))

@@ -35,17 +35,16 @@ def most_cited(cases: DataFrame, k: int = 20, custom: Mapping[str, str] | None =
 
 def citation_summary(cases: DataFrame, custom: Mapping[str, str] | None = None, text: str = "text") -> DataFrame:
     """One row: cases_analyzed, cases_with_citations, total_citations, unique_citations, avg_per_case."""
-    found = cases.select(extract_all(F.col(text), custom).alias("found"))
-    totals = found.agg(
-        F.count(F.lit(1)).alias("cases_analyzed"),
-        F.count_if(F.size("found") > 0).alias("cases_with_citations"),
-        F.coalesce(F.sum(F.size("found")), F.lit(0)).cast("long").alias("total_citations"),
-    )
-    # a document repeats no citation within a type, so partial aggregation carries the distinct count
-    unique = found.select(F.explode("found").alias("c")).distinct().agg(F.count(F.lit(1)).alias("unique_citations"))
-    average = F.col("total_citations") / F.greatest("cases_analyzed", F.lit(1))
-    # both sides are one-row aggregates
-    return totals.join(unique, F.lit(True)).withColumn("avg_per_case", average.cast("double"))
+    each = cases.select(F.posexplode_outer(extract_all(F.col(text), custom)).alias("k", "citation"))
+    # one pass: a document counts at its first citation, or at the row that stands for none
+    cited = each.groupBy("citation").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.coalesce("k", F.lit(0)) == 0).alias("documents"))
+    some = F.col("citation").isNotNull()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    totals = cited.agg(
+        total("documents").alias("cases_analyzed"), total(F.when(some, F.col("documents"))).alias("cases_with_citations"),
+        total(F.when(some, F.col("n"))).alias("total_citations"), F.count("citation").alias("unique_citations"),
+    )
+    return totals.withColumn("avg_per_case", (F.col("total_citations") / F.greatest("cases_analyzed", F.lit(1))).cast("double"))
 
 
 __all__ = ["citation_counts", "citation_summary", "citations_by_type", "extract", "most_cited"]

@@ -6,11 +6,12 @@ import datetime
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.operators.validate import issue_rows, validate
 from docketspark.plans.schema import CASE_SCHEMA, INFO, Schema
+from docketspark.sources.files import read_json
 
 #: Completeness buckets: [low, high) of the score, the last one closed.
 BUCKETS = ("0-20%", "20-40%", "40-60%", "60-80%", "80-100%")
@@ -55,41 +56,72 @@ def completeness_distribution(validated: DataFrame) -> DataFrame:
     return counted.select(F.explode(F.create_map(*[x for b in BUCKETS for x in (F.lit(b), F.col(f"`{b}`"))])).alias("bucket", "n"))
 
 
+def totals(validated: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
+    """One row of everything that is a total: those of `summary`, `fields` (array of means in schema order), `buckets` (array of counts)."""
+    percent = F.col("completeness_score") * 100
+    inside = [(percent >= 20 * k) & (percent < 20 * (k + 1) if k < 4 else F.lit(True)) for k in range(5)]
+    one = validated.agg(
+        F.count(F.lit(1)).alias("total_cases"), F.count_if("valid").alias("valid_cases"),
+        F.coalesce(F.avg("completeness_score"), F.lit(0.0)).alias("avg_completeness"),
+        *[F.avg(F.col("field_scores")[s.name]).alias(f"_f{k}") for k, s in enumerate(schema)],
+        *[F.count_if(x).alias(f"_b{k}") for k, x in enumerate(inside)],
+    )
+    return one.select(
+        "total_cases", "valid_cases", (F.col("total_cases") - F.col("valid_cases")).alias("invalid_cases"),
+        (F.col("valid_cases") / F.greatest("total_cases", F.lit(1))).alias("pass_rate"), "avg_completeness",
+        F.array(*[F.col(f"_f{k}") for k in range(len(schema))]).cast("array<double>").alias("fields"),
+        F.array(*[F.col(f"_b{k}") for k in range(5)]).alias("buckets"),
+    )
+
+
 def compare(before: DataFrame, after: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
-    """metric, before, after, delta for the totals and each of after's fields."""
+    """metric, before, after, delta for the totals and each of after's fields; one pass over each side."""
 
     def long(validated: DataFrame, name: str) -> DataFrame:
-        one = summary(validated).select(
-            F.explode(F.create_map(
-                F.lit("cases"), F.col("total_cases").cast("double"), F.lit("pass_rate"), F.col("pass_rate"),
-                F.lit("completeness"), F.col("avg_completeness"),
-            )).alias("metric", name)
-        )
-        fields = field_completeness(validated, schema).select(F.concat(F.lit("field:"), "field").alias("metric"), F.coalesce("completeness", F.lit(0.0)).alias(name))
-        return one.unionByName(fields)
+        one = totals(validated, schema)
+        rows = [("cases", F.col("total_cases").cast("double")), ("pass_rate", F.col("pass_rate")), ("completeness", F.col("avg_completeness"))]
+        rows += [(f"field:{s.name}", F.coalesce(F.col("fields")[k], F.lit(0.0))) for k, s in enumerate(schema)]
+        return one.select(F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), v.alias(name)) for m, v in rows]))).dropDuplicates(["metric"])
 
     both = long(after, "after").join(long(before, "before"), "metric", "left")
     earlier = F.coalesce("before", F.lit(0.0))
     return both.select("metric", earlier.alias("before"), "after", (F.col("after") - earlier).alias("delta"))
 
 
-def report(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = False) -> dict:
-    """The whole report as a dictionary; documents are validated once for each of its two aggregates, counts alone are collected."""
+def report(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = False, k: int = 20) -> dict:
+    """The whole report as a dictionary.
+
+    Two aggregates pass over the documents, one for the totals and one that counts issues by field,
+    message and severity; only totals, counts by severity and the k most frequent issues are collected.
+    """
     validated = validate(cases, schema, strict)
-    totals = summary(validated).first().asDict()
-    empty = not totals["total_cases"]
-    pairs = lambda df: {r[0]: r[1] for r in df.collect()}
-    rounded = {k: round(v, 4) if isinstance(v, float) else v for k, v in totals.items()}
+    one = totals(validated, schema).first()
+    plain = {n: round(v, 4) if isinstance(v, float) else v for n, v in one.asDict().items() if n not in ("fields", "buckets")}
+    if not one.total_cases:
+        return {"generated_at": datetime.datetime.now().isoformat(), **plain, "field_completeness": {}, "severity_counts": {}, "top_issues": [], "completeness_distribution": {}}
+    counted = issue_rows(validated).groupBy("field", "message", "severity").agg(F.count(F.lit(1)).alias("n"))
+    # the small side of one plan: all severities' sums, and the first k issues
+    top = counted.where(F.col("severity") != INFO).orderBy(F.desc("n"), "field", "message", "severity").limit(k)
+    sums = counted.groupBy("severity").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("field"), F.lit(None).cast("string").alias("message"), "severity", "n")
+    rows = top.unionByName(sums).collect()
     return {
         "generated_at": datetime.datetime.now().isoformat(),
-        **rounded,
-        "field_completeness": {} if empty else {k: round(v, 4) for k, v in pairs(field_completeness(validated, schema)).items()},
-        "severity_counts": {} if empty else pairs(severity_counts(validated)),
-        "top_issues": [] if empty else [{"field": r.field, "message": r.message, "severity": r.severity, "count": r.n} for r in top_issues(validated).collect()],
-        "completeness_distribution": {} if empty else pairs(completeness_distribution(validated)),
+        **plain,
+        "field_completeness": {s.name: round(v, 4) for s, v in zip(schema, one.fields, strict=True) if v is not None},
+        "severity_counts": {r.severity: r.n for r in rows if r.field is None},
+        "top_issues": [{"field": r.field, "message": r.message, "severity": r.severity, "count": r.n} for r in rows if r.field is not None],
+        "completeness_distribution": dict(zip(BUCKETS, one.buckets, strict=True)),
     }
 
 
+def report_folder(spark: SparkSession, folder: str, output: str | None = None, schema: Schema = CASE_SCHEMA) -> dict:
+    """The report of a folder of JSON documents, malformed ones left out; also written to `output` if given."""
+    found = report(read_json(spark, folder, tolerant=True), schema)
+    if output:
+        save(found, output)
+    return found
+
+
 def save(found: dict, path: str) -> None:
     """Writes a report, which is a few kilobytes of the driver's, as JSON."""
     Path(path).parent.mkdir(parents=True, exist_ok=True)

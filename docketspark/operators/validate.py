@@ -6,14 +6,17 @@ variant columns are checked row by row.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketspark.functions.regexes import unicode_pattern
 from docketspark.plans.schema import CASE_SCHEMA, ERROR, INFO, KNOWN_EXTRA, WARNING, FieldSpec, Schema
+from docketspark.sources.files import as_variants
 
 _ISSUE = "struct<field:string,severity:string,message:string,value:string>"
 
@@ -138,7 +141,8 @@ def validate(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = Fals
     )
     weighted = [F.col(f"_s{k}") * F.lit(float(s.weight)) for k, s in enumerate(schema)]
     score = reduce(lambda a, b: a + b, weighted) / F.lit(float(total)) if total else F.lit(0.0)
-    by_field = F.create_map(*[x for k, s in enumerate(schema) for x in (F.lit(s.name), F.col(f"_s{k}"))])
+    last = {s.name: k for k, s in enumerate(schema)}  # a field named twice counts twice in the score; the map has its last one
+    by_field = F.create_map(*[x for name, k in last.items() for x in (F.lit(name), F.col(f"_s{k}"))])
     return scored.select(
         "case_id",
         (~F.exists("issues", lambda i: i["severity"] == ERROR)).alias("valid"),
@@ -159,3 +163,27 @@ def warnings(issues: Column) -> Column:
 def issue_rows(validated: DataFrame) -> DataFrame:
     """case_id, field, severity, message, value: one row an issue."""
     return validated.select("case_id", F.inline("issues"))
+
+
+def validate_case(spark: SparkSession, case: Mapping, schema: Schema = CASE_SCHEMA, strict: bool = False) -> dict:
+    """The dictionary of one case's validation; its values keep the kinds they have."""
+    text = json.dumps(dict(case), ensure_ascii=False, default=str)
+    return as_dict(validate(as_variants(spark.createDataFrame([(text,)], "value string"), schema), schema, strict, raw="_raw").first())
+
+
+def as_dict(row: Row) -> dict:
+    """A validated row as a dictionary: counts of issues by severity, scores to three places."""
+    found = [i.asDict() for i in row.issues]
+    return {
+        "case_id": row.case_id, "valid": row.valid, "completeness_score": round(row.completeness_score, 3),
+        "error_count": sum(i["severity"] == ERROR for i in found), "warning_count": sum(i["severity"] == WARNING for i in found),
+        "field_scores": {k: round(v, 3) for k, v in row.field_scores.items()}, "issues": found,
+    }
+
+
+def as_dicts(validated: DataFrame) -> DataFrame:
+    """case_id, valid, completeness_score, error_count, warning_count, field_scores, issues: the same for all rows, with scores rounded."""
+    return validated.select(
+        "case_id", "valid", F.round("completeness_score", 3).alias("completeness_score"), F.size(errors(F.col("issues"))).alias("error_count"),
+        F.size(warnings(F.col("issues"))).alias("warning_count"), F.transform_values("field_scores", lambda _, v: F.round(v, 3)).alias("field_scores"), "issues",
+    )

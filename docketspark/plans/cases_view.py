@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketspark.sources.files import dealt_out
+
 
 def tables(spark: SparkSession, sf_dir: str, *names: str) -> list[DataFrame]:
-    return [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]
+    """Tables of the test data; texts, which are worked on row by row, are dealt to all cores."""
+    read = [spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in names]
+    return [dealt_out(df) if name in ("documents", "pages") else df for name, df in zip(names, read, strict=True)]
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:

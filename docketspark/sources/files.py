@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from docketspark.plans.schema import CASE_SCHEMA
+from docketspark.plans.schema import CASE_SCHEMA, Schema
 
 #: The typed columns of a case.
 CASE_TYPE = T.StructType(
@@ -46,8 +46,27 @@ def read_dynamic(spark: SparkSession, path: str) -> DataFrame:
 
     Values keep the kind they had in the file; files that are no JSON object are left out.
     """
-    raw = spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path)
-    parsed = raw.select(F.col("value").alias("_raw"), F.try_parse_json("value").alias("_doc")).where(F.col("_doc").isNotNull())
+    return as_variants(spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path))
+
+
+def as_variants(documents: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
+    """The JSON texts of the column `value`, each field of the schema as a variant, the text in `_raw`; what is no JSON object goes."""
+    parsed = documents.select(F.col("value").alias("_raw"), F.try_parse_json("value").alias("_doc")).where(F.col("_doc").isNotNull())
     objects = parsed.where(F.schema_of_variant("_doc").startswith("OBJECT"))
-    fields = [F.try_variant_get("_doc", f"$.{s.name}", "variant").alias(s.name) for s in CASE_SCHEMA if s.name != "id"]
+    names = dict.fromkeys(s.name for s in schema if s.name != "id")
+    fields = [F.try_variant_get("_doc", f"$.{name}", "variant").alias(name) for name in names]
     return objects.select(F.try_variant_get("_doc", "$.id", "string").alias("id"), *fields, "_raw")
+
+
+#: Bytes up to which a table is dealt out anew.
+FEW_BYTES = 32 << 20
+
+
+def dealt_out(df: DataFrame, most: int = FEW_BYTES) -> DataFrame:
+    """The same rows, dealt to all cores if the table is at most `most` bytes in its files.
+
+    A small Parquet file is one row group, so one task, however many cores wait; larger tables have
+    row groups enough and are left as they are. Rows and results are the same either way.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism) if size <= most else df
