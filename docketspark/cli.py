@@ -1,4 +1,4 @@
-"""Command line: status, search, enumerate, fetch, analyze, report and dedup over a store of cases."""
+"""Command line: status, search, enumerate, fetch, parallel-fetch, analyze, report and dedup over a store of cases."""
 
 from __future__ import annotations
 
@@ -23,32 +23,41 @@ def _parser() -> argparse.ArgumentParser:
     search.add_argument("query")
     search.add_argument("--limit", type=int, default=10)
     search.add_argument("--output", help="folder for all results as JSON")
-    for name in ("enumerate", "fetch"):
+    for name in ("enumerate", "fetch", "parallel-fetch"):
         command = commands.add_parser(name)
         command.add_argument("--year", type=int)
         command.add_argument("--limit", type=int, default=0)
+        if name == "enumerate":
+            continue
+        command.add_argument("--to", type=int, help="last year, if more than one")
         command.add_argument("--id")
+        command.add_argument("--budget", type=int, default=connectors.Budget.limit, help="requests of one task")
+        if name == "parallel-fetch":
+            command.add_argument("--workers", type=int, default=5, help="tasks that fetch at a time")
     analyze = commands.add_parser("analyze")
     analyze.add_argument("kind", choices=("stats", "citations"))
-    commands.add_parser("report").add_argument("--output")
-    commands.add_parser("dedup").add_argument("--threshold", type=float, default=0.85)
+    quality = commands.add_parser("report")
+    quality.add_argument("--output")
+    quality.add_argument("--folder", help="a folder of JSON documents instead of the store")
+    near = commands.add_parser("dedup")
+    near.add_argument("--threshold", type=float, default=0.85)
+    near.add_argument("--output", help="folder for all pairs as JSON lines; without it the first 100 are printed")
     return top
 
 
-def _fetch(spark: SparkSession, store: CaseStore, name: str, args) -> object:
-    if args.id:
-        case = connectors.connector(name).fetch(args.id)
-        if case is None:
-            return {"saved": 0}
-        cases = spark.createDataFrame([case], connectors.DETAILED)
-        store.save(cases)
-        return {"saved": 1}
-    if not args.year:
+def _fetch(spark: SparkSession, store: CaseStore, args) -> dict:
+    """Saves the cases asked for that the store does not have; ids are listed, cut to the limit and only then fetched."""
+    if not args.id and not args.year:
         raise ValueError("fetch needs --id or --year")
-    listed = connectors.enumerate_years(spark, name, args.year, args.year, detail=True)
-    batch = next_batch(listed, store.ledger(), args.limit)
-    store.save(batch)
-    return store.stats()
+    if args.id:
+        asked = spark.createDataFrame([(args.id,)], "id string")
+    else:
+        asked = connectors.enumerate_years(spark, args.connector, args.year, args.to or args.year).select("id")
+    wanted = next_batch(asked, store.ledger(), args.limit)
+    workers = getattr(args, "workers", None)
+    before = store.ledger().count()
+    store.save(connectors.fetched(wanted.repartition(workers) if workers else wanted, args.connector, args.budget))
+    return {"saved": store.ledger().count() - before, **store.stats()}
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -66,8 +75,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
         if not args.year:
             raise ValueError("enumerate needs --year")
         out = [r.id for r in connectors.enumerate_years(spark, args.connector, args.year, args.year).orderBy("id").limit(args.limit or 10).collect()]
-    elif args.command == "fetch":
-        out = _fetch(spark, store, args.connector, args)
+    elif args.command in ("fetch", "parallel-fetch"):
+        out = _fetch(spark, store, args)
+    elif args.command == "report" and args.folder:
+        print(report.as_text(report.report_folder(spark, args.folder, args.output)))
+        return 0
     else:
         cases = store.cases()
         if cases is None:
@@ -84,7 +96,11 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
             return 0
         else:
             pairs = dedup.rendered(dedup.find_duplicates(cases, args.threshold)).orderBy(F.desc("similarity"), "id_a", "id_b")
-            out = [r.line for r in pairs.limit(100).collect()]
+            if args.output:
+                pairs.write.mode("overwrite").json(args.output)
+                out = {"pairs": spark.read.json(args.output, schema="line string").count(), "output": args.output}
+            else:
+                out = [r.line for r in pairs.limit(100).collect()]
     print(json.dumps(out, indent=2, ensure_ascii=False, default=str))
     return 0
 

@@ -14,12 +14,26 @@ from docketspark.functions import fingerprint as fp
 EXACT, NEAR = "exact_hash", "simhash"
 
 
-def fingerprints(cases: DataFrame, bits: int = 128, ngram: int = 3, normalise: bool = True, id_: str = "id", text: str = "text") -> DataFrame:
-    """id, sha, hi, lo of every row with an id; a null text has the empty fingerprint."""
+def fingerprints(
+    cases: DataFrame, bits: int = 128, ngram: int = 3, normalise: bool = True, id_: str = "id", text: str = "text", order: str | None = None
+) -> DataFrame:
+    """id, sha, hi, lo of every row with an id; a null text has the empty fingerprint.
+
+    With `order`, the row of an id that is last by this column takes the place of its others (ties: by hash).
+    """
     own = F.col(id_).cast("string")
-    rows = cases.select(own.alias("id"), F.col(text).alias("_t")).where(F.coalesce("id", F.lit("")) != "")
-    marked = rows.select("id", fp.exact_hash(F.col("_t")).alias("sha"), fp.simhash(F.col("_t"), bits, ngram, normalise).alias("f"))
-    return marked.select("id", "sha", "f.hi", "f.lo")
+    place = F.col(order) if order else F.lit(None)
+    rows = cases.select(own.alias("id"), F.col(text).alias("_t"), place.alias("_o")).where(F.coalesce("id", F.lit("")) != "")
+    marked = rows.select("id", fp.exact_hash(F.col("_t")).alias("sha"), fp.simhash(F.col("_t"), bits, ngram, normalise).alias("f"), "_o")
+    prints = marked.select("id", "sha", "f.hi", "f.lo", "_o")
+    return upserted(prints, "_o") if order else prints.drop("_o")
+
+
+def upserted(prints: DataFrame, order: str | None = None) -> DataFrame:
+    """id, sha, hi, lo: one row for each id, the last by `order`, then by hash; fingerprints alone are shuffled, and aggregated before."""
+    place = F.struct(*([order] if order else []), "sha", "hi", "lo")
+    last = prints.groupBy("id").agg(F.max_by(F.struct("sha", "hi", "lo"), place).alias("r"))
+    return last.select("id", "r.sha", "r.hi", "r.lo")
 
 
 def classes(prints: DataFrame) -> DataFrame:
@@ -79,8 +93,8 @@ def near_pairs(prints: DataFrame, threshold: float = 0.85, bits: int = 128) -> D
 
 
 def find_duplicates(cases: DataFrame, threshold: float = 0.85, bits: int = 128, ngram: int = 3, id_: str = "id", text: str = "text") -> DataFrame:
-    """id_a, id_b, similarity, method: near pairs of representatives, and each copy with its representative."""
-    prints = fingerprints(cases, bits, ngram, id_=id_, text=text)
+    """id_a, id_b, similarity, method: near pairs of representatives, and each copy with its representative; a repeated id is one document."""
+    prints = upserted(fingerprints(cases, bits, ngram, id_=id_, text=text))
     copies = members(prints).where(F.col("id") != F.col("representative"))
     exact = copies.select(F.col("representative").alias("id_a"), F.col("id").alias("id_b"), F.lit(1.0).alias("similarity"), "method")
     return exact.unionByName(near_pairs(prints, threshold, bits))

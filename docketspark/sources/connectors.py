@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -16,17 +17,54 @@ LISTED = "id string, title string, year int"
 DETAILED = "id string, title string, citation string, court string, date string, year int, judges array<string>, text string, headnote string"
 
 
+class BudgetExceeded(RuntimeError):
+    """All requests that a budget allows have been made."""
+
+
+@dataclass
+class Budget:
+    """Requests that one process may make of a connector."""
+
+    limit: int = 500
+    used: int = 0
+
+    def spend(self) -> None:
+        if self.used >= self.limit:
+            raise BudgetExceeded(f"all {self.limit} requests are used")
+        self.used += 1
+
+    def left(self) -> int:
+        return self.limit - self.used
+
+
 class Connector:
-    """What a collection offers. Unsupported enumerations raise; courts and journals default to none."""
+    """What a collection offers. Unsupported enumerations raise; courts and journals default to none.
+
+    As a context manager it authenticates on entry and closes on exit.
+    """
 
     name = ""
 
+    def __enter__(self) -> Connector:
+        if not self.authenticate():
+            raise PermissionError(f"{self.name} refused to authenticate")
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
+    def close(self) -> None:
+        """Gives back what authenticating took; nothing by default."""
+
     def authenticate(self) -> bool:
         raise NotImplementedError
 
-    def search(self, query: str) -> Iterator[tuple]:
+    def search(self, query: str, **options) -> Iterator[tuple]:
         raise NotImplementedError
 
+    def enumerate_by_citation(self, prefix: str) -> Iterator[tuple]:
+        raise NotImplementedError(f"{self.name} cannot list citations")
+
     def enumerate_by_year(self, year: int) -> Iterator[tuple]:
         raise NotImplementedError(f"{self.name} cannot list a year")
 
@@ -48,7 +86,7 @@ class SampleConnector(Connector):
     def authenticate(self) -> bool:
         return True
 
-    def search(self, query: str) -> Iterator[tuple]:
+    def search(self, query: str, **options) -> Iterator[tuple]:
         for k in (1, 2):
             yield f"case_{k:03d}", f"Result {k} for {query}", 2024
 
@@ -121,6 +159,35 @@ def enumerate_years(spark: SparkSession, name: str, first: int, last: int, detai
     return reader.option("detail", str(detail).lower()).load()
 
 
+def fetched(ids: DataFrame, name: str, budget: int | None = None) -> DataFrame:
+    """The whole cases of the column `id`, fetched by Spark's tasks in parallel; what the connector does not have is left out.
+
+    budget bounds the requests of each task, which raises beyond it.
+    """
+    connector(name)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = Budget(budget) if budget is not None else None
+        with connector(name) as own:
+            for batch in batches:
+                rows = []
+                for case_id in batch.column("id").to_pylist():
+                    if left:
+                        left.spend()
+                    if (case := own.fetch(case_id)) is not None:
+                        rows.append(case)
+                columns = zip(*rows, strict=True) if rows else [()] * len(_DETAILED_ARROW)
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, (_, t) in zip(columns, _DETAILED_ARROW, strict=True)], [n for n, _ in _DETAILED_ARROW])
+
+    return ids.select(F.col("id").cast("string").alias("id")).mapInArrow(run, DETAILED)
+
+
+#: DETAILED as Arrow's types.
+_DETAILED_ARROW = [
+    (n, {"int": pa.int32(), "array<string>": pa.list_(pa.string())}.get(t, pa.string())) for n, t in (f.split(" ", 1) for f in DETAILED.split(", "))
+]
+
+
 def listed_years(spark: SparkSession, first: int, last: int, per_year: int = 10) -> DataFrame:
     """What the sample connector lists, as a native plan."""
     years = spark.range(first, last + 1).select(F.col("id").cast("int").alias("year"))

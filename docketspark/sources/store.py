@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FORMATS = ("table", "jsonl", "both")
@@ -51,22 +53,37 @@ class CaseStore:
     def _read(self, name: str) -> DataFrame | None:
         folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
         there = folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder)
-        return self.spark.read.parquet(f"{self.path}/{name}") if there else None
+        return self.spark.read.parquet(f"{self.path}/{name}").drop("batch") if there else None
 
     def ledger(self) -> DataFrame:
-        """id and when it was first saved."""
-        found = self._read("ledger")
-        return self.spark.createDataFrame([], "id string, first_saved_at timestamp") if found is None else found
-
-    def save(self, cases: DataFrame) -> None:
-        """Stamps and appends the cases and enters ids that the ledger does not have; saving a batch twice changes nothing but stamps."""
+        """id, when it was first saved, and in which batch."""
+        shape = "id string, first_saved_at timestamp, batch string"
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/ledger")
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return self.spark.createDataFrame([], shape)
+        return self.spark.read.schema(shape).parquet(f"{self.path}/ledger")
+
+    def save(self, cases: DataFrame, batch: str | None = None) -> None:
+        """Stamps and stores the cases and enters ids that the ledger does not have.
+
+        The cases are computed once, to the first file written; lines and ledger derive from that
+        file. Each batch is a folder of its own: saving again under the same name, as a retry does,
+        replaces it.
+        """
+        name = f"batch={batch or uuid.uuid4().hex}"
         stamped = with_ids(cases).withColumn("_scraped_at", F.current_timestamp())
-        if self.save_format in ("table", "both"):
-            stamped.write.mode("append").parquet(f"{self.path}/versions")
-        if self.save_format in ("jsonl", "both"):
-            year_key(stamped).write.mode("append").partitionBy("year_key").json(f"{self.path}/jsonl")
-        new = unfetched(stamped.select("id").distinct(), self.ledger())
-        new.withColumn("first_saved_at", F.current_timestamp()).write.mode("append").parquet(f"{self.path}/ledger")
+        if self.save_format == "jsonl":
+            lines = f"{self.path}/jsonl/{name}"
+            year_key(stamped).write.mode("overwrite").partitionBy("year_key").json(lines)
+            kept = self.spark.read.schema("id string").json(lines)
+        else:
+            stamped.write.mode("overwrite").parquet(f"{self.path}/versions/{name}")
+            kept = self.spark.read.schema(stamped.schema).parquet(f"{self.path}/versions/{name}")
+            if self.save_format == "both":
+                year_key(kept).write.mode("overwrite").partitionBy("year_key").json(f"{self.path}/jsonl/{name}")
+        known = self.ledger().where(F.coalesce(F.col("batch") != name.removeprefix("batch="), F.lit(True)))
+        new = unfetched(kept.select("id").distinct(), known)
+        new.withColumn("first_saved_at", F.current_timestamp()).write.mode("overwrite").parquet(f"{self.path}/ledger/{name}")
 
     def cases(self) -> DataFrame | None:
         """The latest version of every case; none before the first save."""

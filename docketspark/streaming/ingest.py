@@ -10,7 +10,7 @@ from docketspark.sources.store import CaseStore
 
 
 def ingest(spark: SparkSession, source: str, store: CaseStore, checkpoint: str) -> StreamingQuery:
-    """Reads every file that came since the last run and saves its cases; saving again after a failure leaves one latest version."""
+    """Reads every file that came since the last run and saves its cases, each micro-batch under its number, so that a retry replaces it."""
     arriving = spark.readStream.schema(CASE_TYPE).json(source)
-    writer = arriving.writeStream.foreachBatch(lambda batch, _: store.save(batch))
+    writer = arriving.writeStream.foreachBatch(lambda batch, number: store.save(batch, f"stream-{number}"))
     return writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
