@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,12 +11,13 @@ from pyspark.sql import functions as F
 
 from docketspark.functions import fingerprint as fp
 from docketspark.functions import textquality as tq
+from docketspark.functions.citations import extract
 from docketspark.functions.resilience import RetryPolicy, schedule
 from docketspark.operators import breaker, citations, dedup, report, stats, textquality
-from docketspark.operators.validate import errors, issue_rows, validate, warnings
+from docketspark.operators.validate import as_dicts, errors, issue_rows, validate, warnings
 from docketspark.plans.cases_view import CASES_SQL, cases, tables
 from docketspark.plans.schema import CASE_SCHEMA, FieldSpec, with_field, without_field
-from docketspark.sources import connectors, store
+from docketspark.sources import connectors, files, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -367,3 +370,127 @@ _register(
     "circuit_replay",
     lambda s, d: breaker.replay(tables(s, d, "events")[0], "user_id", "ts", F.col("event_type") == "error", "event_id", threshold=2, recovery=3600.0),
 )
+ORACLES["circuit_replay"] = """
+with recursive e as (
+  select user_id as key, event_id as event, epoch_us(ts) / 1e6 as "at", coalesce(event_type = 'error', false) as failed,
+    row_number() over (partition by user_id order by ts, event_id) as k from events),
+r as (
+  select key, event, "at", failed, k, 'closed' as met, 'closed' as state, failed::int as failures, 0e0 as opened from e where k = 1
+  union all
+  select key, event, "at", failed, k, m, case when m = 'open' then 'open' when not failed then 'closed' when m = 'half_open' or f + 1 >= 2 then 'open' else 'closed' end,
+    case when m = 'open' then f when not failed then 0 else f + 1 end, case when m <> 'open' and failed and (m = 'half_open' or f + 1 >= 2) then "at" else opened end
+  from (select e.*, r.failures as f, r.opened, case when r.state = 'open' and e."at" - r.opened >= 3600 then 'half_open' else r.state end as m
+        from r join e on e.key = r.key and e.k = r.k + 1))
+select key, event, "at", failed, met, state, failures from r"""
+
+# --- what is written and read back -----------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, name: str) -> str:
+    """A new folder that driver and executors share; a temporary one on a local master."""
+    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not base and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return f"{base or tempfile.mkdtemp(prefix='query-')}/{name}-{uuid.uuid4().hex}"
+
+
+def _documents_of_nations(spark: SparkSession, sf_dir: str, bad: bool = False) -> str:
+    """A folder with one JSON document a nation, and a malformed one if bad."""
+    path = _folder(spark, "json")
+    nation = tables(spark, sf_dir, "nation")[0]
+    rows = nation.select(F.concat(F.lit("N"), "n_nationkey").alias("id"), F.col("n_name").alias("title"), (F.col("n_nationkey") + 1990).alias("year"), F.col("n_nationkey").alias("k"))
+    rows.write.partitionBy("k").json(path)
+    if bad:
+        file = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/k=0/bad.json")
+        out = file.getFileSystem(spark._jsc.hadoopConfiguration()).create(file)
+        out.writeBytes("{invalid json content")
+        out.close()
+    return path
+
+
+_NATIONS_SQL = "select 'N' || n_nationkey as id, n_name as title, (1990 + n_nationkey)::int as year from nation"
+_register("read_json_strict", lambda s, d: files.read_json(s, _documents_of_nations(s, d)).select("id", "title", "year"), _NATIONS_SQL, view=False)
+_register("read_json_tolerant", lambda s, d: files.read_json(s, _documents_of_nations(s, d, bad=True), tolerant=True).select("id", "title", "year"), _NATIONS_SQL, view=False)
+_register(
+    "read_json_dynamic",
+    lambda s, d: validate(files.read_dynamic(s, _documents_of_nations(s, d, bad=True)), raw="_raw").select("case_id", "valid", F.size("issues").cast("long").alias("n_issues")),
+    "select 'N' || n_nationkey as case_id, false as valid, (1 + (length(n_name) < 5)::int)::bigint as n_issues from nation", view=False,
+)
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> store.CaseStore:
+    """A store of all cases, those before 1996 saved again with another title."""
+    kept = store.CaseStore(spark, _folder(spark, "store"))
+    all_cases = cases(spark, sf_dir)
+    kept.save(all_cases, "first")
+    kept.save(all_cases.where("year < 1996").withColumn("title", F.concat("title", F.lit("!"))), "second")
+    return kept
+
+
+_register("store_latest", lambda s, d: _stored(s, d).cases().select("id", "title", "year"), "select id, case when year < 1996 then title || '!' else title end as title, year from cases")
+_register("store_ledger", lambda s, d: _stored(s, d).ledger().select("id", "batch"), "select id, 'first' as batch from cases")
+_register(
+    "store_jsonl", lambda s, d: files.read_jsonl(s, f"{_stored(s, d).path}/jsonl").select("id", "title", "year_key"),
+    """select id, title, coalesce(cast(year as varchar), 'unknown') as year_key from cases
+    union all select id, title || '!', cast(year as varchar) from cases where year < 1996""",
+)
+_register("store_lookup", lambda s, d: _stored(s, d).load("D0000007").select("id", "court", "year"), "select id, court, year from cases where id = 'D0000007'")
+_register(
+    "store_stats", lambda s, d: s.createDataFrame([tuple(_stored(s, d).stats()[k] for k in ("total_cases", "years", "tracked"))], "total_cases long, years long, tracked long"),
+    "select count(*) as total_cases, count(distinct coalesce(cast(year as varchar), 'unknown')) as years, count(*) as tracked from cases",
+)
+_register(
+    "cases_source", lambda s, d: connectors.enumerate_years(s, "sample", 2020, 2024), ORACLES["connector_enumerate"], view=False,
+)
+_register(
+    "fetch_in_parallel", lambda s, d: connectors.fetched(connectors.listed_years(s, 2020, 2024).select("id").repartition(5), "sample").select("id", "citation", "year"),
+    "select 'case_' || y || '_' || lpad(k::varchar, 3, '0') as id, y || ' SC ' || k as citation, y::int as year from range(2020, 2025) a(y), range(1, 11) b(k)", view=False,
+)
+
+# --- maps, dictionaries, rendered rows -------------------------------------------------------------------------
+
+_register(
+    "citation_map", lambda s, d: cases(s, d).select("id", F.explode(extract(F.col("text"))).alias("type", "found")).select("id", "type", F.array_join(F.array_sort("found"), "|").alias("found")),
+    _FOUND + "select id, type, string_agg(citation, '|' order by citation) as found from found group by id, type",
+)
+_register(
+    "validate_dictionaries", lambda s, d: as_dicts(validate(cases(s, d))).select("case_id", "valid", F.col("error_count").cast("long"), F.col("warning_count").cast("long"), F.size("field_scores").cast("long").alias("n_fields")),
+    _BASE + """select case_id, valid, len(list_filter(issues, lambda x: x.severity = 'error')) as error_count,
+  len(list_filter(issues, lambda x: x.severity = 'warning')) as warning_count, """ + str(len(_SPECS)) + "::bigint as n_fields from validated",
+)
+REPEATED_SCHEMA = with_field(CASE_SCHEMA, FieldSpec("court", True, ("str",), 4, weight=2.0))
+_register("validate_repeated_field", lambda s, d: _flat(validate(cases(s, d), REPEATED_SCHEMA)), "with {cases}, " + _validated_sql(REPEATED_SCHEMA) + "\n" + _flat_sql)
+
+
+def _report_rows(found: dict) -> list[tuple[str, float]]:
+    """The numbers of a report's dictionary as rows."""
+    rows = [(k, float(v)) for k, v in found.items() if isinstance(v, (int, float))]
+    return rows + [(f"{part}:{k}", float(v)) for part in ("field_completeness", "severity_counts", "completeness_distribution") for k, v in found[part].items()]
+
+
+_report_sql = """select 'total_cases' as metric, count(*)::double as value from validated union all select 'valid_cases', count_if(valid)::double from validated
+  union all select 'invalid_cases', count_if(not valid)::double from validated union all select 'pass_rate', round(count_if(valid)::double / count(*), 4) from validated
+  union all select 'avg_completeness', round(avg(completeness_score), 4) from validated
+  union all select 'severity_counts:' || severity, count(*)::double from (""" + _issue_sql + """) group by severity
+  union all select 'completeness_distribution:' || bucket, count(v.k)::double from (values ('0-20%', 0), ('20-40%', 1), ('40-60%', 2), ('60-80%', 3), ('80-100%', 4)) b(bucket, k)
+    left join (select least(floor(completeness_score * 100 / 20), 4) as k from validated) v on v.k = b.k group by bucket
+""" + " ".join(f"union all select 'field_completeness:{n}', round(avg(s{k}), 4) from validated" for k, n in enumerate(_SPECS))
+_register("report_dictionary", lambda s, d: s.createDataFrame(_report_rows(report.report(cases(s, d))), "metric string, value double"), _BASE + _report_sql)
+
+_FOUND_PAIRS = """copies as (select min(cast(doc_id as varchar)) over (partition by sha) as id_a, cast(doc_id as varchar) as id_b from prints),
+duplicates as (select id_a, id_b, 1e0 as similarity, 'exact_hash' as method from copies where id_a <> id_b
+  union all select id_a, id_b, similarity, 'simhash' from pairs where similarity >= {threshold})
+"""
+_found_sql = lambda threshold: f"with {_prints_sql(128)}{_PAIRS.rstrip()}, " + _FOUND_PAIRS.format(threshold=threshold)
+_register(
+    "find_duplicates_85", lambda s, d: dedup.find_duplicates(tables(s, d, "documents")[0], id_="doc_id"), _found_sql(0.85) + "select * from duplicates", view=False,
+)
+_register(
+    "duplicates_rendered_95", lambda s, d: dedup.rendered(dedup.find_duplicates(tables(s, d, "documents")[0], 0.95, id_="doc_id")).select("line"),
+    _found_sql(0.95) + "select printf('%s <-> %s (%.1f%% similar, %s)', id_a, id_b, similarity * 100, method) as line from duplicates", view=False,
+)
+_register(
+    "fingerprints_upserted",
+    lambda s, d: dedup.fingerprints(tables(s, d, "documents")[0].withColumn("own", F.pmod("doc_id", F.lit(150))), id_="own", order="doc_id").select("id", "sha"),
+    "select cast(doc_id % 150 as varchar) as id, sha256(text) as sha from documents qualify row_number() over (partition by doc_id % 150 order by doc_id desc) = 1", view=False,
+)
