@@ -16,6 +16,7 @@ repeated rows are judged alike; with an empty benchmark nothing is hit; other co
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 from docketspark.llm import kernels
 from docketspark.llm.common import fresh, pieces, text_bytes, written
 
+#: Text of the benchmark that is broadcast at a time; as windows in arrays it takes about twenty times as much while it is built.
+BLOCK_BYTES = 8 << 20
 NO_ITEMS = hashlib.sha256(b"").hexdigest()
 
 
@@ -44,33 +47,51 @@ def word_hashes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class Queries:
-    """The test suffixes of one block: distinct windows as rows of word ranks (1, 2, ...; 0 past the end)."""
+    """The test suffixes of one block: distinct windows as rows of word ranks (1, 2, ...; 0 past the end), all in arrays."""
 
     vocabulary: np.ndarray
     windows: np.ndarray
     lengths: np.ndarray
-    starts: np.ndarray  # the first one or two words of windows, packed, sorted
-    items: list[list[str]]  # ids that have the window
-    places: list[list[tuple[str, int]]]  # (id, first word) of each
+    leads: np.ndarray  # the first one or two words of each window, packed
+    starts: np.ndarray  # the distinct ones of them, sorted
+    names: list[str]  # the items that have an id
+    window_of: np.ndarray  # (window, item, first word) of each place, by window; items without an id have none
+    item_of: np.ndarray
+    word_of: np.ndarray
+    first_of: np.ndarray  # offsets of each window's places
+
+    def places(self, window: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(index into `window`, place) of all places of these windows."""
+        count = self.first_of[window + 1] - self.first_of[window]
+        which = np.repeat(np.arange(len(window)), count)
+        return which, np.arange(count.sum()) - np.repeat(np.cumsum(count) - count - self.first_of[window], count)
 
 
 def queries_of(rows: list[tuple], window: int) -> Queries:
     """Test suffixes of (item_id, text) rows."""
     hashes, first = word_hashes(pa.array([r[1] for r in rows], pa.large_string()))
     vocabulary = np.unique(hashes)
-    rank = np.searchsorted(vocabulary, hashes) + 1
-    found: dict[bytes, tuple[np.ndarray, list]] = {}
-    for (item, _), a, b in zip(rows, first[:-1].tolist(), first[1:].tolist(), strict=True):
-        for i in range(a, max(b - window, a) + 1 if b > a else a):
-            key = np.zeros(window, np.uint32)
-            key[: min(window, b - i)] = rank[i : min(b, i + window)]
-            found.setdefault(key.tobytes(), (key, []))[1].append((None if item is None else str(item), i - a))
-    windows = np.array([k for k, _ in found.values()], np.uint32).reshape(-1, window)
+    rank = np.concatenate([np.searchsorted(vocabulary, hashes).astype(np.uint32) + np.uint32(1), np.zeros(window, np.uint32)])
+    n = np.diff(first)
+    count = np.where(n > 0, np.maximum(n - window + 1, 1), 0)
+    item = np.repeat(np.arange(len(rows)), count)
+    word = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+    start = first[:-1][item] + word
+    found = rank[start[:, None] + np.arange(window)]
+    found[np.arange(window) >= (first[1:][item] - start)[:, None]] = 0
+    windows, of = np.unique(found, axis=0, return_inverse=True)
+    of = of.reshape(-1)
     lengths = (windows > 0).sum(axis=1)
     depth = 1 if len(lengths) and lengths.min() == 1 else 2
-    starts = np.unique(windows[:, 0].astype(np.int64) << 32 | (windows[:, 1] if depth == 2 and window > 1 else 0))
-    places = [p for _, p in found.values()]
-    return Queries(vocabulary, windows, lengths, starts, [sorted({x for x, _ in p if x is not None}) for p in places], places)
+    leads = windows[:, 0].astype(np.int64) << 32 | (windows[:, 1] if depth == 2 and window > 1 else 0) if len(windows) else np.zeros(0, np.int64)
+    named = np.array([r[0] is not None for r in rows], bool)
+    names = [str(r[0]) for r in rows if r[0] is not None]
+    own = named[item] if len(item) else np.zeros(0, bool)
+    number = np.cumsum(named) - 1
+    order = np.argsort(of[own], kind="stable")
+    window_of = of[own][order]
+    first_of = np.searchsorted(window_of, np.arange(len(windows) + 1))
+    return Queries(vocabulary, windows, lengths, leads, np.unique(leads), names, window_of, number[item[own]][order].astype(np.int32), word[own][order].astype(np.int32), first_of)
 
 
 def _keys(ranks: np.ndarray) -> np.ndarray:
@@ -94,16 +115,18 @@ def search(q: Queries, hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarra
     if (q.starts & 0xFFFFFFFF).any():
         lead |= np.where(suffix + 1 < row_end[suffix], rank[suffix + 1], 0)
     near = np.minimum(np.searchsorted(q.starts, lead), len(q.starts) - 1)
-    suffix = suffix[q.starts[near] == lead]
+    met = q.starts[near] == lead
+    suffix = suffix[met]
+    asked = np.flatnonzero(np.isin(q.leads, np.unique(lead[met])))  # no other window can be here
     ranks = rank[suffix[:, None] + np.arange(w)]
     ranks[suffix[:, None] + np.arange(w) >= row_end[suffix][:, None]] = 0
     keys = _keys(ranks)
     order = np.argsort(keys, kind="stable")  # the suffix array
     keys, suffix = keys[order], suffix[order]
-    last = np.where(np.arange(w) < q.lengths[:, None], q.windows, np.uint32(0xFFFFFFFF))
-    low, high = np.searchsorted(keys, _keys(q.windows), "left"), np.searchsorted(keys, _keys(last), "right")
+    last = np.where(np.arange(w) < q.lengths[asked][:, None], q.windows[asked], np.uint32(0xFFFFFFFF))
+    low, high = np.searchsorted(keys, _keys(q.windows[asked]), "left"), np.searchsorted(keys, _keys(last), "right")
     count = high - low
-    which = np.repeat(np.arange(len(count)), count)
+    which = np.repeat(asked, count)
     return suffix[np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)], which
 
 
@@ -117,8 +140,10 @@ def _judged(q: Queries, column: pa.Array, earlier: tuple[pa.Array, pa.Array] | N
     hit = np.cumsum(change)[:-1] > 0
     row = np.searchsorted(first, place, "right") - 1
     items: list[set] = [set() for _ in range(len(first) - 1)]
-    for r, k in np.unique(np.stack([row, which]), axis=1).T.tolist():
-        items[r].update(q.items[k])
+    at, place_of = q.places(which)
+    if len(at):
+        for r, k in np.unique(np.stack([row[at], q.item_of[place_of]]), axis=1).T.tolist():
+            items[r].add(q.names[k])
     if earlier is not None:
         old = earlier[0].to_pylist()
         hit |= np.concatenate([np.frombuffer(x, bool) for x in old]) if old else hit
@@ -172,7 +197,7 @@ def _passes(docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int
     raise AssertionError("there is a last block")
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
+def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items_sha256, contaminated for every row of docs."""
 
     def final(batch, hit, first, items) -> pa.RecordBatch:
@@ -195,7 +220,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = 10, block
     return _passes(rows, benchmark, window, block_bytes, final, schema)
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
+def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of docs, all columns, that hold no window of the benchmark."""
     names = docs.columns
 
@@ -206,40 +231,39 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, window: int = 10, bloc
     return _passes(docs, benchmark, window, block_bytes, final, docs.schema)
 
 
-def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
-    """doc_id, item_id, doc_word, item_word, n_words: maximal verbatim matches of at least `window` words (or whole short items)."""
-    rows = benchmark.select("item_id", "text").where((F.length("text") > 0) & F.col("item_id").isNotNull())
-    found = sorted(map(tuple, rows.distinct().collect()), key=lambda r: (str(r[0]), r[1]))
-    shared = docs_broadcast(docs, queries_of(found, window))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        q = shared.value
-        for batch in batches:
-            hashes, first = word_hashes(batch.column("text"))
-            place, which = search(q, hashes, first)
-            row = np.searchsorted(first, place, "right") - 1
-            steps = sorted(
-                (r, item, p - i, p, int(q.lengths[k]))
-                for r, p, k in zip(row.tolist(), (place - first[row]).tolist(), which.tolist(), strict=True)
-                for item, i in q.places[k]
-            )
-            merged: list[list] = []
-            for r, item, diagonal, p, length in steps:
-                if merged and merged[-1][:3] == [r, item, diagonal] and p <= merged[-1][3] + merged[-1][4]:
-                    merged[-1][4] = p + length - merged[-1][3]
-                else:
-                    merged.append([r, item, diagonal, p, length])
-            ids = batch.column("doc_id").to_pylist()
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([ids[m[0]] for m in merged], pa.int64()),
-                    pa.array([m[1] for m in merged], pa.string()),
-                    pa.array([m[3] for m in merged], pa.int64()),
-                    pa.array([m[3] - m[2] for m in merged], pa.int64()),
-                    pa.array([m[4] for m in merged], pa.int64()),
-                ],
-                ["doc_id", "item_id", "doc_word", "item_word", "n_words"],
-            )
+def longest_matches(docs: DataFrame, benchmark: DataFrame, window: int = 10, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+    """doc_id, item_id, doc_word, item_word, n_words: maximal verbatim matches of at least `window` words (or whole short items).
+
+    One pass over the documents for each block of the benchmark; an item is in one block as a whole,
+    so a match is found in one pass.
+    """
+
+    def make(shared):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            q = shared.value
+            for batch in batches:
+                hashes, first = word_hashes(batch.column("text"))
+                place, which = search(q, hashes, first)
+                at, of = q.places(which)
+                row = (np.searchsorted(first, place, "right") - 1)[at]
+                start, item = (place[at] - first[row]), q.item_of[of].astype(np.int64)
+                diagonal, length = start - q.word_of[of], q.lengths[which[at]]
+                order = np.lexsort((start, diagonal, item, row))
+                row, start, item, diagonal, length = (x[order] for x in (row, start, item, diagonal, length))
+                # windows of one diagonal that touch are one match
+                head = np.ones(len(row), bool)
+                head[1:] = (row[1:] != row[:-1]) | (item[1:] != item[:-1]) | (diagonal[1:] != diagonal[:-1]) | (start[1:] > start[:-1] + length[:-1])
+                cut = np.flatnonzero(head)
+                end = np.maximum.reduceat(start + length, cut) if len(cut) else cut
+                names = pa.array(q.names, pa.string()).take(pa.array(item[cut]))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(row[cut])), names, *(pa.array(x.astype(np.int64), pa.int64()) for x in (start[cut], start[cut] - diagonal[cut], end - start[cut]))],
+                    ["doc_id", "item_id", "doc_word", "item_word", "n_words"],
+                )
+
+        return run
 
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return ids.mapInArrow(run, "doc_id long, item_id string, doc_word long, item_word long, n_words long")
+    shape = "doc_id long, item_id string, doc_word long, item_word long, n_words long"
+    passes = [ids.mapInArrow(make(shared), shape) for shared, _ in _blocks(benchmark, window, block_bytes)]
+    return functools.reduce(DataFrame.unionByName, passes).distinct()

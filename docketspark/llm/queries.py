@@ -6,10 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.llm import op1_chat, op2_jaccard, op3_quality, op4_suffix, op5_warc, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
+from docketspark.sources.files import dealt_out
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A whole table; the rows of small files, which are one row group, are dealt to all cores."""
+    read = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return read if name in ("labels", "benchmark") else dealt_out(read)
 
 
 def op7_mixing_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
