@@ -193,7 +193,7 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
     rows = in_blocks(cut(turns), block)
     held = F.coalesce(F.pmod(F.crc32(F.col("conv_id").cast("string")), F.lit(parts)) == held_fold, F.lit(False))
     model = spark.sparkContext.broadcast(fit(rows.where(~held)))
-    sorted_rows = rows.repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
+    seen_rows = rows.select("conv_id", "block", "at", "seen").repartition(n, "conv_id", "block").sortWithinPartitions("conv_id", "block", "at")
 
     def by_block(batches: Iterator[pa.RecordBatch]):
         """The sorted rows block by block: (key, rows)."""
@@ -252,7 +252,7 @@ def recover(turns: DataFrame, parts: int = 5, held_fold: int = 0, block: int = 2
             close()
         yield flushed()
 
-    table = sorted_rows.mapInArrow(transfers, "conv_id long, block long, moves array<double>, first array<double>")
+    table = seen_rows.mapInArrow(transfers, "conv_id long, block long, moves array<double>, first array<double>")
     table = table.repartition(n, "conv_id").sortWithinPartitions("conv_id", "block")
     ends = table.mapInArrow(chosen, "c long, b long, before int, last int, final boolean")
 
