@@ -46,19 +46,33 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes these folders."""
+    conf = spark._jsc.hadoopConfiguration()
+    for name in paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(name)
+        path.getFileSystem(conf).delete(path, True)
+
+
+@contextmanager
+def recorded(paths: list[str]):
+    """The paths of tables written inside the block are added to the caller's list; what becomes of them is the caller's matter."""
+    mark = _owned.set(paths)
+    try:
+        yield
+    finally:
+        _owned.reset(mark)
+
+
 @contextmanager
 def scratch(spark: SparkSession):
     """Tables written inside the block, and those only, are deleted at its end: store what is built on them within it."""
     own: list[str] = []
-    mark = _owned.set(own)
     try:
-        yield
+        with recorded(own):
+            yield
     finally:
-        _owned.reset(mark)
-        conf = spark._jsc.hadoopConfiguration()
-        for name in own:
-            path = spark._jvm.org.apache.hadoop.fs.Path(name)
-            path.getFileSystem(conf).delete(path, True)
+        removed(spark, own)
 
 
 def with_group(df: DataFrame, keys: list[str], by: str, **totals: tuple) -> DataFrame:

@@ -257,8 +257,18 @@ _ROW = np.dtype([("id", "<i8"), ("ok", "?"), ("n", "<i8"), ("rep", "<i4")])
 _REP = np.dtype([("id", "<i8"), ("n", "<i8"), ("one", "<u8"), ("two", "<u8")])
 
 
-def _slices(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """One row a slice of a batch: its rows, its distinct sets (rep: the smallest id of each), and their signatures in order."""
+_SLICE = "bucket int, slice long, kind int, a binary, b binary, c binary, d binary, e binary"
+
+
+def _blobs(rows: list[tuple]) -> pa.RecordBatch:
+    columns = zip(*rows, strict=True) if rows else [()] * 8
+    kinds = pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5
+    return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], ["bucket", "slice", "kind", "a", "b", "c", "d", "e"])
+
+
+def _slices(docs: DataFrame, words: int, percent: int, buckets: int) -> DataFrame:
+    """Of each slice of a batch: each signature and each set once, by the bucket it falls in (kind 0: keys in two parts, owners, sets, their
+    places), and its rows, its distinct sets (the smallest id of each) and the signatures that several of them have (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 20
@@ -271,30 +281,46 @@ def _slices(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 sizes, one, two, rows, found = [], [], [], [], []
                 for i, _, raw, at in pieces(*text_bytes(batch.column("text"))):
                     hashes, first = shingle_sets(raw, at, words)
-                    a, b = set_keys(hashes, first)
+                    x, y = set_keys(hashes, first)
                     row, signature = signatures(hashes, first, percent)
-                    sizes.append(np.diff(first)), one.append(a), two.append(b), rows.append(row + i), found.append(signature)
+                    sizes.append(np.diff(first)), one.append(x), two.append(y), rows.append(row + i), found.append(signature)
                 sizes, one, two, rows, found = map(np.concatenate, (sizes, one, two, rows, found))
                 known = np.zeros(len(ids), _ROW)
                 known["id"], known["ok"], known["n"], known["rep"] = ids, valid, sizes, -1
                 use = np.flatnonzero(valid & (sizes > 0))
                 order = use[np.lexsort((ids[use], two[use], one[use]))]
-                new = np.r_[True, (one[order][1:] != one[order][:-1]) | (two[order][1:] != two[order][:-1])][: len(order)]
+                new = _heads(one[order], two[order])
                 known["rep"][order] = np.cumsum(new) - 1
                 head = order[new]
                 rep = np.zeros(len(head), _REP)
                 rep["id"], rep["n"], rep["one"], rep["two"] = ids[head], sizes[head], one[head], two[head]
                 speaks = np.zeros(len(ids), bool)
                 speaks[head] = True
-                rows, found = rows[speaks[rows]], found[speaks[rows]]
-                owner = known["rep"][rows]
-                order = np.lexsort((owner, found))
-                out = known.tobytes(), rep.tobytes(), owner[order].astype(np.uint16).tobytes(), found[order].tobytes()
-                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), *(pa.array([x], pa.binary()) for x in out)], ["slice", "rows", "reps", "owner", "sig"])
+                # 48 bits of a signature and its bucket; what falls together by chance is compared for nothing
+                owner, sig = known["rep"][rows[speaks[rows]]].astype(np.uint16), found[speaks[rows]]
+                sig = (sig & ~np.uint64(0xFFFF)) | ((sig & np.uint64(0xFFFF)) % np.uint64(buckets))
+                order = np.lexsort((owner, sig))
+                owner, sig = owner[order], sig[order]
+                new = _heads(sig)
+                several = ~new
+                several[:-1] |= ~new[1:]
+                yield _blobs([(number % buckets, number, 1, known.tobytes(), rep.tobytes(), sig[several].tobytes(), owner[several].tobytes(), b"")])
+                sig, owner = sig[new], owner[new]
+                at = [sig & np.uint64(0xFFFF), (rep["one"] & np.uint64(0xFFFF)) % np.uint64(buckets)]
+                order = [np.argsort(x, kind="stable") for x in at]
+                cuts = [np.searchsorted(x[o], np.arange(buckets + 1, dtype=np.uint64)) for x, o in zip(at, order, strict=True)]
+                sig, owner, sets = sig[order[0]], owner[order[0]], np.stack([rep["one"], rep["two"]], axis=1)[order[1]]
+                high, low, places = (sig >> np.uint64(32)).astype(np.uint32), (sig >> np.uint64(16)).astype(np.uint16), order[1].astype(np.uint16)
+                out = []
+                for bucket in range(buckets):
+                    (i, j), (m, n) = ((c[bucket], c[bucket + 1]) for c in cuts)
+                    if i < j or m < n:
+                        out.append((bucket, number, 0, high[i:j].tobytes(), low[i:j].tobytes(), owner[i:j].tobytes(), sets[m:n].tobytes(), places[m:n].tobytes()))
+                yield _blobs(out)
                 number += 1
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "slice long, rows binary, reps binary, owner binary, sig binary")
+    return rows.mapInArrow(run, _SLICE)
 
 
 def _heads(*keys: np.ndarray) -> np.ndarray:
@@ -304,66 +330,48 @@ def _heads(*keys: np.ndarray) -> np.ndarray:
     return new
 
 
-def _offered(buckets: int):
-    """Slices to (bucket, slice, keys, owners, ones, twos, reps): each signature and each set once a slice, by the bucket it falls in."""
-    names = ("keys", "owners", "ones", "twos", "reps")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for number, reps, owner, sig in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps", "owner", "sig")), strict=True):
-                sig, owner, rep = np.frombuffer(sig, np.uint64), np.frombuffer(owner, np.uint16), np.frombuffer(reps, _REP)
-                new = _heads(sig)
-                sig, owner = sig[new], owner[new]
-                at = [sig % np.uint64(buckets), rep["one"] % np.uint64(buckets)]
-                order = [np.argsort(x, kind="stable") for x in at]
-                cuts = [np.searchsorted(x[o], np.arange(buckets + 1, dtype=np.uint64)) for x, o in zip(at, order, strict=True)]
-                columns = sig[order[0]], owner[order[0]], rep["one"][order[1]], rep["two"][order[1]], order[1].astype(np.uint16)
-                which = 0, 0, 1, 1, 1
-                full = [b for b in range(buckets) if any(c[b] < c[b + 1] for c in cuts)]
-                blobs = [pa.array([x[cuts[w][b] : cuts[w][b + 1]].tobytes() for b in full], pa.binary()) for x, w in zip(columns, which, strict=True)]
-                yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([number] * len(full), pa.int64()), *blobs], ["bucket", "slice", *names])
-
-    return run
-
-
-_OFFER = "bucket int, slice long, keys binary, owners binary, ones binary, twos binary, reps binary"
+_ANSWER = np.dtype([("key", "<u8"), ("owner", "<i8"), ("pivot", "<i8")])
 
 
 def _answered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(slice, pivots, same): for the signatures of several slices their least node, and for sets that have an earlier copy that one."""
-    got: list[list[np.ndarray]] = [[], [], [], [], []]
+    """Slices as they are (kind 1), and what the bucket knows for them (kind 0, a: the least node of each signature that several slices have; b: the first copy of a set that has an earlier one)."""
+    got: list[list[np.ndarray]] = [[], [], [], []]
     for batch in batches:
-        for number, *blobs in zip(*(batch.column(c).to_pylist() for c in ("slice", "keys", "owners", "ones", "twos", "reps")), strict=True):
-            keys, owners, ones, twos, reps = (np.frombuffer(b, t) for b, t in zip(blobs, (np.uint64, np.uint16, np.uint64, np.uint64, np.uint16), strict=True))
-            for k, x in enumerate((keys, (number << 16) | owners.astype(np.int64), ones, twos, (number << 16) | reps.astype(np.int64))):
+        whole = []
+        for bucket, number, kind, a, b, c, d, e in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+            if kind:
+                whole.append((bucket, number, kind, a, b, c, d, e))
+                continue
+            key = (np.frombuffer(a, np.uint32).astype(np.uint64) << np.uint64(32)) | (np.frombuffer(b, np.uint16).astype(np.uint64) << np.uint64(16)) | np.uint64(bucket)
+            base = number << 16
+            for k, x in enumerate((key, base | np.frombuffer(c, np.uint16).astype(np.int64), np.frombuffer(d, np.uint64).reshape(-1, 2), base | np.frombuffer(e, np.uint16).astype(np.int64))):
                 got[k].append(x)
+        if whole:
+            yield _blobs(whole)
     if not got[0]:
         return
-    key, node, one, two, rep = map(np.concatenate, got)
+    key, node, sets, rep = map(np.concatenate, got)
+    del got
     order = np.lexsort((node, key))
     key, node = key[order], node[order]
     new = _heads(key)
-    pivot = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] if len(key) else node
     several = ~new
     several[:-1] |= ~new[1:]
-    key, node, pivot = key[several], node[several], pivot[several]
-    order = np.lexsort((rep, two, one))
-    one, two, rep = one[order], two[order], rep[order]
-    new = _heads(one, two)
+    pivot = node[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))] if len(key) else node
+    known = np.zeros(int(several.sum()), _ANSWER)
+    known["key"], known["owner"], known["pivot"] = key[several], node[several], pivot[several]
+    order = np.lexsort((rep, sets[:, 1], sets[:, 0]))
+    sets, rep = sets[order], rep[order]
+    new = _heads(sets[:, 0], sets[:, 1])
     least = rep[np.maximum.accumulate(np.where(new, np.arange(len(rep)), 0))] if len(rep) else rep
-    rep, least = rep[~new], least[~new]
-    tables = []
-    for at, a, b in ((node >> 16, key.view(np.int64), pivot), (rep >> 16, rep, least)):
-        order = np.argsort(at, kind="stable")
-        tables.append((at[order], np.stack([a, b], axis=1)[order]))
-    slices = np.unique(np.concatenate([t[0] for t in tables]))
+    pairs = np.stack([rep[~new], least[~new]], axis=1)
+    known, pairs = known[np.argsort(known["owner"] >> 16, kind="stable")], pairs[np.argsort(pairs[:, 0] >> 16, kind="stable")]
+    at = known["owner"] >> 16, pairs[:, 0] >> 16
+    slices = np.unique(np.concatenate(at))
     for k in range(0, len(slices), 1024):
         some = slices[k : k + 1024]
-        blobs = []
-        for at, pairs in tables:
-            cuts = np.searchsorted(at, some, "left"), np.searchsorted(at, some, "right")
-            blobs.append(pa.array([pairs[i:j].tobytes() for i, j in zip(*(c.tolist() for c in cuts), strict=True)], pa.binary()))
-        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *blobs], ["slice", "pivots", "same"])
+        (a, b), (c, d) = ((np.searchsorted(x, some, "left"), np.searchsorted(x, some, "right")) for x in at)
+        yield _blobs([(0, int(n), 0, known[a[i] : b[i]].tobytes(), pairs[c[i] : d[i]].tobytes(), b"", b"", b"") for i, n in enumerate(some)])
 
 
 _MET = "kind int, a long, b long, n long"
@@ -371,19 +379,24 @@ _MET = "kind int, a long, b long, n long"
 
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Slices and their answers to (0, pivot, set, its size) for each region a set belongs to, and (1, first copy, later copy, 0)."""
-    pairs_of = lambda blobs: np.concatenate([np.zeros((0, 2), np.int64), *(np.frombuffer(b, np.int64).reshape(-1, 2) for b in blobs or ())])
     for batch in batches:
-        for number, reps, owner, sig, pivots, same in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps", "owner", "sig", "pivots", "same")), strict=True):
-            rep, sig, owner = np.frombuffer(reps, _REP), np.frombuffer(sig, np.uint64), np.frombuffer(owner, np.uint16).astype(np.int64)
-            base, pivots, same = number << 16, pairs_of(pivots), pairs_of(same)
+        for number, reps, sig, owner, answers, same in zip(*(batch.column(c).to_pylist() for c in ("slice", "b", "c", "d", "answers", "same")), strict=True):
+            base, rep = number << 16, np.frombuffer(reps, _REP)
+            sig, owner = np.frombuffer(sig, np.uint64), np.frombuffer(owner, np.uint16).astype(np.int64)
+            known = np.concatenate([np.zeros(0, _ANSWER), *(np.frombuffer(x, _ANSWER) for x in answers or ())])
+            same = np.concatenate([np.zeros((0, 2), np.int64), *(np.frombuffer(x, np.int64).reshape(-1, 2) for x in same or ())])
+            known = known[np.argsort(known["key"])]
+            # signatures of several sets of the slice: the pivot is the first of them, or what the bucket knows
             new = _heads(sig)
-            group = np.cumsum(new) - 1
             pivot = base | owner[new]
-            pivot[np.searchsorted(sig[new], pivots[:, 0].view(np.uint64))] = pivots[:, 1]
-            copy = np.zeros(len(rep), bool)
+            if len(known):
+                at = np.minimum(np.searchsorted(known["key"], sig[new]), len(known) - 1)
+                pivot = np.where(known["key"][at] == sig[new], known["pivot"][at], pivot)
+            a = np.r_[pivot[np.cumsum(new) - 1], known["pivot"]] if len(sig) else known["pivot"]
+            b = np.r_[base | owner, known["owner"]]
+            copy = np.zeros(len(rep) + 1, bool)
             copy[same[:, 0] & (_SLICE_ROWS - 1)] = True
-            a, b = pivot[group], base | owner
-            apart = (a != b) & ~copy[owner]
+            apart = (a != b) & ~copy[b & (_SLICE_ROWS - 1)]
             a, b = np.unique(np.stack([a[apart], b[apart]]), axis=1) if apart.any() else (a[:0], b[:0])
             kind = np.r_[np.zeros(len(a)), np.ones(len(same))]
             n = np.r_[rep["n"][b & (_SLICE_ROWS - 1)], np.zeros(len(same), np.int64)]
@@ -394,7 +407,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, doc_id, one, two) of every distinct set of every slice."""
     for batch in batches:
-        for number, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "reps")), strict=True):
+        for number, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "b")), strict=True):
             rep = np.frombuffer(reps, _REP)
             columns = (number << 16) | np.arange(len(rep)), rep["id"], rep["one"].view(np.int64), rep["two"].view(np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["node", "doc_id", "one", "two"])
@@ -403,7 +416,7 @@ def _nodes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(doc_id, n_shingles, node, alone) of every row; node is null where there is no set, alone the component if nothing is linked."""
     for batch in batches:
-        for number, rows, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "rows", "reps")), strict=True):
+        for number, rows, reps in zip(*(batch.column(c).to_pylist() for c in ("slice", "a", "b")), strict=True):
             row, rep = np.frombuffer(rows, _ROW), np.frombuffer(reps, _REP)
             none = row["rep"] < 0
             alone = np.where(none, row["id"], rep["id"][row["rep"]] if len(rep) else 0)
@@ -573,12 +586,12 @@ def jaccard_join(
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be above 0 and at most 100, words at least 1")
     n = partitions(docs.sparkSession)
-    slices = written(_slices(docs, words, percent), "slices")
-    answers = slices.select("slice", "reps", "owner", "sig").mapInArrow(_offered(n), _OFFER).repartition(n, "bucket").mapInArrow(_answered, "slice long, pivots binary, same binary")
-    answers = answers.groupBy("slice").agg(F.collect_list("pivots").alias("pivots"), F.collect_list("same").alias("same")).withColumnRenamed("slice", "of")
-    asked = slices.select("slice", "reps", "owner", "sig").join(answers.hint("merge"), F.col("slice") == F.col("of"), "left").drop("of")
+    found = written(_slices(docs, words, percent, min(n, 1 << 16)).repartition(n, "bucket").mapInArrow(_answered, _SLICE), "slices")
+    slices = found.where("kind = 1")
+    answers = found.where("kind = 0").groupBy(F.col("slice").alias("of")).agg(F.collect_list("a").alias("answers"), F.collect_list("b").alias("same"))
+    asked = slices.select("slice", "b", "c", "d").join(answers.hint("merge"), F.col("slice") == F.col("of"), "left").drop("of")
     met = written(asked.mapInArrow(_met, _MET), "met")
-    nodes = slices.select("slice", "reps").mapInArrow(_nodes, "node long, doc_id long, one long, two long")
+    nodes = slices.select("slice", "b").mapInArrow(_nodes, "node long, doc_id long, one long, two long")
     pairs = met.where("kind = 0").select("a", "b", "n")
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(nodes.hint("merge"), F.col("w") == F.col("node")).select("node", F.col("doc_id").alias("asked"), "one", "two")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
@@ -589,7 +602,7 @@ def jaccard_join(
     roots = components(functools.reduce(DataFrame.unionByName, links))
     named = written(roots.join(nodes.select(F.col("node").alias("own"), "doc_id").hint("merge"), F.col("node") == F.col("own")).select("node", "root", "doc_id"), "named")
     least = with_group(named, ["root"], "node", least=(F.min, F.col("doc_id"))).select(F.col("node").alias("of"), "least")
-    rows = slices.select("slice", "rows", "reps").mapInArrow(_rows, "doc_id long, n_shingles long, node long, alone long")
+    rows = slices.select("slice", "a", "b").mapInArrow(_rows, "doc_id long, n_shingles long, node long, alone long")
     # rows without a node have keys of their own, which no node has, so that they are no hot key
     keyed = rows.withColumn("key", F.coalesce("node", -F.monotonically_increasing_id() - 1))
     linked = keyed.join(least.hint("merge"), F.col("key") == F.col("of"), "left")
