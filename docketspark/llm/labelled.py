@@ -28,7 +28,8 @@ def labelled_sample(
     """(label, text) of at most per_class training ids of each of the labels 0 and 1, drawn by a seeded hash.
 
     The drawn ids, 2 * per_class rows at most, are what is broadcast. A doc_id labelled twice counts
-    as the larger label; labels other than 0 and 1 and null ids are left out.
+    as the larger label; labels other than 0 and 1 and null ids are left out. An id that `docs` repeats
+    gives one row, of its least text, so the result has 2 * per_class rows at most, too.
     """
     usable = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -39,7 +40,8 @@ def labelled_sample(
     drawn = [
         usable.where(F.col("label") == k).orderBy(F.xxhash64(F.lit(seed), "doc_id"), "doc_id").limit(per_class) for k in (0, 1)
     ]
-    return docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    held_ = docs.select("doc_id", "text").join(F.broadcast(drawn[0].unionByName(drawn[1])), "doc_id")
+    return held_.groupBy("doc_id").agg(F.max("label").alias("label"), F.min("text").alias("text"))
 
 
 def scored(

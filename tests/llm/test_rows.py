@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from docketspark.llm import kernels, op3_quality, op8_language, op9_toxicity, op10_simhash
 from docketspark.llm.common import text_bytes
+from docketspark.llm.labelled import labelled_sample
 
 from .conftest import prose
 
@@ -74,6 +75,22 @@ def test_classifiers_take_odd_rows(spark, odd, odd_labels, none):
     assert op9_toxicity.without_toxic(odd, odd_labels.limit(0)).count() == odd.count()
 
 
+def test_a_labelled_sample_is_bounded_in_rows(spark):
+    texts = [(1, "b"), (1, "a"), (1, None), (2, None), (3, "c"), (None, "d")] + [(4, "e")] * 500
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, 1) for k in (1, 2, 3, 4, None)], "doc_id long, toxic int")
+    every = labelled_sample(docs, labels, "toxic", 1, 1, 10, 7).select("doc_id", "label", "text").collect()
+    assert sorted(map(tuple, every), key=repr) == [(1, 1, "a"), (2, 1, None), (3, 1, "c"), (4, 1, "e")]
+    assert labelled_sample(docs, labels, "toxic", 1, 1, 2, 7).count() == 2
+
+
+def test_a_fingerprint_does_not_depend_on_the_rows_beside_it():
+    texts = [f"{prose(k, 30)} {prose(k + 1, 5)}" for k in range(50)]
+    alone = np.concatenate([op10_simhash.simhash(*text_bytes(pa.array([t]))) for t in texts])
+    many = op10_simhash.simhash(*text_bytes(pa.array(texts + ["x"] * 5000)))
+    assert (many[:50] == alone).all()
+
+
 def test_languages(spark, odd, none):
     docs = table(spark, "documents")
     found = op8_language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id")
