@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 #: Paths of the tables written inside the innermost `scratch` block; None outside of any.
 _owned: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("owned", default=None)
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors and the driver can reach, as `spark.checkpoint.dir` names it.
@@ -31,15 +33,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+@contextmanager
+def _shuffles_dropped(spark: SparkSession):
+    """Queries run inside the block delete their shuffle files as they end, not when the driver next collects garbage.
+
+    The session's own setting holds again afterwards. A task lost within a query still finds its files.
+    """
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(_CLEANUP, before)
+
+
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
-    """Writes df as Parquet in the shared folder and reads it back: lineage ends there.
+    """Writes df as Parquet in the shared folder and reads it back: lineage ends there, and the write's shuffle files go.
 
     A surrounding `scratch` block deletes the table at its end unless keep is set; without one it
     stays as long as the folder does, since a lazy result may still read it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with _shuffles_dropped(spark):
+        df.write.parquet(path)
     owned = _owned.get()
     if owned is not None and not keep:
         owned.append(path)
