@@ -426,15 +426,18 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _sets_of(words: int):
-    """Rows (node, one, two, text) to (node, set): the shingles in order, of the rows whose text has that set."""
+def _texts_of(words: int):
+    """Rows (node, one, two, text) to (node, text), of one row whose text has the node's set.
+
+    Texts travel and not their sets: eight bytes a shingle don't compress, words do.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = None
         for big in batches:
             for batch in sliced(iter([big]), "text"):
                 node, one, two = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "one", "two"))
-                nodes, sets = [], []
+                nodes, rows = [], []
                 for i, j, raw, at in pieces(*text_bytes(batch.column("text"))):
                     hashes, first = shingle_sets(raw, at, words)
                     a, b = set_keys(hashes, first)
@@ -443,8 +446,8 @@ def _sets_of(words: int):
                         if node[i + k] != last:  # rows of one id and text come together
                             last = node[i + k]
                             nodes.append(last)
-                            sets.append(hashes[first[k] : first[k + 1]].tobytes())
-                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], ["node", "set"])
+                            rows.append(i + k)
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), batch.column("text").take(pa.array(rows, pa.int64()))], ["node", "text"])
 
     return run
 
@@ -452,7 +455,7 @@ def _sets_of(words: int):
 _REGION = "kind int, region long, part int, parts int, a long, b long, n long, d double, ball boolean, copied int"
 
 
-def _joined(percent: int):
+def _joined(words: int, percent: int):
     """Rows of parts of regions, in order of (region, part, role), pivots first, to links (kind 0: a, b) and, of regions in parts, members of cells (kind 1).
 
     A cell is named by its pivot a; b is the member, d its distance, ball whether the two are linked, copied whether it is at home elsewhere.
@@ -495,19 +498,21 @@ def _joined(percent: int):
             columns = zip(*rows, strict=True) if rows else [()] * len(kinds)
             return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(columns, kinds, strict=True)], [x.split()[0] for x in _REGION.split(", ")])
 
-        for batch in batches:
+        for batch in sliced(batches, "text"):
             names = ("region", "part", "parts", "role", "node", "d", "ball", "side")
-            sets = batch.column("set")
+            sets = []
+            for _, _, raw, at in pieces(*text_bytes(batch.column("text"))):
+                hashes, first = shingle_sets(raw, at, words)
+                sets.extend(hashes[a:b].copy() for a, b in zip(first[:-1].tolist(), first[1:].tolist(), strict=True))
             for k, (region, part, parts, role, node, d, ball, side) in enumerate(zip(*(batch.column(c).to_pylist() for c in names), strict=True)):
                 if key != (region, part, parts):
                     if key:
                         settle(key, pivots, members, links, cells)
                     key, pivots, members = (region, part, parts), [], []
-                own = np.frombuffer(sets[k].as_buffer(), np.uint64)
                 if role:
-                    members.append((node, own, float("nan") if d is None else d, bool(ball), side))
+                    members.append((node, sets[k], float("nan") if d is None else d, bool(ball), side))
                 else:
-                    pivots.append((node, own))
+                    pivots.append((node, sets[k]))
             if len(links) + len(cells) > 1 << 14:
                 yield flushed()
                 links, cells = [], []
@@ -532,7 +537,7 @@ def _in_blocks(sized: DataFrame) -> DataFrame:
     )
 
 
-def region_links(met: DataFrame, sets: DataFrame, percent: int, most_shingles: int = REGION_SHINGLES, most_sets: int = REGION_SETS) -> list[DataFrame]:
+def region_links(met: DataFrame, texts: DataFrame, words: int, percent: int, most_shingles: int = REGION_SHINGLES, most_sets: int = REGION_SETS) -> list[DataFrame]:
     """Tables of links (a, b) that join the members of the regions (a: pivot, b: set, n: its size) into components."""
     n, links, reach = partitions(met.sparkSession), [], _reach(percent)
     members = met.select(
@@ -556,10 +561,10 @@ def region_links(met: DataFrame, sets: DataFrame, percent: int, most_shingles: i
             pivots = sized.groupBy("region").agg(F.max("parts").alias("parts")).select("region", "parts", F.col("region").alias("id"))
         everywhere = F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part")
         pivots = pivots.select("region", everywhere, "parts", F.lit(0).alias("role"), "id", F.lit(None).cast("double").alias("d"), F.lit(True).alias("ball"), F.lit(0).alias("side"))
-        rows = asked.unionByName(pivots).join(sets.hint("merge"), F.col("id") == F.col("node"))
-        rows = rows.select("region", "part", "parts", "role", "node", "d", "ball", "side", "set")
+        rows = asked.unionByName(pivots).join(texts.hint("merge"), F.col("id") == F.col("node"))
+        rows = rows.select("region", "part", "parts", "role", "node", "d", "ball", "side", "text")
         rows = rows.repartition(n, "region", "part").sortWithinPartitions("region", "part", "parts", "role", "node")
-        found = written(rows.mapInArrow(_joined(percent), _REGION), "joined")
+        found = written(rows.mapInArrow(_joined(words, percent), _REGION), "joined")
         links.append(found.where("kind = 0").select("a", "b"))
         cells = found.where("kind = 1")
         if cells.isEmpty():
@@ -597,8 +602,8 @@ def jaccard_join(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     # merged at every size: ids asked for grow with the corpus
     held = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("asked")).select("node", "one", "two", "text")
-    sets = written(held.mapInArrow(_sets_of(words), "node long, set binary"), "sets")
-    links = [*region_links(pairs, sets, percent, most_shingles, most_sets), met.where("kind = 1").select("a", "b")]
+    asked_for = written(held.mapInArrow(_texts_of(words), "node long, text string"), "texts")
+    links = [*region_links(pairs, asked_for, words, percent, most_shingles, most_sets), met.where("kind = 1").select("a", "b")]
     roots = components(functools.reduce(DataFrame.unionByName, links))
     named = written(roots.join(nodes.select(F.col("node").alias("own"), "doc_id").hint("merge"), F.col("node") == F.col("own")).select("node", "root", "doc_id"), "named")
     least = with_group(named, ["root"], "node", least=(F.min, F.col("doc_id"))).select(F.col("node").alias("of"), "least")
