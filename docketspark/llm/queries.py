@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.llm import op1_chat, op2_jaccard, op3_quality, op4_suffix, op5_warc, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
+from docketspark.llm import op11_negatives, op12_filters, op13_pii
 from docketspark.sources.files import dealt_out
 
 
@@ -84,6 +85,92 @@ from placed
 """
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.expr("vec_id % 7 = 0"), (F.col("label").cast("long") + 1) % 10).otherwise(F.col("label"))
+    return op11_negatives.mine(rows.withColumn("label", moved))
+
+
+OP11_SQL = """
+with rows as (
+  select vec_id, case when vec_id % 7 = 0 then (cast(label as bigint) + 1) % 10 else label end as label,
+         [floor(256 * cast(x as double)) for x in embedding] as vector, row_number() over () as own
+  from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0),
+scored as (
+  select a.own as anchor, a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+         cast(list_inner_product(a.vector, b.vector) as bigint) as score
+  from rows a join rows b on a.own <> b.own
+  where a.vec_id % 100 = 0),
+positive as (
+  select anchor, anchor_id, vec_id as positive_id, score as positive_score,
+         row_number() over (partition by anchor order by score desc, vec_id) as k
+  from scored where same qualify k <= 5),
+negative as (
+  select p.anchor_id, p.positive_id, p.positive_score, s.vec_id as negative_id, s.score as negative_score,
+         row_number() over (partition by p.anchor, p.k order by s.score desc, s.vec_id) as rank
+  from positive p join scored s on s.anchor = p.anchor and not s.same
+   and 80 * p.positive_score <= 100 * s.score and 100 * s.score <= 100 * p.positive_score)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score, negative_score
+from negative where rank <= 5
+"""
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
+    return op12_filters.audit(docs, labels).drop("filter")
+
+
+OP12_SQL = r"""
+with texts as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+counted as (
+  select doc_id, part, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+         length(text) - length(regexp_replace(text, '[A-Z]', '', 'g')) as capitals
+  from texts),
+failed as (
+  select doc_id, part, len(words) < 200 as a, 100 * len(list_distinct(words)) < 50 * len(words) as b,
+         100 * capitals > 3 * length(text) as c, regexp_matches(text, '[#$%&*|]') as d,
+         coalesce(doc_id > min(doc_id) over (partition by text), false) as e
+  from counted),
+marks as (
+  select doc_id, max(case when quality = 1 then 1 else 0 end) as good, max(case when toxic = 1 then 1 else 0 end) as toxic
+  from labels where doc_id is not null group by doc_id),
+masks as (
+  select part, a::int + 2 * b::int + 4 * c::int + 8 * d::int + 16 * e::int as mask,
+         coalesce(good, 0) as good, coalesce(toxic, 0) as toxic
+  from failed left join marks using (doc_id)),
+cells as (select part, mask, count(*) as n, sum(good) as good, sum(toxic) as toxic from masks group by all),
+letters as (select unnest(['A', 'B', 'C', 'D', 'E']) as f, unnest([1, 2, 4, 8, 16]) as bit),
+permutations as (
+  select [a.f, b.f, c.f, d.f, e.f] as fs, [a.bit, b.bit, c.bit, d.bit, e.bit] as bits
+  from letters a, letters b, letters c, letters d, letters e
+  where len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5),
+steps as (
+  select array_to_string(fs, '') as filter_order, cast(step as integer) as step, fs[step] as f, bits[step] as own,
+         cast(coalesce(list_sum(bits[1:step - 1]), 0) as integer) as earlier
+  from permutations, (select unnest([1, 2, 3, 4, 5]) as step)),
+counts as (
+  select part, filter_order, step, f,
+         sum(case when mask & (own | earlier) = 0 then n else 0 end) as kept,
+         sum(case when mask & own > 0 and mask & earlier = 0 then n else 0 end) as removed,
+         sum(case when mask & own > 0 and mask & earlier > 0 then n else 0 end) as redundant,
+         sum(case when mask = own then n else 0 end) as unique_fails,
+         sum(case when mask & own > 0 and mask & earlier = 0 then good else 0 end) as good_lost,
+         sum(case when mask & own > 0 and mask & earlier = 0 then toxic else 0 end) as toxic_lost
+  from cells, steps group by all)
+select part, filter_order, step, cast(kept as bigint) as kept, cast(removed as bigint) as removed,
+       cast(redundant as bigint) as redundant, cast(unique_fails as bigint) as unique_fails,
+       cast(good_lost as bigint) as good_lost, cast(toxic_lost as bigint) as toxic_lost,
+       cast(sum(removed) over (partition by part, f) as bigint) as shapley
+from counts
+"""
+
+
+def op13_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_pii.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
 QUERIES = {
     "op1_chat_roles": op1_chat_roles,
     "op2_jaccard_join": op2_jaccard_join,
@@ -95,5 +182,8 @@ QUERIES = {
     "op8_language_id": op8_language_id,
     "op9_toxicity_classifier": op9_toxicity_classifier,
     "op10_fingerprints": op10_fingerprints,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_pii_spans": op13_pii_spans,
 }
-ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL}
+ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL}
