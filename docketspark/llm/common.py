@@ -13,8 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Paths of the tables written inside the innermost `scratch` block; None outside of any.
-_owned: contextvars.ContextVar[list[str] | None] = contextvars.ContextVar("owned", default=None)
+#: Paths of the tables written inside each `scratch` block that is open here, the innermost last.
+_owned: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("owned", default=())
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -50,16 +50,16 @@ def _shuffles_dropped(spark: SparkSession):
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there, and the write's shuffle files go.
 
-    A surrounding `scratch` block deletes the table at its end unless keep is set; without one it
-    stays as long as the folder does, since a lazy result may still read it.
+    A surrounding `scratch` block deletes the table at its end; with keep, the block around that one
+    does. Without a block it stays as long as the folder does, since a lazy result may still read it.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     with _shuffles_dropped(spark):
         df.write.parquet(path)
-    owned = _owned.get()
-    if owned is not None and not keep:
-        owned.append(path)
+    blocks = _owned.get()[: -1 if keep else None]
+    if blocks:
+        blocks[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -71,24 +71,15 @@ def removed(spark: SparkSession, paths: list[str]) -> None:
         path.getFileSystem(conf).delete(path, True)
 
 
-@contextmanager
-def recorded(paths: list[str]):
-    """The paths of tables written inside the block are added to the caller's list; what becomes of them is the caller's matter."""
-    mark = _owned.set(paths)
-    try:
-        yield
-    finally:
-        _owned.reset(mark)
-
-
 @contextmanager
 def scratch(spark: SparkSession):
-    """Tables written inside the block, and those only, are deleted at its end: store what is built on them within it."""
+    """Tables written inside the block, and those only, are deleted at its end: store what is built on them within it, with keep."""
     own: list[str] = []
+    mark = _owned.set((*_owned.get(), own))
     try:
-        with recorded(own):
-            yield
+        yield
     finally:
+        _owned.reset(mark)
         removed(spark, own)
 
 

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import fresh, partitions, pieces, sliced, text_bytes, with_group, written
+from docketspark.llm.common import fresh, partitions, pieces, scratch, sliced, text_bytes, with_group, written
 from docketspark.llm.graph import components
 
 #: A region that has more shingles, or more sets, is cut by pivots.
@@ -591,27 +591,29 @@ def jaccard_join(
     if not 0 < percent <= 100 or words < 1:
         raise ValueError("percent must be above 0 and at most 100, words at least 1")
     n = partitions(docs.sparkSession)
-    found = written(_slices(docs, words, percent, min(n, 1 << 16)).repartition(n, "bucket").mapInArrow(_answered, _SLICE), "slices")
-    slices = found.where("kind = 1")
-    answers = found.where("kind = 0").groupBy(F.col("slice").alias("of")).agg(F.collect_list("a").alias("answers"), F.collect_list("b").alias("same"))
-    asked = slices.select("slice", "b", "c", "d").join(answers.hint("merge"), F.col("slice") == F.col("of"), "left").drop("of")
-    met = written(asked.mapInArrow(_met, _MET), "met")
-    nodes = slices.select("slice", "b").mapInArrow(_nodes, "node long, doc_id long, one long, two long")
-    pairs = met.where("kind = 0").select("a", "b", "n")
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(nodes.hint("merge"), F.col("w") == F.col("node")).select("node", F.col("doc_id").alias("asked"), "one", "two")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    # merged at every size: ids asked for grow with the corpus
-    held = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("asked")).select("node", "one", "two", "text")
-    asked_for = written(held.mapInArrow(_texts_of(words), "node long, text string"), "texts")
-    links = [*region_links(pairs, asked_for, words, percent, most_shingles, most_sets), met.where("kind = 1").select("a", "b")]
-    roots = components(functools.reduce(DataFrame.unionByName, links))
-    named = written(roots.join(nodes.select(F.col("node").alias("own"), "doc_id").hint("merge"), F.col("node") == F.col("own")).select("node", "root", "doc_id"), "named")
-    least = with_group(named, ["root"], "node", least=(F.min, F.col("doc_id"))).select(F.col("node").alias("of"), "least")
-    rows = slices.select("slice", "a", "b").mapInArrow(_rows, "doc_id long, n_shingles long, node long, alone long")
-    # rows without a node have keys of their own, which no node has, so that they are no hot key
-    keyed = rows.withColumn("key", F.coalesce("node", -F.monotonically_increasing_id() - 1))
-    linked = keyed.join(least.hint("merge"), F.col("key") == F.col("of"), "left")
-    return linked.select("doc_id", "n_shingles", F.coalesce("least", "alone").alias("component_id"))
+    with scratch(docs.sparkSession):
+        found = written(_slices(docs, words, percent, min(n, 1 << 16)).repartition(n, "bucket").mapInArrow(_answered, _SLICE), "slices")
+        slices = found.where("kind = 1")
+        answers = found.where("kind = 0").groupBy(F.col("slice").alias("of")).agg(F.collect_list("a").alias("answers"), F.collect_list("b").alias("same"))
+        asked = slices.select("slice", "b", "c", "d").join(answers.hint("merge"), F.col("slice") == F.col("of"), "left").drop("of")
+        met = written(asked.mapInArrow(_met, _MET), "met")
+        nodes = slices.select("slice", "b").mapInArrow(_nodes, "node long, doc_id long, one long, two long")
+        pairs = met.where("kind = 0").select("a", "b", "n")
+        wanted = pairs.select(F.explode(F.array("a", "b")).alias("w")).distinct().join(nodes.hint("merge"), F.col("w") == F.col("node")).select("node", F.col("doc_id").alias("asked"), "one", "two")
+        with scratch(docs.sparkSession):  # texts and links go as soon as components are known
+            texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+            # merged at every size: ids asked for grow with the corpus
+            held = texts.join(wanted.hint("merge"), F.col("doc_id") == F.col("asked")).select("node", "one", "two", "text")
+            asked_for = written(held.mapInArrow(_texts_of(words), "node long, text string"), "texts")
+            links = [*region_links(pairs, asked_for, words, percent, most_shingles, most_sets), met.where("kind = 1").select("a", "b")]
+            roots = components(functools.reduce(DataFrame.unionByName, links))
+            named = written(roots.join(nodes.select(F.col("node").alias("own"), "doc_id").hint("merge"), F.col("node") == F.col("own")).select("node", "root", "doc_id"), "named", keep=True)
+        least = with_group(named, ["root"], "node", least=(F.min, F.col("doc_id"))).select(F.col("node").alias("of"), "least")
+        rows = slices.select("slice", "a", "b").mapInArrow(_rows, "doc_id long, n_shingles long, node long, alone long")
+        # rows without a node have keys of their own, which no node has, so that they are no hot key
+        keyed = rows.withColumn("key", F.coalesce("node", -F.monotonically_increasing_id() - 1))
+        linked = keyed.join(least.hint("merge"), F.col("key") == F.col("of"), "left")
+        return written(linked.select("doc_id", "n_shingles", F.coalesce("least", "alone").alias("component_id")), "classes", keep=True)
 
 
 def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -621,14 +623,16 @@ def one_of_each(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame
     that has several texts is judged text by text. A row without an id never takes the place of one
     that has an id, nor the other way round: of a component's rows without an id, one stays as well.
     """
-    key = fresh(docs, "row")
-    keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed")
-    of = F.col("doc_id").cast("long")
-    content = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
-    found = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), words, percent)
-    found = found.select(F.col("doc_id").alias("_row"), "component_id")
-    rows = keyed.select(F.col(key).alias("_own"), of.alias("_id"), content.alias("_content"))
-    placed = rows.join(found.hint("merge"), F.col("_own") == F.col("_row"))
-    first = F.min(F.struct("_id", "_content", "_own")).alias("first")
-    stay = placed.groupBy("component_id", F.col("_id").isNull().alias("_none")).agg(first).select(F.col("first._own").alias("_stay"))
-    return keyed.join(stay.hint("merge"), F.col(key) == F.col("_stay"), "left_semi").drop(key)
+    with scratch(docs.sparkSession):
+        key = fresh(docs, "row")
+        keyed = written(docs.withColumn(key, F.monotonically_increasing_id()), "keyed", keep=True)
+        of = F.col("doc_id").cast("long")
+        content = F.xxhash64(*[c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind])
+        found = jaccard_join(keyed.select(F.col(key).alias("doc_id"), "text"), words, percent)
+        found = found.select(F.col("doc_id").alias("_row"), "component_id")
+        rows = keyed.select(F.col(key).alias("_own"), of.alias("_id"), content.alias("_content"))
+        placed = rows.join(found.hint("merge"), F.col("_own") == F.col("_row"))
+        first = F.min(F.struct("_id", "_content", "_own")).alias("first")
+        stay = placed.groupBy("component_id", F.col("_id").isNull().alias("_none")).agg(first).select(F.col("first._own").alias("_stay"))
+        stay = written(stay, "stay", keep=True)
+        return keyed.join(stay.hint("merge"), F.col(key) == F.col("_stay"), "left_semi").drop(key)

@@ -29,12 +29,13 @@ sampled starts over each interval decides that.
 
 Defined cases: null text counts as empty; texts shorter than `length` lose nothing; null ids stand
 before all others; rows with one id are one document as to order: equal starts in them are not
-earlier than one another; an empty table gives an empty result; other columns are ignored by the
+earlier than one another, and 128 bits of hash tell their texts apart; an empty table gives an empty result; other columns are ignored by the
 report and kept by `deduplicated`.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -44,7 +45,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import partitions, pieces, sliced, text_bytes, with_group, written
+from docketspark.llm.common import partitions, pieces, scratch, sliced, text_bytes, with_group, written
 
 #: Bytes of a minimizer. Longer ones are shared by fewer strings that are not equal, shorter ones leave fewer contexts.
 GRAM = 32
@@ -104,8 +105,10 @@ def merged(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndar
 
 
 _ANCHOR = np.dtype([("gram", "<u4"), ("gram2", "<u2"), ("context", "<u8"), ("start", "<i4"), ("count", "<u2")])
-_DOC = np.dtype([("key", "<i8"), ("tag", "<i4"), ("n", "<i4")])
-_PART = np.dtype([("key", "<i8"), ("tag", "<i4"), ("start", "<i4"), ("end", "<i4")])
+#: Rows of one id are told apart by 128 bits of their text: tag and also.
+_DOC = np.dtype([("key", "<i8"), ("tag", "<i8"), ("also", "<i8"), ("n", "<i4")])
+_PART = np.dtype([("key", "<i8"), ("tag", "<i8"), ("also", "<i8"), ("start", "<i4"), ("end", "<i4")])
+_ROW = ("key", "tag", "also")
 
 
 def _blobs(rows: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
@@ -121,11 +124,11 @@ _BLOB = "bucket int, kind int, blob binary"
 
 
 def _anchors(length: int, buckets: int):
-    """Rows (key, tag, text) to blobs: anchors by minimizer (kind 0), intervals settled in the batch (kind 1)."""
+    """Rows (key, tag, also, text) to blobs: anchors by minimizer (kind 0), intervals settled in the batch (kind 1)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, "text"):
-            key, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tag"))
+            key, tag, also = (batch.column(c).to_numpy(zero_copy_only=False) for c in _ROW)
             found = []
             for i, _, raw, at in pieces(*text_bytes(batch.column("text")), PIECE_BYTES):
                 row, *rest = contexts(raw, at, length)
@@ -143,7 +146,7 @@ def _anchors(length: int, buckets: int):
             d, s, e = merged(row[later], start[later], (start + count + length - 1)[later])
             if len(d):
                 part = np.zeros(len(d), _PART)
-                part["key"], part["tag"], part["start"], part["end"] = key[d], tag[d], s, e
+                part["key"], part["tag"], part["also"], part["start"], part["end"] = key[d], tag[d], also[d], s, e
                 out.append((int(key[0]) % buckets, 1, part.tobytes()))
             keep = new | again
             row, start, count, gram, context = (x[keep] for x in (row, start, count, gram, context))
@@ -158,7 +161,7 @@ def _anchors(length: int, buckets: int):
                 own = row[a:b]
                 heads = np.flatnonzero(np.r_[True, own[1:] != own[:-1]])
                 doc = np.zeros(len(heads), _DOC)
-                doc["key"], doc["tag"], doc["n"] = key[own[heads]], tag[own[heads]], np.diff(np.append(heads, b - a))
+                doc["key"], doc["tag"], doc["also"], doc["n"] = key[own[heads]], tag[own[heads]], also[own[heads]], np.diff(np.append(heads, b - a))
                 body = b"".join(np.ascontiguousarray(anchor[a:b][f]).tobytes() for f in _ANCHOR.names)
                 out.append((int(bucket[a]), 0, len(doc).to_bytes(8, "little") + doc.tobytes() + body))
             yield from _blobs(out)
@@ -177,19 +180,19 @@ def _read_anchors(blob: bytes, bucket: int) -> tuple[np.ndarray, ...]:
         columns.append(np.frombuffer(blob, kind, n, at))
         at += n * kind.itemsize
     gram = (columns[0].astype(np.uint64) << np.uint64(32)) | (columns[1].astype(np.uint64) << np.uint64(16)) | np.uint64(bucket & 0xFFFF)
-    return (np.repeat(doc["key"], doc["n"]), np.repeat(doc["tag"], doc["n"]), gram, columns[2], columns[3].astype(np.int64), columns[4].astype(np.int64))
+    return (*(np.repeat(doc[c], doc["n"]) for c in _ROW), gram, columns[2], columns[3].astype(np.int64), columns[4].astype(np.int64))
 
 
-_MET = "kind int, key long, tag int, start int, size int, gram long"
+_MET = "kind int, key long, tag long, also long, start int, size int, gram long"
 
 
 def _meetings(length: int):
     """Blobs to rows: settled intervals (kind 1: start, size) and asked contexts (kind 0: start, number of strings, minimizer)."""
 
-    def emit(kind, key, tag, start, size, gram) -> pa.RecordBatch:
-        columns = [np.full(len(key), kind), key, tag, start, size, gram]
-        kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64()]
-        return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds, strict=True)], ["kind", "key", "tag", "start", "size", "gram"])
+    def emit(kind, key, tag, also, start, size, gram) -> pa.RecordBatch:
+        columns = [np.full(len(key), kind), key, tag, also, start, size, gram]
+        kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64()]
+        return pa.RecordBatch.from_arrays([pa.array(c.astype(k.to_pandas_dtype()), k) for c, k in zip(columns, kinds, strict=True)], ["kind", *_ROW, "start", "size", "gram"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
@@ -199,10 +202,10 @@ def _meetings(length: int):
                     found.append(_read_anchors(blob, bucket))
                     continue
                 part = np.frombuffer(blob, _PART)
-                yield emit(1, part["key"], part["tag"], part["start"], part["end"] - part["start"], part["key"] * 0)
+                yield emit(1, *(part[c] for c in _ROW), part["start"], part["end"] - part["start"], part["key"] * 0)
         if not found:
             return
-        key, tag, gram, context, start, count = map(np.concatenate, zip(*found, strict=True))
+        key, tag, also, gram, context, start, count = map(np.concatenate, zip(*found, strict=True))
         del found
         order = np.lexsort((context, gram))
         # most minimizers come once; only the others need the order of their documents
@@ -210,7 +213,7 @@ def _meetings(length: int):
         alone = np.r_[True, g[1:] != g[:-1]] & np.r_[g[1:] != g[:-1], True]
         order = order[~alone]
         order = order[np.lexsort((start[order], key[order], context[order], gram[order]))]
-        key, tag, gram, context, start, count = (x[order] for x in (key, tag, gram, context, start, count))
+        key, tag, also, gram, context, start, count = (x[order] for x in (key, tag, also, gram, context, start, count))
         if not len(key):
             return
         new_gram = np.r_[True, gram[1:] != gram[:-1]]
@@ -219,23 +222,23 @@ def _meetings(length: int):
         later = (key != key[head]) | (start != start[head])
         for a in range(0, int(later.sum()), 1 << 16):
             x = np.flatnonzero(later)[a : a + (1 << 16)]
-            yield emit(1, key[x], tag[x], start[x], count[x] + length - 1, gram[x] * 0)
+            yield emit(1, key[x], tag[x], also[x], start[x], count[x] + length - 1, gram[x] * 0)
         group = np.cumsum(new_gram) - 1
         several = np.bincount(group, new) > 1
         asked = np.flatnonzero(new & several[group])
         for a in range(0, len(asked), 1 << 16):
             x = asked[a : a + (1 << 16)]
-            yield emit(0, key[x], tag[x], start[x], count[x], gram[x].view(np.int64))
+            yield emit(0, key[x], tag[x], also[x], start[x], count[x], gram[x].view(np.int64))
 
     return run
 
 
 def _strings(length: int):
-    """Rows (key, tag, text, asked) to (key, tag, start, one, two): every string of the asked contexts and two hashes of it."""
+    """Rows (key, tag, also, text, asked) to (key, tag, also, start, one, two): every string of the asked contexts and two hashes of it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            key, tag = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("key", "tag"))
+            own = [batch.column(c).to_numpy(zero_copy_only=False) for c in _ROW]
             raw, at = text_bytes(batch.column("text"))
             for i, asked in enumerate(batch.column("asked")):
                 for want in asked.as_py():
@@ -246,8 +249,8 @@ def _strings(length: int):
                     other = kernels.prefix_sums(_SECOND[raw[at[i] + start : at[i] + start + n + length - 1]])
                     one, two = (kernels.range_hash(x, place, place + length).view(np.int64) for x in (sums, other))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(n, key[i]), pa.int64()), pa.array(np.full(n, tag[i]), pa.int32()), pa.array(place + start, pa.int32()), pa.array(one), pa.array(two)],
-                        ["key", "tag", "start", "one", "two"],
+                        [*(pa.array(np.full(n, c[i]), pa.int64()) for c in own), pa.array(place + start, pa.int32()), pa.array(one), pa.array(two)],
+                        [*_ROW, "start", "one", "two"],
                     )
 
     return run
@@ -258,19 +261,19 @@ _SECOND = np.random.default_rng(4).permutation(256).astype(np.uint8)
 
 
 def _fetched(length: int, buckets: int):
-    """Rows (key, tag, text, asked) to blobs of contexts by minimizer: what the index is built of."""
+    """Rows (key, tag, also, text, asked) to blobs of contexts by minimizer: what the index is built of."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: dict[int, list[bytes]] = {}
-            key, tag = batch.column("key").to_pylist(), batch.column("tag").to_pylist()
+            own = [batch.column(c).to_pylist() for c in _ROW]
             raw, at = text_bytes(batch.column("text"))
             raw = raw.tobytes()
             for i, asked in enumerate(batch.column("asked")):
                 for want in asked.as_py():
                     gram, start, n = want["gram"], want["start"], want["size"]
                     body = raw[at[i] + start : at[i] + start + n + length - 1]
-                    head = np.array([gram, key[i], tag[i], start, n], np.int64).tobytes()
+                    head = np.array([gram, *(c[i] for c in own), start, n], np.int64).tobytes()
                     out.setdefault((gram & 0xFFFF) % buckets, []).append(head + body)
             yield from _blobs([(k, 0, b"".join(v)) for k, v in sorted(out.items())])
 
@@ -370,24 +373,24 @@ class RunIndex:
 
 
 def _indexed(length: int):
-    """Blobs of contexts to settled intervals (key, tag, start, size)."""
+    """Blobs of contexts to settled intervals (key, tag, also, start, size)."""
 
     def settle(group: list[tuple]) -> pa.RecordBatch | None:
-        group.sort(key=lambda c: (c[1], c[3]))
-        text = np.frombuffer(b"".join(c[5] for c in group), np.uint8)
-        ends = np.cumsum([len(c[5]) for c in group])
-        head = np.array([c[1:5] for c in group], np.int64)
+        group.sort(key=lambda c: (c[1], c[4]))
+        text = np.frombuffer(b"".join(c[6] for c in group), np.uint8)
+        ends = np.cumsum([len(c[6]) for c in group])
+        head = np.array([c[1:6] for c in group], np.int64)
         earliest = RunIndex(text, ends).classes(length)
         of = np.repeat(np.arange(len(group)), np.diff(np.r_[0, ends]))
         place = np.flatnonzero((earliest >= 0) & (earliest != np.arange(len(text))))
-        first, where = earliest[place], lambda p: head[of[p], 2] + p - np.r_[0, ends][of[p]]
+        first, where = earliest[place], lambda p: head[of[p], 3] + p - np.r_[0, ends][of[p]]
         place = place[(head[of[place], 0] != head[of[first], 0]) | (where(place) != where(first))]
         d, s, e = merged(of[place], where(place), where(place) + length)
         if not len(d):
             return None
         return pa.RecordBatch.from_arrays(
-            [pa.array(head[d, 0], pa.int64()), pa.array(head[d, 1], pa.int32()), pa.array(s, pa.int32()), pa.array(e - s, pa.int32())],
-            ["key", "tag", "start", "size"],
+            [*(pa.array(head[d, k], pa.int64()) for k in range(3)), pa.array(s, pa.int32()), pa.array(e - s, pa.int32())],
+            [*_ROW, "start", "size"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -396,16 +399,16 @@ def _indexed(length: int):
             for blob in batch.column("blob").to_pylist():
                 at = 0
                 while at < len(blob):
-                    gram, key, tag, start, n = np.frombuffer(blob, np.int64, 5, at).tolist()
-                    at += 40
-                    found.append((gram, key, tag, start, n, blob[at : at + n + length - 1]))
+                    gram, key, tag, also, start, n = np.frombuffer(blob, np.int64, 6, at).tolist()
+                    at += 48
+                    found.append((gram, key, tag, also, start, n, blob[at : at + n + length - 1]))
                     at += n + length - 1
         found.sort(key=lambda c: c[0])
         group: list[tuple] = []
         size = 0
         for k, c in enumerate(found):
             group.append(c)
-            size += len(c[5])
+            size += len(c[6])
             if k + 1 == len(found) or size >= SHARD_BYTES and found[k + 1][0] != c[0]:
                 if (settled := settle(group)) is not None:
                     yield settled
@@ -419,30 +422,32 @@ def _with_spans(docs: DataFrame, length: int, hot_bytes: int) -> DataFrame:
     if not 1 <= length < 1 << 15:
         raise ValueError("length must be from 1 to 32767 bytes")
     n = partitions(docs.sparkSession)
-    keyed = docs.withColumns(
-        {"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(_ORDER)), "_tag": F.hash(F.coalesce("text", F.lit("")))}
-    )
-    texts = keyed.select(F.col("_key").alias("key"), F.col("_tag").alias("tag"), "text")
-    anchors = texts.mapInArrow(_anchors(length, n), _BLOB).repartition(n, "bucket")
-    met = written(anchors.mapInArrow(_meetings(length), _MET), "meetings")
-    wanted = met.where("kind = 0").select("gram", "key", "tag", "start", "size")
-    sized = written(with_group(wanted, ["gram"], "start", total=(F.sum, F.col("size") + length - 1)), "wanted")
-    held = keyed.repartition(n, "_key", "_tag")
-
-    def with_texts(contexts_: DataFrame) -> DataFrame:
-        asked = contexts_.groupBy("key", "tag").agg(F.collect_list(F.struct("gram", "start", "size")).alias("asked")).withColumnsRenamed({"key": "k", "tag": "t"})
-        found = held.join(asked, (F.col("_key") == F.col("k")) & (F.col("_tag") == F.col("t")))
-        return found.select(F.col("_key").alias("key"), F.col("_tag").alias("tag"), "text", "asked").dropDuplicates(["key", "tag"])
-
-    shards = with_texts(sized.where(F.col("total") <= hot_bytes)).mapInArrow(_fetched(length, n), _BLOB).repartition(n, "bucket")
-    spans = shards.mapInArrow(_indexed(length), "key long, tag int, start int, size int").unionByName(met.where("kind = 1").select("key", "tag", "start", "size"))
-    hot = sized.where(F.col("total") > hot_bytes)
-    if not hot.isEmpty():
-        strings = written(with_texts(hot).mapInArrow(_strings(length), "key long, tag int, start int, one long, two long"), "strings")
-        strings = with_group(strings, ["one", "two"], "key", first=(F.min, F.struct("key", "start")))
-        spans = spans.unionByName(strings.where(F.struct("key", "start") > F.col("first")).select("key", "tag", "start", F.lit(length).alias("size")))
-    spans = spans.groupBy("key", "tag").agg(F.collect_list(F.struct("start", "size")).alias("_spans"))
-    return held.join(spans, (F.col("_key") == F.col("key")) & (F.col("_tag") == F.col("tag")), "left").drop("key", "tag")
+    text = F.coalesce("text", F.lit(""))
+    tags = {"_key": F.coalesce(F.col("doc_id").cast("long"), F.lit(_ORDER)), "_tag": F.xxhash64(text), "_also": F.xxhash64(F.lit(7), text)}
+    keyed = docs.withColumns(tags)
+    names = dict(zip(tags, _ROW, strict=True))
+    texts = keyed.select(*tags, "text").withColumnsRenamed(names)
+    same = lambda: functools.reduce(lambda a, b: a & b, [F.col(a) == F.col(b) for a, b in names.items()])
+    with scratch(docs.sparkSession):
+        anchors = texts.mapInArrow(_anchors(length, n), _BLOB).repartition(n, "bucket")
+        met = written(anchors.mapInArrow(_meetings(length), _MET), "meetings")
+        wanted = met.where("kind = 0").select("gram", *_ROW, "start", "size")
+        sized = written(with_group(wanted, ["gram"], "start", total=(F.sum, F.col("size") + length - 1)), "wanted")
+
+        def with_texts(contexts_: DataFrame) -> DataFrame:
+            asked = contexts_.groupBy(*_ROW).agg(F.collect_list(F.struct("gram", "start", "size")).alias("asked"))
+            found = keyed.repartition(n, *tags).join(asked, same())
+            return found.select(*_ROW, "text", "asked").dropDuplicates([*_ROW])
+
+        shards = with_texts(sized.where(F.col("total") <= hot_bytes)).mapInArrow(_fetched(length, n), _BLOB).repartition(n, "bucket")
+        spans = shards.mapInArrow(_indexed(length), "key long, tag long, also long, start int, size int").unionByName(met.where("kind = 1").select(*_ROW, "start", "size"))
+        hot = sized.where(F.col("total") > hot_bytes)
+        if not hot.isEmpty():
+            strings = written(with_texts(hot).mapInArrow(_strings(length), "key long, tag long, also long, start int, one long, two long"), "strings")
+            strings = with_group(strings, ["one", "two"], "key", first=(F.min, F.struct("key", "start")))
+            spans = spans.unionByName(strings.where(F.struct("key", "start") > F.col("first")).select(*_ROW, "start", F.lit(length).alias("size")))
+        spans = written(spans.groupBy(*_ROW).agg(F.collect_list(F.struct("start", "size")).alias("_spans")), "spans", keep=True)
+    return keyed.join(spans, same(), "left").drop(*_ROW)
 
 
 def _cut(spans: pa.Array, raw: np.ndarray, at: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, bytes]]:

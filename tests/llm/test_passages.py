@@ -5,6 +5,8 @@ import random
 import re
 
 import numpy as np
+import pytest
+from pyspark.sql import functions as F
 
 from docketspark.llm import op4_suffix, op6_decontamination
 
@@ -65,6 +67,15 @@ def test_removals_of_odd_rows(odd, odd_rows, none):
     assert texts[0] == (None, None) and texts[6] == ("", 0)
 
 
+@pytest.mark.parametrize("ids", [(1, 5, 5), (1, None, None)])
+def test_texts_of_one_id_with_equal_short_hashes(spark, ids):
+    """Two texts that 32 bits of hash don't tell apart, under one id: what repeats of the one is not cut from the other."""
+    texts = spark.range(300_000).select(F.sha2(F.col("id").cast("string"), 512).alias("text"))
+    a, b = texts.groupBy(F.hash("text")).agg(F.min("text").alias("a"), F.max("text").alias("b")).where("a <> b").orderBy("a").select("a", "b").first()
+    rows = list(zip(ids, (a, a, b), strict=True))
+    assert result(op4_suffix.removals(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))) == removed(rows, 100)
+
+
 def test_index_gives_suffix_order_and_common_prefixes():
     rng = np.random.default_rng(1)
     for k in range(40):

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from docketspark.llm import common
+from docketspark.llm import common, op4_suffix
 from docketspark.llm import op2_jaccard as op
 
 from .conftest import prose
@@ -71,6 +71,23 @@ def test_lazy_results_survive_the_pipeline(spark, sf_dir, documents):
     assert found.count() == documents.count()
 
 
+def test_two_lazy_stage_results(spark, sf_dir, documents):
+    """A stage's result stays good while other stages run, on its result or on other documents."""
+    near = corpus_pipeline.without_near_duplicates(spark, documents, sf_dir)
+    passages = [corpus_pipeline.without_repeats(spark, x, sf_dir) for x in (documents.limit(50), near)]
+    mixed = corpus_pipeline.mixed(spark, passages[1], sf_dir)
+    assert passages[0].count() == 50 and mixed.count() == passages[1].count() == near.count() < documents.count()
+
+
+def test_an_operator_leaves_small_tables_only(spark, documents, tmp_path, monkeypatch):
+    """Of all its tables the join keeps its rows, the dedup its spans; blocks around them delete those too."""
+    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    with common.scratch(spark):
+        assert op.one_of_each(documents).count() and op4_suffix.removals(documents).count()
+        assert sorted(x.name.split("-")[0] for x in tmp_path.iterdir()) == ["keyed", "spans", "stay"]
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_tables_of_a_block_go_at_its_end(spark):
     df = spark.range(3)
     before = common.written(df, "t")
