@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import argparse
+import datetime
 import json
 
 from pyspark.sql import SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from docketspark.operators import citations, dedup, report, stats
 from docketspark.sources import connectors
-from docketspark.sources.store import CaseStore, next_batch
+from docketspark.sources.batches import DAILY, fetch_batch
+from docketspark.sources.store import CaseStore
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -31,7 +33,8 @@ def _parser() -> argparse.ArgumentParser:
             continue
         command.add_argument("--to", type=int, help="last year, if more than one")
         command.add_argument("--id")
-        command.add_argument("--budget", type=int, default=connectors.Budget.limit, help="requests of one task")
+        command.add_argument("--budget", type=int, default=DAILY, help="requests a day, of all tasks and runs")
+        command.add_argument("--again", action="store_true", help="fetch what the store has as well")
         if name == "parallel-fetch":
             command.add_argument("--workers", type=int, default=5, help="tasks that fetch at a time")
     analyze = commands.add_parser("analyze")
@@ -46,18 +49,22 @@ def _parser() -> argparse.ArgumentParser:
 
 
 def _fetch(spark: SparkSession, store: CaseStore, args) -> dict:
-    """Saves the cases asked for that the store does not have; ids are listed, cut to the limit and only then fetched."""
+    """Saves the cases asked for, those that the store has left out unless asked for again, until --limit are saved or the day's budget is used."""
     if not args.id and not args.year:
         raise ValueError("fetch needs --id or --year")
     if args.id:
         asked = spark.createDataFrame([(args.id,)], "id string")
     else:
         asked = connectors.enumerate_years(spark, args.connector, args.year, args.to or args.year).select("id")
-    wanted = next_batch(asked, store.ledger(), args.limit)
     workers = getattr(args, "workers", None)
-    before = store.ledger().count()
-    store.save(connectors.fetched(wanted.repartition(workers) if workers else wanted, args.connector, args.budget))
-    return {"saved": store.ledger().count() - before, **store.stats()}
+    fetch = lambda ids: connectors.fetched(ids.repartition(workers) if workers else ids, args.connector)
+    left = args.budget - store.requests(_today())
+    found = fetch_batch(store, asked, fetch, args.limit, left, skip_existing=not args.again)
+    return {"saved": found["fetched"], "requests": found["requests"], "exhausted": found["exhausted"], **store.stats()}
+
+
+def _today() -> datetime.date:
+    return datetime.datetime.now(datetime.UTC).date()
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> int:
@@ -65,7 +72,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> in
     spark = spark or SparkSession.builder.appName("docketspark").getOrCreate()
     store = CaseStore(spark, args.store)
     if args.command == "status":
-        out: object = {"connector": args.connector, **store.stats()}
+        used = store.requests(_today())
+        out: object = {"connector": args.connector, "requests_today": used, "daily_limit": DAILY, "remaining": DAILY - used, **store.stats()}
     elif args.command == "search":
         hits = spark.createDataFrame(list(connectors.connector(args.connector).search(args.query)), connectors.LISTED)
         if args.output:

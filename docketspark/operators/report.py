@@ -6,7 +6,7 @@ import datetime
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docketspark.operators.validate import issue_rows, validate
@@ -88,6 +88,70 @@ def compare(before: DataFrame, after: DataFrame, schema: Schema = CASE_SCHEMA) -
     return both.select("metric", earlier.alias("before"), "after", (F.col("after") - earlier).alias("delta"))
 
 
+#: A partial report: how often each entry was counted, and the sum of its values.
+PARTIAL = "kind string, field string, message string, severity string, n long, total decimal(38,12)"
+
+
+def partial(validated: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
+    """Rows of PARTIAL for a batch of documents, read once: sums and counts that add up with those of any other batch.
+
+    Sums are decimals, so that merging in any order gives the same digits.
+    """
+    number = lambda x: x.cast("decimal(18,12)")
+    none = F.lit(None).cast("string")
+
+    def entry(kind: str, value: Column, field: Column = none, message: Column = none, severity: Column = none) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), field.alias("field"), message.alias("message"), severity.alias("severity"), value.alias("value"))
+
+    percent = F.col("completeness_score") * 100
+    bucket = F.element_at(F.array(*map(F.lit, BUCKETS)), F.greatest(F.least(F.floor(percent / 20), F.lit(4)), F.lit(0)).cast("int") + 1)
+    one = [entry("valid", number(F.col("valid").cast("int"))), entry("completeness", number(F.col("completeness_score"))), entry("bucket", number(F.lit(1)), bucket)]
+    one += [entry("field", number(F.col("field_scores")[s.name]), F.lit(s.name)) for s in schema]
+    issues = F.transform("issues", lambda i: entry("issue", number(F.lit(1)), i["field"], i["message"], i["severity"]))
+    rows = validated.select(F.inline(F.concat(F.array(*one), issues)))
+    return merged(rows.where("value is not null").select("kind", "field", "message", "severity", F.lit(1).cast("long").alias("n"), F.col("value").alias("total")))
+
+
+def merged(partials: DataFrame) -> DataFrame:
+    """One partial report of any number of them, as rows of one table."""
+    summed = partials.groupBy("kind", "field", "message", "severity").agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,12)").alias("total"))
+    return summed.select("kind", "field", "message", "severity", "n", "total")
+
+
+def summary_of(partials: DataFrame) -> DataFrame:
+    """What `summary` says of the documents of these partial reports."""
+    of = lambda kind, c: F.sum(F.when(F.col("kind") == kind, F.col(c)))
+    one = partials.agg(
+        F.coalesce(of("valid", "n"), F.lit(0)).alias("total_cases"), F.coalesce(of("valid", "total"), F.lit(0)).cast("long").alias("valid_cases"),
+        (of("completeness", "total").cast("double") / of("completeness", "n")).alias("_mean"),
+    )
+    return one.select(
+        "total_cases", "valid_cases", (F.col("total_cases") - F.col("valid_cases")).alias("invalid_cases"),
+        (F.col("valid_cases") / F.greatest("total_cases", F.lit(1))).alias("pass_rate"), F.coalesce("_mean", F.lit(0.0)).alias("avg_completeness"),
+    )
+
+
+def top_issues_of(partials: DataFrame, k: int = 20) -> DataFrame:
+    """What `top_issues` says of the documents of these partial reports."""
+    issues = merged(partials.where((F.col("kind") == "issue") & (F.col("severity") != INFO)))
+    return issues.select("field", "message", "severity", "n").orderBy(F.desc("n"), "field", "message", "severity").limit(k)
+
+
+def compare_of(before: DataFrame, after: DataFrame) -> DataFrame:
+    """What `compare` says of the documents of two sets of partial reports."""
+
+    def long(partials: DataFrame, name: str) -> DataFrame:
+        one = merged(partials.where(F.col("kind").isin("valid", "completeness", "field")))
+        mean = F.col("total").cast("double") / F.col("n")
+        metric = F.when(F.col("kind") == "valid", "pass_rate").when(F.col("kind") == "field", F.concat(F.lit("field:"), "field")).otherwise("completeness")
+        counts = one.where("kind = 'valid'").select(F.lit("cases").alias("metric"), F.col("n").cast("double").alias(name))
+        return one.select(metric.alias("metric"), mean.alias(name)).unionByName(counts)
+
+    both = long(after, "after").join(long(before, "before"), "metric", "left")
+    earlier = F.coalesce("before", F.lit(0.0))
+    return both.select("metric", earlier.alias("before"), "after", (F.col("after") - earlier).alias("delta"))
+
+
 def report(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = False, k: int = 20) -> dict:
     """The whole report as a dictionary.
 

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -13,11 +12,13 @@ from docketspark.functions import fingerprint as fp
 from docketspark.functions import textquality as tq
 from docketspark.functions.citations import extract
 from docketspark.functions.resilience import RetryPolicy, schedule
-from docketspark.operators import breaker, citations, dedup, report, stats, textquality
+from docketspark.operators import breaker, citations, dedup, dynamic, links, report, stats, textquality
 from docketspark.operators.validate import as_dicts, errors, issue_rows, validate, warnings
 from docketspark.plans.cases_view import CASES_SQL, cases, tables
 from docketspark.plans.schema import CASE_SCHEMA, FieldSpec, with_field, without_field
-from docketspark.sources import connectors, files, store
+from docketspark.plans.stored import shared_folder
+from docketspark.sources import batches, connectors, files, store
+from docketspark.streaming.ingest import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -387,11 +388,8 @@ select key, event, "at", failed, met, state, failures from r"""
 
 
 def _folder(spark: SparkSession, name: str) -> str:
-    """A new folder that driver and executors share; a temporary one on a local master."""
-    base = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not base and not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-    return f"{base or tempfile.mkdtemp(prefix='query-')}/{name}-{uuid.uuid4().hex}"
+    """A new folder that driver and executors share."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def _documents_of_nations(spark: SparkSession, sf_dir: str, bad: bool = False) -> str:
@@ -494,3 +492,216 @@ _register(
     lambda s, d: dedup.fingerprints(tables(s, d, "documents")[0].withColumn("own", F.pmod("doc_id", F.lit(150))), id_="own", order="doc_id").select("id", "sha"),
     "select cast(doc_id % 150 as varchar) as id, sha256(text) as sha from documents qualify row_number() over (partition by doc_id % 150 order by doc_id desc) = 1", view=False,
 )
+
+# --- links without pairs ---------------------------------------------------------------------------------------
+
+_register(
+    "duplicate_links_85", lambda s, d: links.link_summary(_prints(s, d), 0.85),
+    f"""with recursive {_prints_sql(128)},
+texts as (select sha, min(cast(doc_id as varchar)) as representative, count(*) - 1 as copies, any_value(hi) as hi, any_value(lo) as lo from prints group by sha),
+linked as (
+  select a.representative as a, b.representative as b, 1 - (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::double / 128 as similarity
+  from texts a join texts b on a.representative <> b.representative and (a.hi <> 0 or a.lo <> 0) and (b.hi <> 0 or b.lo <> 0)
+  where 1 - (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::double / 128 >= 0.85),
+reached(id, root) using key (id) as (
+  select representative, representative from texts
+  union
+  select l.b, min(r.root) from reached r join linked l on l.a = r.id join recurring.reached as own on own.id = l.b where r.root < own.root group by l.b),
+best as (select a, count(*) as n_links, max(similarity) as similarity from linked group by a),
+nearest as (select l.a, min(l.b) as nearest from linked l join best on best.a = l.a and best.similarity = l.similarity group by l.a)
+select cast(p.doc_id as varchar) as id, t.representative, t.copies, coalesce(best.n_links, 0) as n_links, nearest.nearest, best.similarity, reached.root as group_id
+from prints p join texts t on t.sha is not distinct from p.sha join reached on reached.id = t.representative
+left join best on best.a = t.representative left join nearest on nearest.a = t.representative""", view=False,
+)
+
+# --- the store's commits ---------------------------------------------------------------------------------------
+
+
+def _committed(spark: SparkSession, sf_dir: str) -> store.CaseStore:
+    """All cases as `first`, those before 1996 with another title as `second`, then `first` again with fewer rows."""
+    kept = store.CaseStore(spark, _folder(spark, "store"), "table")
+    all_cases = cases(spark, sf_dir).select("id", "title", "court", "year")
+    kept.save(all_cases, "first")
+    kept.save(all_cases.where("year < 1996").withColumn("title", F.concat("title", F.lit("!"))), "second")
+    kept.save(all_cases.where("court is not null and coalesce(year, 0) <> 1995").withColumn("title", F.concat("title", F.lit("?"))), "first")
+    return kept
+
+
+_retried = "(court is not null and coalesce(year, 0) <> 1995)"
+_register(
+    "store_retried_batch", lambda s, d: _committed(s, d).cases().select("id", "title", "year"),
+    f"select id, title || case when {_retried} then '?' else '!' end as title, year from cases where {_retried} or year < 1996",
+)
+_register(
+    "store_overlapping_ledger", lambda s, d: _committed(s, d).ledger().select("id", "batch"),
+    f"select id, case when year < 1996 then 'second' else 'first' end as batch from cases where {_retried} or year < 1996",
+)
+_register(
+    "store_as_of", lambda s, d: _committed(s, d).cases(as_of=2).select("id", "title", "year"),
+    "select id, case when year < 1996 then title || '!' else title end as title, year from cases",
+)
+
+
+def _compacted(spark: SparkSession, sf_dir: str) -> store.CaseStore:
+    """The retried store folded into sorted files, then a batch more."""
+    kept = _committed(spark, sf_dir)
+    kept.compact()
+    later = cases(spark, sf_dir).where("year = 1998").select("id", "title", "court", "year")
+    kept.save(later.withColumn("title", F.concat("title", F.lit("."))), "third")
+    return kept
+
+
+_folded = f"""select id, title || case when year = 1998 then '.' when {_retried} then '?' else '!' end as title, year
+from cases where {_retried} or year < 1996 or year = 1998"""
+_register("store_compacted", lambda s, d: _compacted(s, d).cases().select("id", "title", "year"), _folded)
+_register(
+    "store_lookup_100", lambda s, d: _compacted(s, d).load_all([f"D{k:07d}" for k in range(0, 700, 7)]).select("id", "title", "year"),
+    f"select * from ({_folded}) where id in (select 'D' || lpad(cast(k as varchar), 7, '0') from range(0, 700, 7) t(k))",
+)
+
+# --- statistics of documents as they are -----------------------------------------------------------------------
+
+
+def _mixed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON lines of documents whose fields differ in kind from line to line, written and read back as variants."""
+    d, c, s = tables(spark, sf_dir, "documents", "customer", "supplier")
+    k = F.col("doc_id")
+    rows = d.join(c, F.col("c_custkey") == k, "left").join(s, F.col("s_suppkey") == k % 10 + 1, "left")
+    year, own, names = (1990 + k % 9).cast("int"), F.col("s_name"), ("id", "court", "year", "judges", "text")
+    kinds = (
+        (k, F.col("c_mktsegment"), year, F.array(own, F.lit("Justice A")), F.col("text")),
+        (k, F.col("c_mktsegment"), year.cast("string"), own, F.col("text")),
+        (k, F.lit(None).cast("string"), year + 0.5, F.lit(7), F.lit(None).cast("string")),
+        (k, k % 3, year.cast("decimal(6,1)"), F.lit(None).cast("string"), F.lit("")),
+        (k, F.array(own), F.lit(True), F.array(k % 4, k % 2), F.array(F.lit("one"), F.lit("two"))),
+        (k, None, None, F.array(own, F.lit(None).cast("string")), F.col("text")),
+    )
+    line = F.when(F.lit(False), "")
+    for number, values in enumerate(kinds):
+        fields = F.struct(*[v.alias(n) for n, v in zip(names, values, strict=True) if v is not None])
+        line = line.when(k % len(kinds) == number, F.to_json(fields, {"ignoreNullFields": "false"}))
+    path = _folder(spark, "lines")
+    rows.select(line.alias("value")).write.text(path)
+    return files.read_dynamic_lines(spark, path)
+
+
+_MIXED_SQL = """with m as (
+  select d.doc_id as k, d.doc_id % 6 as j, d.text, c.c_mktsegment as segment, s.s_name as own, 1990 + d.doc_id % 9 as y
+  from documents d left join customer c on c.c_custkey = d.doc_id left join supplier s on s.s_suppkey = d.doc_id % 10 + 1),
+courts as (
+  select case when j = 5 then 'Unknown' when j < 2 then segment when j = 3 then cast(k % 3 as varchar) when j = 4 then '["' || own || '"]' end as court,
+    case when j = 5 then 'text' when j = 2 or (j < 2 and segment is null) then 'null' when j < 2 then 'text' when j = 3 then 'number' else 'list' end as kind from m),
+years as (
+  select case when j = 5 then 'Unknown' when j in (0, 1, 3) then cast(y as varchar) when j = 2 then y || '.5' else 'true' end as year,
+    case when j in (1, 5) then 'text' when j = 4 then 'truth' else 'number' end as kind, case when j in (0, 3) then y when j = 2 then y + 0.5 end as moment, j, text from m),
+judges as (
+  select unnest([own, 'Justice A']) as judge, 'text' as kind from m where j = 0
+  union all select unnest([cast(k % 4 as varchar), cast(k % 2 as varchar)]), 'number' from m where j = 4
+  union all select own, 'text' from m where j = 5 union all select null, 'null' from m where j = 5),
+sized as (select moment, case when j in (0, 1, 5) then length(text) when j = 4 then 2 end as n from years)
+"""
+_register("dynamic_courts", lambda s, d: dynamic.court_distribution(_mixed_documents(s, d)), _MIXED_SQL + "select court, kind, count(*) as n from courts group by all order by n desc, kind, court nulls first limit 10", view=False)
+_register("dynamic_years", lambda s, d: dynamic.year_distribution(_mixed_documents(s, d)), _MIXED_SQL + "select year, kind, count(*) as n from years group by all", view=False)
+_register("dynamic_judges", lambda s, d: dynamic.judge_frequency(_mixed_documents(s, d)), _MIXED_SQL + "select judge, kind, count(*) as n from judges group by all order by n desc, kind, judge nulls first limit 10", view=False)
+_lengths = """cast(coalesce(round_even(avg(n) filter (n > 0{w}), 0), 0) as bigint) as avg_length{s}, coalesce(max(n) filter (n > 0{w}), 0) as max_length{s},
+  coalesce(min(n) filter (n > 0{w}), 0) as min_length{s}, count(n) filter (n > 0{w}) as cases_with_text{s}"""
+_register("dynamic_text_stats", lambda s, d: dynamic.text_stats(_mixed_documents(s, d)), _MIXED_SQL + f"select count(*) as total_cases, {_lengths.format(w='', s='')} from sized", view=False)
+_periods = [f"count_if(moment between {a} and {b}) as total_cases_{k}, " + _lengths.format(w=f" and moment between {a} and {b}", s=f"_{k}") for k, a, b in ((1, 1990, 1993), (2, 1994, 1998))]
+_register(
+    "dynamic_compare_periods", lambda s, d: dynamic.compare_periods(_mixed_documents(s, d), (1990, 1993), (1994, 1998)),
+    _MIXED_SQL + f"select *, total_cases_2 - total_cases_1 as case_count_change, avg_length_2 - avg_length_1 as avg_length_change from (select {', '.join(_periods)} from sized)", view=False,
+)
+
+# --- many similar documents, batches, resumed ingest, merged reports -------------------------------------------
+
+
+def _many_similar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints saved once in a store; the ten nearest of all ids divisible by 20 against all stored rows."""
+    index = store.CaseStore(spark, _folder(spark, "index"), "table")
+    index.save(_prints(spark, sf_dir), "prints")
+    return links.most_similar(index.cases(), "cast(id as long) % 20 = 0", 10).select("query", "id", "rank", "similarity")
+
+
+_register(
+    "find_similar_many_top10", _many_similar,
+    f"""with {_prints_sql(128)} select cast(a.doc_id as varchar) as query, cast(b.doc_id as varchar) as id,
+      1 - (bit_count(xor(a.hi, b.hi)) + bit_count(xor(a.lo, b.lo)))::double / 128 as similarity,
+      cast(row_number() over (partition by a.doc_id order by similarity desc, cast(b.doc_id as varchar)) as integer) as rank
+    from prints a join prints b on a.doc_id % 20 = 0 and b.doc_id <> a.doc_id qualify rank <= 10""", view=False,
+)
+
+
+def _order_ids(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("id", F.concat(F.lit("O"), F.lpad(F.col("o_orderkey").cast("string"), 9, "0")))
+
+
+def _fetched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as a collection that lacks every fifth, fetched in two runs: 100 successes of those asked for, then 50 more."""
+    orders = _order_ids(tables(spark, sf_dir, "orders")[0])
+    there = orders.where("o_orderkey % 5 <> 0").select("id", "o_custkey", "o_totalprice")
+    kept = store.CaseStore(spark, _folder(spark, "store"), "table")
+    for limit in (100, 50):
+        batches.fetch_batch(kept, orders.select("id"), lambda ids: there.join(ids, "id"), limit, budget=1000)
+    return kept.cases().select("id", "o_custkey", "o_totalprice")
+
+
+_register(
+    "fetch_limit_of_successes", _fetched_orders,
+    "select 'O' || lpad(cast(o_orderkey as varchar), 9, '0') as id, o_custkey, o_totalprice from orders where o_orderkey % 5 <> 0 order by id limit 150", view=False,
+)
+
+
+def _resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as JSON lines that arrive in two runs; the second has repeated lines under another title and late ones besides."""
+    docs = tables(spark, sf_dir, "documents")[0].select("doc_id", F.substring("text", 1, 40).alias("title"))
+    middle = docs.agg(F.floor(F.max("doc_id") / 2)).first()[0]
+    path, kept = _folder(spark, "lines"), store.CaseStore(spark, _folder(spark, "store"), "table")
+
+    def lines(rows: DataFrame, id_: str = "D", title=F.col("title"), minute=F.col("doc_id")) -> DataFrame:  # noqa: B008
+        at = F.date_format(F.timestamp_seconds(F.lit(1704067200) + minute * 60), "yyyy-MM-dd HH:mm:ss")
+        return rows.select(F.concat(F.lit(id_), F.col("doc_id")).alias("id"), title.alias("title"), at.alias("_scraped_at"))
+
+    again = docs.where(F.col("doc_id").between(middle - 20, middle))
+    for rows in (
+        lines(docs.where(F.col("doc_id") <= middle)),
+        lines(docs.where(F.col("doc_id") > middle))
+        .unionByName(lines(again, title=F.lit("again")))
+        .unionByName(lines(docs.where("doc_id % 7 = 0"), "late", minute=F.lit(0))),
+    ):
+        rows.write.mode("append").json(path)
+        ingest(spark, path, kept, f"{path}-progress", late="30 minutes").awaitTermination()
+    return kept.cases().select("id", "title")
+
+
+_register("ingest_resumed", _resumed, "select 'D' || doc_id as id, substr(text, 1, 40) as title from documents", view=False)
+
+
+def _partials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Partial reports of three batches, stored; `batch` says which. Each batch's documents are read once."""
+    path, all_cases = _folder(spark, "partial"), cases(spark, sf_dir)
+    for k, where in enumerate(("text is null", "text is not null and coalesce(year, 0) < 1995", "text is not null and coalesce(year, 0) >= 1995")):
+        report.partial(validate(all_cases.where(where))).write.parquet(f"{path}/batch={k}")
+    return spark.read.parquet(path)
+
+
+_register("report_merged_summary", lambda s, d: _round6(report.summary_of(_partials(s, d)), "pass_rate", "avg_completeness"), ORACLES["report_summary"], view=False)
+_register("report_merged_issues", lambda s, d: report.top_issues_of(_partials(s, d)), ORACLES["report_top_issues"], view=False)
+_register(
+    "report_merged_compare", lambda s, d: (lambda p: _round6(report.compare_of(p, p.where("batch > 0")), "before", "after", "delta"))(_partials(s, d)),
+    ORACLES["report_compare"], view=False,
+)
+
+
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers as one JSON document each, every third written again with a longer title; ids with characters that paths can't hold."""
+    path = _folder(spark, "documents")
+    rows = tables(spark, sf_dir, "supplier")[0].select(F.concat_ws("/", F.lit("S"), "s_suppkey").alias("id"), F.col("s_name").alias("title"), F.col("s_suppkey").cast("int").alias("year"))
+    files.write_documents(rows, path)
+    files.write_documents(rows.where("year % 3 = 0").withColumn("title", F.concat("title", F.lit(" again"))), path)
+    return files.read_documents(spark, path).select("id", "title", "year")
+
+
+_register(
+    "documents_by_id", _documents,
+    "select 'S/' || s_suppkey as id, s_name || case when s_suppkey % 3 = 0 then ' again' else '' end as title, cast(s_suppkey as int) as year from supplier", view=False,
+)

@@ -17,26 +17,6 @@ LISTED = "id string, title string, year int"
 DETAILED = "id string, title string, citation string, court string, date string, year int, judges array<string>, text string, headnote string"
 
 
-class BudgetExceeded(RuntimeError):
-    """All requests that a budget allows have been made."""
-
-
-@dataclass
-class Budget:
-    """Requests that one process may make of a connector."""
-
-    limit: int = 500
-    used: int = 0
-
-    def spend(self) -> None:
-        if self.used >= self.limit:
-            raise BudgetExceeded(f"all {self.limit} requests are used")
-        self.used += 1
-
-    def left(self) -> int:
-        return self.limit - self.used
-
-
 class Connector:
     """What a collection offers. Unsupported enumerations raise; courts and journals default to none.
 
@@ -159,21 +139,18 @@ def enumerate_years(spark: SparkSession, name: str, first: int, last: int, detai
     return reader.option("detail", str(detail).lower()).load()
 
 
-def fetched(ids: DataFrame, name: str, budget: int | None = None) -> DataFrame:
+def fetched(ids: DataFrame, name: str) -> DataFrame:
     """The whole cases of the column `id`, fetched by Spark's tasks in parallel; what the connector does not have is left out.
 
-    budget bounds the requests of each task, which raises beyond it.
+    One request an id: whoever has a budget deals out no more ids, see sources/batches.py.
     """
     connector(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left = Budget(budget) if budget is not None else None
         with connector(name) as own:
             for batch in batches:
                 rows = []
                 for case_id in batch.column("id").to_pylist():
-                    if left:
-                        left.spend()
                     if (case := own.fetch(case_id)) is not None:
                         rows.append(case)
                 columns = zip(*rows, strict=True) if rows else [()] * len(_DETAILED_ARROW)

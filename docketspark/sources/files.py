@@ -36,6 +36,27 @@ def read_json(spark: SparkSession, path: str, schema: T.StructType = CASE_TYPE,
     return rows.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record")
 
 
+def write_documents(cases: DataFrame, path: str) -> None:
+    """One JSON document an id under `path`, in a folder named by the id; ids that are there already are replaced, others left alone.
+
+    Files are written aside and put in place when the job commits, so a job that fails leaves
+    every document as it was. Rows without an id are left out; of a repeated id the last by
+    `_scraped_at`, if there is one, then by hash. A folder a document is for exports of a size that
+    a file system can list; the store is for all else.
+    """
+    named = cases.where(F.coalesce(F.col("id").cast("string"), F.lit("")) != "")
+    rest = [c for c in named.columns if c != "id"]
+    order = F.struct(*([F.col("_scraped_at")] if "_scraped_at" in rest else []), F.xxhash64(*rest) if rest else F.lit(0))
+    one = named.groupBy("id").agg(F.max_by(F.struct("id", *rest), order).alias("r")).select(F.col("id").alias("document"), "r.*")
+    writer = one.repartition("document").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("pretty", True)
+    writer.partitionBy("document").json(path)
+
+
+def read_documents(spark: SparkSession, path: str, schema: T.StructType = CASE_TYPE, tolerant: bool = False) -> DataFrame:
+    """What write_documents has written."""
+    return read_json(spark, path, schema, tolerant).select(*schema.names)
+
+
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = CASE_TYPE) -> DataFrame:
     """One JSON document a line; `year_key` of a partitioned folder becomes a column."""
     return spark.read.schema(T.StructType([*schema.fields, T.StructField("year_key", T.StringType())])).json(path)
@@ -49,6 +70,11 @@ def read_dynamic(spark: SparkSession, path: str) -> DataFrame:
     return as_variants(spark.read.option("wholetext", True).option("pathGlobFilter", "*.json").text(path))
 
 
+def read_dynamic_lines(spark: SparkSession, path: str) -> DataFrame:
+    """As read_dynamic, one JSON document a line."""
+    return as_variants(spark.read.text(path))
+
+
 def as_variants(documents: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
     """The JSON texts of the column `value`, each field of the schema as a variant, the text in `_raw`; what is no JSON object goes."""
     parsed = documents.select(F.col("value").alias("_raw"), F.try_parse_json("value").alias("_doc")).where(F.col("_doc").isNotNull())
