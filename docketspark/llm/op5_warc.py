@@ -1,12 +1,19 @@
 """WARC fixity: Merkle trees over records and their offset ranges, compared between replicas.
 
 Records are framed as WARC responses and laid out in files by id; each has its offset range and a
-SHA-256 over range and bytes. Sixteen neighbours make a node of the next level, up through the file
+SHA-256 over range and bytes. 256 neighbours make a node of the next level, up through the file
 to one root. Two replicas are compared from the root down: with equal roots nothing below is read,
 and else only the children of nodes that differ are compared. While these are in no more than
 MOST_FILES files, the reading of the next level is limited to those files, which Parquet's statistics
 turn into skipped pages, as records lie in order of their file.
 
+`audit` compares records place by place, so a record that was lost or added makes all that follow it
+in the file differ, although their bytes are whole. `reconciled` tells the two apart with a second
+tree, over slots of ids and without offsets: a lost or added record touches its own slot's branch
+only. The descent finds the slots that differ, and in these alone records are matched by id
+and bytes: what is left over on both sides under one id is corrupt, on one side missing or extra.
+Records that are whole but lie at another offset are moved.
+
 Defined cases: null url or body are framed as empty; negative ids have files of their own; null ids
 are dealt to the 4,096 files before file 0 by a hash of their url, ordered by their bytes; repeated
 rows are records of their own; an empty archive has no root, and every record of the other replica
@@ -20,9 +27,9 @@ from pyspark.sql import functions as F
 
 from docketspark.llm.common import written
 
-#: Children of a node as a power of two, and levels inside a file: 16 ** 3 records at most have one top node a file.
-FAN_BITS = 4
-FILE_LEVELS = 3
+#: Children of a node as a power of two, and levels inside a file: a file's nodes of the last one are gathered in one.
+FAN_BITS = 8
+FILE_LEVELS = 2
 #: Files that may be named in the filter of a level's reading.
 MOST_FILES = 1000
 
@@ -37,8 +44,8 @@ def framed(url: Column, body: Column) -> Column:
     )
 
 
-def archived(pages: DataFrame, per_file: int = 1000, id_: str = "page_id", url: str = "url", body: str = "html") -> DataFrame:
-    """page_id, file, record, offset, length, digest: where each page's record lies and its fixity."""
+def archived(pages: DataFrame, per_file: int = 1000, id_: str = "page_id", url: str = "url", body: str = "html", own: bool = False) -> DataFrame:
+    """page_id, file, record, offset, length, digest: where each page's record lies and its fixity; with `own` that of its bytes alone too."""
     laid = pages.select(
         F.col(id_).cast("long").alias("page_id"),
         F.coalesce(F.floor(F.col(id_).cast("long") / per_file), -1 - F.pmod(F.xxhash64(url), F.lit(4096))).alias("file"),
@@ -51,7 +58,7 @@ def archived(pages: DataFrame, per_file: int = 1000, id_: str = "page_id", url:
         "length", "own",
     )
     ranged = F.concat_ws(":", F.col("offset").cast("string"), F.col("length").cast("string"), "own")
-    return placed.select("page_id", "file", "record", "offset", "length", F.sha2(ranged, 256).alias("digest"))
+    return placed.select("page_id", "file", "record", "offset", "length", F.sha2(ranged, 256).alias("digest"), *(["own"] if own else []))
 
 
 def _parent(level: int) -> list[Column]:
@@ -130,3 +137,46 @@ def audited(primary: DataFrame, replica: DataFrame) -> DataFrame:
     return primary.join(found, ["file", "record"], "left").select(
         "page_id", "file", "record", "offset", "length", "digest", F.coalesce("status", F.lit("intact")).alias("status")
     )
+
+
+def _slots(archive: DataFrame) -> DataFrame:
+    """file, record (the slot of an id within its file), digest of the bytes of all its records in order."""
+    held = archive.groupBy("file", "slot").agg(F.array_sort(F.collect_list(F.struct("page_id", "own"))).alias("rows"))
+    joined = F.concat_ws(",", F.transform("rows", lambda r: F.concat_ws(":", F.coalesce(r["page_id"].cast("string"), F.lit("")), r["own"])))
+    return held.select("file", F.col("slot").alias("record"), F.sha2(joined, 256).alias("digest"))
+
+
+def reconciled(primary: DataFrame, replica: DataFrame, per_file: int = 1000) -> DataFrame:
+    """page_id, file, record, offset, own, replica_own, replica_offset, status of every record of either archive, both made with `own`.
+
+    status: intact, moved (whole, at another offset), corrupt (another content under the id), missing
+    or extra. record and offset are the primary's, null for extra ones. Records of one id and
+    content are matched in order of their offsets, and so are left-over records of one id.
+    """
+    # null ids have no slot of their own: their content's hash deals them
+    slot = F.coalesce(F.pmod("page_id", F.lit(per_file)), F.pmod(F.xxhash64("own"), F.lit(per_file))).cast("long")
+    sides = [written(a.withColumn("slot", slot), "archive") for a in (primary, replica)]
+    found = audit(*[written(_slots(a).sortWithinPartitions("file", "record"), "slots") for a in sides])
+    slots = written(found.select("file", F.col("record").alias("slot")), "differing")
+    key = [F.col("file"), F.col("slot"), F.coalesce("page_id", F.lit(-(1 << 63))).alias("key")]
+    one, two = (
+        side.select(*key, "page_id", "own", F.col("offset").alias(f"{name}_offset"), "record")
+        .withColumn("nth", F.row_number().over(Window.partitionBy("file", "slot", "key", "own").orderBy(f"{name}_offset")))
+        for name, side in zip(("primary", "replica"), sides, strict=True)
+    )
+    whole = one.join(two.drop("page_id", "record"), ["file", "slot", "key", "own", "nth"])
+    status = F.when(F.col("primary_offset") == F.col("replica_offset"), "intact").otherwise("moved")
+    shown = ("page_id", "file", "record", "offset", "own", "replica_own", "replica_offset", "status")
+    kept = whole.select("page_id", "file", "record", F.col("primary_offset").alias("offset"), "own", F.col("own").alias("replica_own"), "replica_offset", status.alias("status"))
+    # only slots that differ have records without a counterpart
+    at = ["file", "slot"]
+    left = [
+        a.join(slots, at, "left_semi").join(b.join(slots, at, "left_semi").select("file", "slot", "key", "own", "nth"), ["file", "slot", "key", "own", "nth"], "left_anti")
+        .withColumn("nth", F.row_number().over(Window.partitionBy("file", "slot", "key").orderBy(f"{name}_offset")))
+        for name, a, b in (("primary", one, two), ("replica", two, one))
+    ]
+    other = left[1].select("file", "slot", "key", "nth", F.col("own").alias("replica_own"), "replica_offset", F.col("page_id").alias("other_id"))
+    both = left[0].join(other, ["file", "slot", "key", "nth"], "full")
+    lost = F.when(F.col("own").isNull(), "extra").when(F.col("replica_own").isNull(), "missing").otherwise("corrupt")
+    gone = both.select(F.coalesce("page_id", "other_id").alias("page_id"), "file", "record", F.col("primary_offset").alias("offset"), "own", "replica_own", "replica_offset", lost.alias("status"))
+    return kept.unionByName(gone).select(*shown)

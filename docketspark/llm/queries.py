@@ -171,6 +171,40 @@ def op13_pii_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op13_pii.digests(spark.read.parquet(f"{sf_dir}/documents.parquet"))
 
 
+def warc_replica_reconciled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A replica that has lost some pages, holds others twice under new ids, and has damaged bodies of another length."""
+    pages = _table(spark, sf_dir, "pages")
+    damaged = F.when(F.expr("pmod(page_id, 50) = 7"), F.expr("concat('#', html)")).otherwise(F.col("html"))
+    added = pages.where("pmod(page_id, 89) = 3").withColumn("page_id", F.expr("page_id - pmod(page_id, 1000) + pmod(page_id * 7 + 1, 1000) + 1000000000"))
+    replica = pages.where("pmod(page_id, 97) <> 5").withColumn("html", damaged).unionByName(added)
+    return op5_warc.reconciled(op5_warc.archived(pages, own=True), op5_warc.archived(replica, own=True))
+
+
+RECONCILED_SQL = """
+with pages2 as (
+  select page_id, url, case when page_id % 50 = 7 then '#' || html else html end as html from pages where page_id % 97 <> 5
+  union all select page_id - page_id % 1000 + (page_id * 7 + 1) % 1000 + 1000000000, url, html from pages where page_id % 89 = 3),
+rows as (select 1 as side, * from (select page_id, url, html from pages) union all select 2, * from pages2),
+framed as (
+  select side, page_id, page_id // 1000 as file,
+         'WARC/1.0' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+         || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10) || 'Content-Length: '
+         || cast(strlen(html) as varchar) || chr(13) || chr(10) || chr(13) || chr(10) || html
+         || chr(13) || chr(10) || chr(13) || chr(10) as bytes
+  from rows),
+laid as (select side, page_id, file, cast(strlen(bytes) as bigint) as length, sha256(bytes) as own from framed),
+placed as (
+  select side, page_id, file, own, row_number() over (partition by side, file order by page_id, own) - 1 as record,
+         cast(coalesce(sum(length) over (partition by side, file order by page_id, own rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset"
+  from laid),
+a as (select * from placed where side = 1), b as (select * from placed where side = 2)
+select coalesce(a.page_id, b.page_id) as page_id, coalesce(a.file, b.file) as file, a.record, a."offset", a.own, b.own as replica_own, b."offset" as replica_offset,
+       case when a.own is null then 'extra' when b.own is null then 'missing' when a.own <> b.own then 'corrupt'
+            when a."offset" = b."offset" then 'intact' else 'moved' end as status
+from a full join b on a.page_id = b.page_id
+"""
+
+
 QUERIES = {
     "op1_chat_roles": op1_chat_roles,
     "op2_jaccard_join": op2_jaccard_join,
@@ -185,5 +219,6 @@ QUERIES = {
     "op11_hard_negatives": op11_hard_negatives,
     "op12_filter_audit": op12_filter_audit,
     "op13_pii_spans": op13_pii_spans,
+    "warc_replica_reconciled": warc_replica_reconciled,
 }
-ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL}
+ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL, "warc_replica_reconciled": RECONCILED_SQL}

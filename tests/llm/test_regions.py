@@ -8,6 +8,7 @@ import pytest
 import corpus_pipeline
 from docketspark.llm import common, op4_suffix
 from docketspark.llm import op2_jaccard as op
+from docketspark.plans import stored
 
 from .conftest import prose
 from .test_pairs import brute, result
@@ -81,7 +82,7 @@ def test_two_lazy_stage_results(spark, sf_dir, documents):
 
 def test_an_operator_leaves_small_tables_only(spark, documents, tmp_path, monkeypatch):
     """Of all its tables the join keeps its rows, the dedup its spans; blocks around them delete those too."""
-    monkeypatch.setattr(common, "shared_folder", lambda _: str(tmp_path))
+    monkeypatch.setattr(stored, "shared_folder", lambda _: str(tmp_path))
     with common.scratch(spark):
         assert op.one_of_each(documents).count() and op4_suffix.removals(documents).count()
         assert sorted(x.name.split("-")[0] for x in tmp_path.iterdir()) == ["keyed", "spans", "stay"]

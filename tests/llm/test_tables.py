@@ -201,5 +201,5 @@ def test_pipeline_stages_take_odd_rows(spark, sf_dir, odd, none):
 
 
 def test_every_operator_is_registered():
-    assert {int(re.match(r"op(\d+)_", k)[1]) for k in registered.QUERIES} == set(range(1, 14))
+    assert {int(re.match(r"op(\d+)_", k)[1]) for k in registered.QUERIES if k.startswith("op")} == set(range(1, 14))
     assert list(corpus_pipeline.QUERIES) == ["pipeline"]
