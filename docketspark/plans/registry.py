@@ -705,3 +705,82 @@ _register(
     "documents_by_id", _documents,
     "select 'S/' || s_suppkey as id, s_name || case when s_suppkey % 3 = 0 then ' again' else '' end as title, cast(s_suppkey as int) as year from supplier", view=False,
 )
+
+
+def _lines_only(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store of lines alone: two batches, the second saved again with fewer rows; its ledger beside its lines."""
+    kept = store.CaseStore(spark, _folder(spark, "store"), "jsonl")
+    all_cases = cases(spark, sf_dir).select("id", "title", "year")
+    kept.save(all_cases.where("year >= 1996"), "late")
+    kept.save(all_cases.where("year < 1996 or year is null"), "early")
+    kept.save(all_cases.where("year < 1994 or year is null"), "early")
+    lines = files.read_jsonl(spark, f"{kept.path}/jsonl").select("id", "title", "year_key")
+    return lines.join(kept.ledger().select("id", "batch"), "id")
+
+
+_register(
+    "store_lines_only", _lines_only,
+    """select id, title, coalesce(cast(year as varchar), 'unknown') as year_key, case when year >= 1996 then 'late' else 'early' end as batch
+    from cases where year is null or year >= 1996 or year < 1994""",
+)
+
+
+def _fetched_again(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders fetched by skipping what is there, then some of them again, after the collection has changed."""
+    orders = _order_ids(tables(spark, sf_dir, "orders")[0]).where("o_orderkey <= 200").select("id", "o_orderkey", "o_totalprice")
+    kept = store.CaseStore(spark, _folder(spark, "store"), "table")
+    raised = orders.withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    batches.fetch_batch(kept, orders.where("o_orderkey <= 150").select("id"), lambda ids: orders.join(ids, "id"))
+    batches.fetch_batch(kept, orders.select("id"), lambda ids: raised.join(ids, "id"))  # only what is missing
+    batches.fetch_batch(kept, orders.where("o_orderkey % 3 = 0").select("id"), lambda ids: raised.join(ids, "id"), skip_existing=False)
+    return kept.cases().select("id", "o_totalprice")
+
+
+_register(
+    "fetch_again", _fetched_again,
+    """select 'O' || lpad(cast(o_orderkey as varchar), 9, '0') as id, o_totalprice + case when o_orderkey > 150 or o_orderkey % 3 = 0 then 1 else 0 end as o_totalprice
+    from orders where o_orderkey <= 200""", view=False,
+)
+
+
+def _status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A store's status after two fetching runs, as a row."""
+    orders = _order_ids(tables(spark, sf_dir, "orders")[0]).select("id", F.year("o_orderdate").alias("year"))
+    kept = store.CaseStore(spark, _folder(spark, "store"), "table")
+    there = orders.where("substr(id, -1) <> '4'")
+    for limit, budget in ((30, 500), (0, 40)):
+        batches.fetch_batch(kept, orders.select("id"), lambda ids: there.join(ids, "id"), limit, budget)
+    found = {**kept.stats(), "requests": kept.requests()}
+    return spark.createDataFrame([tuple(found[k] for k in ("total_cases", "years", "tracked", "requests"))], "total_cases long, years long, tracked long, requests long")
+
+
+_register(
+    "store_status", _status,
+    """with asked as (select o_orderkey, o_orderdate, o_orderkey % 10 <> 4 as there, row_number() over (order by o_orderkey) as k from orders),
+    first as (select *, sum(there::int) over (order by k) as got from asked),
+    one as (select * from first where got < 30 or (got = 30 and there)),
+    rest as (select *, row_number() over (order by k) as n from asked where o_orderkey not in (select o_orderkey from one where there)),
+    held as (select o_orderdate from one where there union all select o_orderdate from rest where n <= 40 and there)
+    select count(*) as total_cases, count(distinct year(o_orderdate)) as years, count(*) as tracked, (select count(*) from one) + 40 as requests from held""", view=False,
+)
+_register(
+    "report_of_folder",
+    lambda s, d: s.createDataFrame([r for r in _report_rows(report.report_folder(s, _documents_of_nations(s, d, bad=True))) if ":" not in r[0]], "metric string, value double"),
+    """with n as (select length(n_name) as l from nation), t as (select count(*) as c,
+      avg((0.9e0 + 0.7e0 + case when l >= 5 then 0.9e0 else least(l / 5e0, 0.8e0) end) / 7.3e0) as s from n)
+    select 'total_cases' as metric, c::double as value from t union all select 'valid_cases', 0e0 union all select 'invalid_cases', c::double from t
+    union all select 'pass_rate', 0e0 union all select 'avg_completeness', round(s, 4) from t""", view=False,
+)
+
+
+def _pushed_years(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders served by a connector, two years of them by a condition that the source takes over."""
+    listed = connectors.enumerate_years(spark, "orders", 1990, 2004, path=f"{sf_dir}/orders.parquet")
+    return listed.where("year between 1996 and 1997 and id not like '%7'").select("id", "title", "year")
+
+
+_register(
+    "source_pushed_years", _pushed_years,
+    """select cast(o_orderkey as varchar) as id, o_orderpriority as title, cast(year(o_orderdate) as integer) as year from orders
+    where year(o_orderdate) between 1996 and 1997 and cast(o_orderkey as varchar) not like '%7'""", view=False,
+)

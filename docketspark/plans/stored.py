@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import contextvars
 import tempfile
+import threading
 import uuid
 from contextlib import contextmanager
 
@@ -13,6 +14,9 @@ from pyspark.sql import functions as F
 #: Paths of the tables written inside each `scratch` block that is open here, the innermost last.
 _owned: contextvars.ContextVar[tuple[list[str], ...]] = contextvars.ContextVar("owned", default=())
 
+#: Blocks that are open in each session, and the session's own setting.
+_open: dict[str, list] = {}
+_lock = threading.Lock()
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -34,14 +38,22 @@ def shared_folder(spark: SparkSession) -> str:
 def _shuffles_dropped(spark: SparkSession):
     """Queries run inside the block delete their shuffle files as they end, not when the driver next collects garbage.
 
-    The session's own setting holds again afterwards. A task lost within a query still finds its files.
+    The session's own setting holds again after the last of the blocks that are open at once, in
+    whatever order threads leave them. A task lost within a query still finds its files.
     """
-    before = spark.conf.get(_CLEANUP)
-    spark.conf.set(_CLEANUP, "true")
+    session = spark._jsparkSession.sessionUUID()
+    with _lock:
+        if session not in _open:
+            _open[session] = [0, spark.conf.get(_CLEANUP)]
+            spark.conf.set(_CLEANUP, "true")
+        _open[session][0] += 1
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        with _lock:
+            _open[session][0] -= 1
+            if not _open[session][0]:
+                spark.conf.set(_CLEANUP, _open.pop(session)[1])
 
 
 def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:

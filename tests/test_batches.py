@@ -134,3 +134,16 @@ def test_documents_by_id(spark, tmp_path):
         write_documents(rows.withColumn("title", F.when(F.col("id") == "b:2", F.raise_error(F.lit("broken"))).otherwise(F.lit("bad"))), path)
     kept = {r.id: r.title for r in read_documents(spark, path).collect()}
     assert kept == {"a/1": "A", "b:2": "B", "c": "new"}
+
+
+def test_conditions_on_the_year_are_pushed(spark, sf_dir):
+    path = f"{sf_dir}/orders.parquet"
+    listed = connectors.enumerate_years(spark, "orders", 1990, 2004, path=path)
+    assert listed.rdd.getNumPartitions() == 15
+    for where, years in (("year between 1996 and 1997", 2), ("year > 2000 and year < 2004", 3), ("year in (1995, 2001, 3000)", 2), ("year = 1999 and id like '1%'", 1), ("year is not null and year <= 1991", 2), ("year <> 1999", 15)):
+        assert listed.where(where).rdd.getNumPartitions() == years, where
+    orders = spark.read.parquet(path).selectExpr("cast(o_orderkey as string) as id", "o_orderpriority as title", "year(o_orderdate) as year")
+    for where in ("true", "year between 1996 and 1997", "year <> 1999 and title like '1%'", "year = 1998 or id = '4'"):
+        assert sorted(map(tuple, listed.where(where).collect())) == sorted(map(tuple, orders.where(where).collect())), where
+    assert next(connectors.connector("orders", path=path).enumerate_by_year(1996))[2] == 1996
+    assert connectors.enumerate_years(spark, "sample", 2020, 2030).where("year = 2025").rdd.getNumPartitions() == 1
