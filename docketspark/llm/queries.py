@@ -40,6 +40,11 @@ def op6_decontamination_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6_decontamination.contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def benchmark_longest_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The longest verbatim matches of at least ten words between documents and items, with their places in both."""
+    return op6_decontamination.longest_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_jaccard.jaccard_join(_table(spark, sf_dir, "documents"), words=4, percent=85)
 
@@ -220,5 +225,6 @@ QUERIES = {
     "op12_filter_audit": op12_filter_audit,
     "op13_pii_spans": op13_pii_spans,
     "warc_replica_reconciled": warc_replica_reconciled,
+    "benchmark_longest_matches": benchmark_longest_matches,
 }
 ORACLES: dict[str, str] = {"op5_warc_fixity": OP5_SQL, "op11_hard_negatives": OP11_SQL, "op12_filter_audit": OP12_SQL, "warc_replica_reconciled": RECONCILED_SQL}

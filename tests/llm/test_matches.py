@@ -5,7 +5,7 @@ import itertools
 from pyspark.sql import functions as F
 
 from docketspark.llm import op6_decontamination as op
-from docketspark.llm import op10_simhash
+from docketspark.llm import op10_simhash, queries
 
 from .test_passages import words_of
 
@@ -42,6 +42,17 @@ def test_longest_matches_of_the_tables(documents, benchmark_items):
     assert {r[0] for r in found.collect()} == {r[0] for r in judged.collect()}
 
 
+def test_registered_matches_are_maximal(spark, sf_dir, documents, benchmark_items):
+    """The query over whole tables, against brute force on the documents that hold any match and as many others."""
+    found = {tuple(r) for r in queries.benchmark_longest_matches(spark, sf_dir).collect()}
+    held = sorted({r[0] for r in found})
+    assert len(held) > 1
+    texts = {r.doc_id: r.text for r in documents.select("doc_id", "text").collect()}
+    some = {i: texts[i] for i in [*held[:3], *sorted(texts.keys() - set(held))[:3]] if len(texts[i] or "") < 4000}
+    items = [tuple(r) for r in benchmark_items.select("item_id", "text").collect()]
+    assert {r for r in found if r[0] in some} == maximal(some.items(), items, 10)
+
+
 def test_tables_find_every_near_fingerprint_of_the_documents(documents):
     prints = op10_simhash.fingerprints(documents)
     values = {r.fingerprint: int(r.fingerprint, 16) for r in prints.select("fingerprint").distinct().collect()}
