@@ -589,15 +589,16 @@ _MIXED_SQL = """with m as (
   select d.doc_id as k, d.doc_id % 6 as j, d.text, c.c_mktsegment as segment, s.s_name as own, 1990 + d.doc_id % 9 as y
   from documents d left join customer c on c.c_custkey = d.doc_id left join supplier s on s.s_suppkey = d.doc_id % 10 + 1),
 courts as (
-  select case when j = 5 then 'Unknown' when j < 2 then segment when j = 3 then cast(k % 3 as varchar) when j = 4 then '["' || own || '"]' end as court,
+  select case when j = 5 then 'Unknown' when j < 2 then segment when j = 3 then cast(k % 3 as varchar) when j = 4 then '[' || coalesce('"' || own || '"', 'null') || ']' end as court,
     case when j = 5 then 'text' when j = 2 or (j < 2 and segment is null) then 'null' when j < 2 then 'text' when j = 3 then 'number' else 'list' end as kind from m),
 years as (
   select case when j = 5 then 'Unknown' when j in (0, 1, 3) then cast(y as varchar) when j = 2 then y || '.5' else 'true' end as year,
     case when j in (1, 5) then 'text' when j = 4 then 'truth' else 'number' end as kind, case when j in (0, 3) then y when j = 2 then y + 0.5 end as moment, j, text from m),
 judges as (
-  select unnest([own, 'Justice A']) as judge, 'text' as kind from m where j = 0
+  select judge, case when judge is null then 'null' else 'text' end as kind
+  from (select unnest([own, 'Justice A']) as judge from m where j = 0 union all select own from m where j = 5)
   union all select unnest([cast(k % 4 as varchar), cast(k % 2 as varchar)]), 'number' from m where j = 4
-  union all select own, 'text' from m where j = 5 union all select null, 'null' from m where j = 5),
+  union all select null, 'null' from m where j = 5),
 sized as (select moment, case when j in (0, 1, 5) then length(text) when j = 4 then 2 end as n from years)
 """
 _register("dynamic_courts", lambda s, d: dynamic.court_distribution(_mixed_documents(s, d)), _MIXED_SQL + "select court, kind, count(*) as n from courts group by all order by n desc, kind, court nulls first limit 10", view=False)
