@@ -20,7 +20,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from docketspark.llm.common import with_group, written
+from docketspark.llm.common import scratch, with_group, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: The filter that looks at all documents; the others are conditions on one text.
@@ -87,5 +87,7 @@ def orders(found: DataFrame, filters: str = "ABCDE") -> DataFrame:
 
 
 def audit(docs: DataFrame, labels: DataFrame, part: str = "lang") -> DataFrame:
-    """One row for each part, order of the five filters and step."""
-    return orders(cells(masked(docs, part), labels))
+    """One row for each part, order of the five filters and step. The cells are stored, 32 a part at most; the masks go."""
+    with scratch(docs.sparkSession):
+        counted = written(cells(masked(docs, part), labels), "cells", keep=True)
+    return orders(counted)
