@@ -136,18 +136,23 @@ class CommitLog:
 
 @dataclass
 class Snapshot:
-    """base: folder of folded versions; sealed: ids folders of the batches in it; live: other batches by name; ever: every batch committed, in order."""
+    """What a compaction folded (base: versions, ids: their ledger, requests by day), and the batches since: live ones by name, all in order."""
 
     base: str | None = None
-    sealed: set[str] = field(default_factory=set)
+    ids: str | None = None
+    requests: dict[str, int] = field(default_factory=dict)
     live: dict[str, dict] = field(default_factory=dict)
-    ever: list[dict] = field(default_factory=list)
+    since: list[dict] = field(default_factory=list)
 
     def versions(self) -> list[str]:
         return [f for f in (self.base, *(e["versions"] for e in self.live.values())) if f]
 
-    def ids(self) -> set[str]:
-        return self.sealed | {e["ids"] for e in self.live.values()}
+    def requests_by_day(self) -> dict[str, int]:
+        found = dict(self.requests)
+        for e in self.since:
+            day = e["at"][:10]
+            found[day] = found.get(day, 0) + e.get("requests", 0)
+        return found
 
 
 class CaseStore:
@@ -163,10 +168,10 @@ class CaseStore:
         found = Snapshot()
         for manifest in self.log.upto(as_of):
             if manifest.get("whole"):
-                found = Snapshot(manifest["base"], set(manifest["sealed"]), {e["batch"]: e for e in manifest["live"]}, manifest["ever"])
+                found = Snapshot(manifest["base"], manifest["ids"], manifest["requests"], {e["batch"]: e for e in manifest["live"]}, manifest["since"])
             else:
                 found.live[manifest["batch"]] = manifest
-                found.ever.append(manifest)
+                found.since.append(manifest)
         return found
 
     def save(self, cases: DataFrame, batch: str | None = None, requests: int = 0) -> int:
@@ -200,7 +205,8 @@ class CaseStore:
 
     def requests(self, day: datetime.date | None = None) -> int:
         """Requests of all commits, or of one day (UTC)."""
-        return sum(e.get("requests", 0) for e in self._snapshot().ever if day is None or e["at"].startswith(day.isoformat()))
+        by_day = self._snapshot().requests_by_day()
+        return sum(by_day.values()) if day is None else by_day.get(day.isoformat(), 0)
 
     def versions(self, as_of: int | None = None) -> DataFrame | None:
         """All versions of a snapshot; none before the first save."""
@@ -215,38 +221,48 @@ class CaseStore:
     def ledger(self, as_of: int | None = None) -> DataFrame:
         """id, when it was first saved, and the first batch that holds it; ids that no batch holds any more are not in it."""
         found = self._snapshot(as_of)
-        if not found.ever:
+        if not found.since and not found.ids:
             return self.spark.createDataFrame([], LEDGER)
-        kept = found.ids()
-        entries = [(e["ids"].rsplit("/", 1)[1], n, e["batch"], e["ids"] in kept) for n, e in enumerate(found.ever)]
-        batches = self.spark.createDataFrame(entries, "folder string, place int, batch string, kept boolean")
-        rows = self.spark.read.schema("id string, saved_at timestamp").parquet(*[f"{self.path}/{e['ids']}" for e in found.ever])
-        rows = rows.withColumn("folder", F.element_at(F.split("_metadata.file_path", "/"), -2)).join(batches, "folder")
-        held = F.min(F.when(F.col("kept"), F.struct("place", "batch"))).alias("held")
-        return rows.groupBy("id").agg(F.min("saved_at").alias("first_saved_at"), held).where("held is not null").select("id", "first_saved_at", "held.batch")
+        # what a compaction folded comes first, and is held whatever was saved since
+        parts = []
+        if found.ids:
+            folded = self.spark.read.schema(LEDGER).parquet(f"{self.path}/{found.ids}")
+            parts.append(folded.select("id", F.col("first_saved_at").alias("saved_at"), F.struct(F.lit(-1).alias("place"), "batch").alias("held")))
+        if found.since:
+            kept = {e["ids"] for e in found.live.values()}
+            entries = [(e["ids"].rsplit("/", 1)[1], n, e["batch"], e["ids"] in kept) for n, e in enumerate(found.since)]
+            batches = self.spark.createDataFrame(entries, "folder string, place int, batch string, kept boolean")
+            rows = self.spark.read.schema("id string, saved_at timestamp").parquet(*[f"{self.path}/{e['ids']}" for e in found.since])
+            rows = rows.withColumn("folder", F.element_at(F.split("_metadata.file_path", "/"), -2)).join(batches, "folder")
+            parts.append(rows.select("id", "saved_at", F.when(F.col("kept"), F.struct("place", "batch")).alias("held")))
+        summed = reduce(DataFrame.unionByName, parts).groupBy("id").agg(F.min("saved_at").alias("first_saved_at"), F.min("held").alias("held"))
+        return summed.where("held is not null").select("id", "first_saved_at", "held.batch")
 
     def compact(self, files: int | None = None, row_group_bytes: int = 16 << 20) -> int:
-        """Folds all versions into the latest of each id, in files sorted by id with Bloom filters on it; returns the number of the commit.
+        """Folds all versions into the latest of each id, in files sorted by id with Bloom filters on it, and the ledger into one table.
 
-        Batches committed meanwhile stay beside the folded ones. A folded batch is sealed: saving it
+        Returns the number of the commit. Batches committed meanwhile stay beside the folded ones. A folded batch is sealed: saving it
         again adds versions and takes nothing back.
         """
         seen = self.log.last()
         versions, folded = self.versions(seen), self._snapshot(seen)
         if versions is None:
             return seen
-        base = f"base/commit={uuid.uuid4().hex}"
+        own = uuid.uuid4().hex
+        base, ids = f"base/commit={own}", f"ids/commit={own}"
         n = files or int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         placed = latest(versions).repartitionByRange(n, "id").sortWithinPartitions("id")
         writer = placed.write.option("parquet.bloom.filter.enabled#id", "true").option("parquet.block.size", row_group_bytes)
         writer.parquet(f"{self.path}/{base}")
+        self.ledger(seen).write.parquet(f"{self.path}/{ids}")
 
         def manifest(number: int) -> dict:
             now = self._snapshot(number - 1)
             if now.base != folded.base or any(now.live[name]["ids"] != e["ids"] for name, e in folded.live.items()):
                 raise RuntimeError("what was folded has been folded or saved again meanwhile; compact once more")
             live = [e for name, e in now.live.items() if name not in folded.live]
-            return {"whole": True, "base": base, "sealed": sorted(folded.ids()), "live": live, "ever": now.ever}
+            since = now.since[len(folded.since) :]
+            return {"whole": True, "base": base, "ids": ids, "requests": folded.requests_by_day(), "live": live, "since": since}
 
         return self.log.append(manifest)
 
@@ -280,9 +296,10 @@ class CaseStore:
 
     def vacuum(self, keep_from: int) -> int:
         """Deletes the folders that no snapshot since commit keep_from reads; returns how many."""
-        used = {folder for number in range(max(1, keep_from), self.log.last() + 1) for folder in self._snapshot(number).versions()}
+        kept = [self._snapshot(number) for number in range(max(1, keep_from), self.log.last() + 1)]
+        used = {f for s in kept for f in (*s.versions(), s.ids, *(e["ids"] for e in s.since))}
         gone = 0
-        for kind in ("versions", "base"):
+        for kind in ("versions", "base", "ids"):
             folder, files = self.log._at(f"../{kind}")
             for entry in files.listStatus(folder) if files.exists(folder) else ():
                 if f"{kind}/{entry.getPath().getName()}" not in used:

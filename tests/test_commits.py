@@ -106,7 +106,21 @@ def test_compaction(spark, tmp_path):
     assert held(s) == [("1", "old"), ("2", "new"), ("3", "newer")] and [i for i, _ in known(s)] == ["1", "2", "3"]
     s.compact(files=1)
     assert held(s) == [("1", "old"), ("2", "new"), ("3", "newer")]
-    assert s.vacuum(s.log.last()) == 4 and held(s) == [("1", "old"), ("2", "new"), ("3", "newer")]
+    # versions and ids of three batches, what was folded first and its ledger
+    assert s.vacuum(s.log.last()) == 8 and held(s) == [("1", "old"), ("2", "new"), ("3", "newer")] and known(s) == [("1", "a"), ("2", "a"), ("3", "b")]
+
+
+def test_compaction_keeps_first_times_and_requests(spark, tmp_path):
+    s = store.CaseStore(spark, str(tmp_path / "s"), "table")
+    s.save(rows(spark, "12"), "a", requests=3)
+    before = {r.id: r.first_saved_at for r in s.ledger().collect()}
+    s.compact()
+    s.save(rows(spark, "24"), "b", requests=4)
+    s.save(rows(spark, "4"), "b", requests=5)
+    after = {r.id: r.first_saved_at for r in s.ledger().collect()}
+    assert {k: after[k] for k in before} == before and known(s) == [("1", "a"), ("2", "a"), ("4", "b")]
+    s.compact()
+    assert s.requests() == 12 and known(s) == [("1", "a"), ("2", "a"), ("4", "b")] and s.log.upto()[0]["since"] == []
 
 
 def test_compaction_beside_a_save(spark, tmp_path):
