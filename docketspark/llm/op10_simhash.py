@@ -23,9 +23,17 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 
 from docketspark.llm import kernels
-from docketspark.llm.common import partitions, pieces, text_bytes
+from docketspark.llm.common import fresh, partitions, pieces, text_bytes, with_group, written
 
 BITS = 128
+#: The radius of the neighbour search and the blocks of its tables: four tables, each led by 32 bits.
+RADIUS = 3
+BLOCKS = 4
+#: Fingerprints of one key that a task compares with others, on average at most, and the pairs it compares at a time.
+TILE = 1 << 13
+PAIRS = 1 << 20
+#: Stands for the least id where all ids are null.
+_NO_ID = (1 << 63) - 1
 #: The signs with which each of the 256 values of a hash byte votes on its 8 bits.
 _SIGNS = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float64) * 2 - 1
 
@@ -171,11 +179,23 @@ def with_edits(docs: DataFrame) -> DataFrame:
     )
 
 
+def _half(print_: Column, h: int) -> Column:
+    """64 bits of a fingerprint as a signed number."""
+    return F.conv(F.substring(print_, 1 + 16 * h, 16), 16, -10).cast("long")
+
+
 def _distance(a: Column, b: Column) -> Column:
-    halves = [F.conv(F.substring(x, 1 + 16 * h, 16), 16, -10).cast("long") for h in range(2) for x in (a, b)]
+    halves = [_half(x, h) for h in range(2) for x in (a, b)]
     return F.bit_count(halves[0].bitwiseXOR(halves[1])) + F.bit_count(halves[2].bitwiseXOR(halves[3]))
 
 
+def _fronts(radius: int, blocks: int) -> list[tuple[int, ...]]:
+    """The blocks that lead each table."""
+    if not 0 <= radius < blocks or (BITS // 4) % blocks:
+        raise ValueError("blocks must divide 32 and exceed radius")
+    return list(combinations(range(blocks), blocks - radius))
+
+
 def within_radius(prints: DataFrame, radius: int = 3, blocks: int = 8) -> DataFrame:
     """(a, b, distance): all pairs of different fingerprints at most `radius` bits apart, a < b.
 
@@ -184,17 +204,116 @@ def within_radius(prints: DataFrame, radius: int = 3, blocks: int = 8) -> DataFr
     the front, has both under one key. Equal fingerprints are one entry however many documents have
     them; join back on fingerprint for the documents.
     """
-    if not 0 <= radius < blocks or (BITS // 4) % blocks:
-        raise ValueError("blocks must divide 32 and exceed radius")
     width = BITS // 4 // blocks
     tables = [
         F.struct(
             F.lit(t).alias("table"), F.concat(*[F.substring("fingerprint", 1 + width * k, width) for k in front]).alias("key")
         )
-        for t, front in enumerate(combinations(range(blocks), blocks - radius))
+        for t, front in enumerate(_fronts(radius, blocks))
     ]
     entries = prints.select("fingerprint").dropna().distinct().select("fingerprint", F.explode(F.array(*tables)).alias("e"))
     left = entries.select(F.col("fingerprint").alias("a"), "e.table", "e.key")
     right = entries.select(F.col("fingerprint").alias("b"), "e.table", "e.key")
     near = left.join(right, ["table", "key"]).where(F.col("a") < F.col("b"))
     return near.select("a", "b", _distance(F.col("a"), F.col("b")).alias("distance")).where(F.col("distance") <= radius).distinct()
+
+
+def _met(left: tuple, right: tuple, masks: list[tuple], table: int, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Places (in left, in right) of different fingerprints within the radius that agree on the front of this table and of none before it."""
+    step = max(1, PAIRS // max(1, len(right[0])))
+    for i in range(0, len(left[0]), step):
+        high, low = (left[h][i : i + step, None] ^ right[h][None, :] for h in range(2))
+        a, b = np.nonzero(np.bitwise_count(high) + np.bitwise_count(low) <= radius)
+        high, low = high[a, b], low[a, b]
+        counted = (high | low) != 0
+        for t, (first, second) in enumerate(masks[: table + 1]):
+            counted &= (((high & first) | (low & second)) == 0) == (t == table)
+        yield a[counted] + i, b[counted]
+
+
+def _neighbours(masks: list[tuple], radius: int):
+    """Entries of tables, sorted by table, key and pair of tiles, to (hi, lo, others, nearby): what each has within the radius there."""
+
+    def totals(group: dict[str, np.ndarray]) -> Iterator[tuple]:
+        own, same = group["left"], group["i"][0] == group["j"][0]
+        sides = [tuple(group[c][side] for c in ("hi", "lo", "copies", "least")) for side in ((own,) if same else (own, ~own))]
+        left, right = sides[0], sides[-1]
+        sums = [(np.zeros(len(side[0]), np.int64), np.full(len(side[0]), _NO_ID)) for side in sides]
+        for a, b in _met(left, right, masks, int(group["table"][0]), radius):
+            # a tile against itself has every pair in both directions
+            for (others, nearby), at, partner, of in ((sums[0], a, right, b),) if same else ((sums[0], a, right, b), (sums[1], b, left, a)):
+                np.add.at(others, at, partner[2][of])
+                np.minimum.at(nearby, at, partner[3][of])
+        for side, (others, nearby) in zip(sides, sums, strict=True):
+            some = others > 0
+            yield side[0][some].view(np.int64), side[1][some].view(np.int64), others[some], nearby[some]
+
+    names = ("table", "key", "i", "j", "left", "hi", "lo", "copies", "least")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def found(rows: dict[str, np.ndarray], ends: np.ndarray) -> pa.RecordBatch:
+            parts = [x for s, e in zip(np.append(0, ends[:-1]), ends, strict=True) if e - s > 1 for x in totals({c: v[s:e] for c, v in rows.items()})]
+            columns = [np.concatenate([np.zeros(0, np.int64), *[x[k] for x in parts]]) for k in range(4)]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["hi", "lo", "others", "nearby"])
+
+        held: dict[str, np.ndarray] = {}
+        for batch in batches:
+            rows = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in names}
+            rows |= {c: rows[c].view(np.uint64) for c in ("hi", "lo")}
+            if held:
+                rows = {c: np.concatenate([held[c], rows[c]]) for c in names}
+            new = np.any([rows[c][1:] != rows[c][:-1] for c in names[:4]], axis=0)
+            ends = np.flatnonzero(new) + 1  # the last group may go on in the next batch
+            if len(ends):
+                yield found(rows, ends)
+            held = {c: v[ends[-1] if len(ends) else 0 :] for c, v in rows.items()}
+        if held:
+            yield found(held, np.array([len(held["hi"])]))
+
+    return run
+
+
+def with_neighbours(rows: DataFrame, radius: int = RADIUS, blocks: int = BLOCKS, tile: int = TILE) -> DataFrame:
+    """rows (doc_id, fingerprint, ...) with n_within: other rows whose fingerprint is at most `radius` bits away, and least_within: the smallest id among them and the row itself.
+
+    Permuted block tables as in `within_radius`, but no pair is ever a row. Entries under one key are
+    dealt to tiles; a pair of tiles is compared by one task, 64 bits at a time, which gives a sum for
+    each fingerprint. A pair is counted in the first of the tables that have it under one key. Equal
+    fingerprints are one entry with its number of rows, summed before they meet. Work under a key is
+    the square of its different fingerprints, in tasks of bounded memory.
+
+    Defined cases: empty texts have equal fingerprints and count as near each other; null ids count
+    as rows but not as ids, so least_within is null where no id is known; rows without a fingerprint
+    have no neighbours. The rows are read twice: give a stored table.
+    """
+    fronts = _fronts(radius, blocks)
+    width = BITS // blocks
+    whole = [sum(((1 << width) - 1) << (BITS - width * (k + 1)) for k in front) for front in fronts]
+    masks = [(np.uint64(m >> 64), np.uint64(m & ((1 << 64) - 1))) for m in whole]
+    part = fresh(rows, "part")
+    split = rows.withColumn(part, F.pmod(F.xxhash64(*rows.columns), F.lit(64)).cast("int"))
+    local = split.where("fingerprint is not null").groupBy("fingerprint", part).agg(F.count(F.lit(1)).alias("copies"), F.min("doc_id").alias("least"))
+    known = local.groupBy("fingerprint").agg(F.sum("copies").alias("copies"), F.min("least").alias("least"))
+    known = written(known.select("*", _half(F.col("fingerprint"), 0).alias("hi"), _half(F.col("fingerprint"), 1).alias("lo")), "prints")
+    hexes = width // 4
+    keys = [
+        F.struct(F.lit(t).alias("table"), F.xxhash64(*[F.substring("fingerprint", 1 + hexes * k, hexes) for k in front]).alias("key"))
+        for t, front in enumerate(fronts)
+    ]
+    entries = known.select("hi", "lo", "copies", F.coalesce("least", F.lit(_NO_ID)).alias("least"), F.xxhash64("fingerprint").alias("own"), F.explode(F.array(*keys)).alias("e"))
+    entries = entries.select("e.table", "e.key", "hi", "lo", "copies", "least", "own")
+    met = with_group(entries, ["table", "key"], "own", members=(F.sum, F.lit(1))).where("members > 1")
+    tiles = F.ceil(F.col("members") / tile).cast("int")
+    dealt = met.select("*", F.pmod("own", tiles).cast("int").alias("at"), F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
+    order = ("table", "key", "i", "j")
+    dealt = dealt.select("table", "key", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j"), (F.col("at") <= F.col("other")).alias("left"), "hi", "lo", "copies", "least")
+    dealt = dealt.repartition(partitions(rows.sparkSession), *order).sortWithinPartitions(*order)
+    near = dealt.mapInArrow(_neighbours(masks, radius), "hi long, lo long, others long, nearby long")
+    near = near.groupBy("hi", "lo").agg(F.sum("others").alias("others"), F.min("nearby").alias("nearby"))
+    summed = known.join(near, ["hi", "lo"], "left").select(
+        "fingerprint", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_within"),
+        F.nullif(F.least(F.coalesce("least", F.lit(_NO_ID)), F.coalesce("nearby", F.lit(_NO_ID))), F.lit(_NO_ID)).alias("least_within"),
+    )
+    # a fingerprint that many rows have is handed back by its parts
+    handed = local.select("fingerprint", part).join(summed, "fingerprint")
+    return split.join(handed, ["fingerprint", part], "left").select(*rows.columns, F.coalesce("n_within", F.lit(0)).cast("long").alias("n_within"), F.coalesce("least_within", "doc_id").alias("least_within"))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from docketspark.llm import op1_chat, op2_jaccard, op3_quality, op4_suffix, op5_warc, op6_decontamination, op7_mixing, op8_language, op9_toxicity, op10_simhash
 from docketspark.llm import op11_negatives, op12_filters, op13_pii
+from docketspark.llm.common import scratch, written
 from docketspark.sources.files import dealt_out
 
 
@@ -29,7 +30,10 @@ def op9_toxicity_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op10_simhash.with_edits(_table(spark, sf_dir, "documents"))
+    """Fingerprints and likenesses, and from the block tables each document's neighbours within three bits: how many, and the least id."""
+    with scratch(spark):
+        rows = written(op10_simhash.with_edits(_table(spark, sf_dir, "documents")), "edited")
+        return written(op10_simhash.with_neighbours(rows), "neighbours", keep=True)
 
 
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
