@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docketspark.llm import kernels
-from docketspark.llm.common import pieces, text_bytes
+from docketspark.llm.common import pieces, sliced, text_bytes
 from docketspark.llm.labelled import held
 
 GRAMS = (2, 3, 4)
@@ -49,13 +49,14 @@ _SCRIPT = np.array([SCRIPT_NAMES.index(s) for _, s in SCRIPTS])
 
 @dataclass(frozen=True)
 class Settings:
-    """per_language bounds the training rows that are expected of a language."""
+    """per_language bounds the training rows that are expected of a language; slice_bytes the text a task scores at a time, one row at least."""
 
     per_language: int = 3000
     bits: int = 16
     switch: float = 8.0
     smoothing: float = 0.5
     seed: int = 8
+    slice_bytes: int = 8 << 20
 
 
 def letters(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -213,7 +214,7 @@ def _spans(docs: DataFrame, model, s: Settings, emit, columns: list[str], schema
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_model = shared.value
-        for batch in batches:
+        for batch in sliced(batches, "text", s.slice_bytes):
             firsts, counts, scores = [np.zeros(1, np.int64)], [], []
             for _, _, raw, at in pieces(*text_bytes(batch.column("text"))):
                 first, count, score = word_labels(raw, at, held_model, s)

@@ -40,6 +40,11 @@ def test_languages(mixed):
     assert len(found) == 5 and found[900_003][0] == "de" and found[900_001] == found[900_005]
 
 
+def test_languages_in_slices(mixed):
+    whole, sliced = (op8_language.identify(mixed, s=op8_language.Settings(slice_bytes=n)) for n in (8 << 20, 5_000))
+    assert sorted(map(tuple, whole.collect()), key=repr) == sorted(map(tuple, sliced.collect()), key=repr)
+
+
 def test_contamination(spark, mixed):
     items = spark.createDataFrame([(1, ITEM), (2, "not there at all " * 4)], "item_id long, text string")
     found = of(op6_decontamination.contamination(mixed, items), "n_words", "n_hit", "n_items")
