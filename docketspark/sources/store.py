@@ -22,6 +22,8 @@ from operator import or_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docketspark.plans.stored import fresh
+
 FORMATS = ("table", "jsonl", "both")
 #: A manifest's name is its number, so that names sort as numbers do.
 _DIGITS = 12
@@ -38,10 +40,13 @@ def with_ids(cases: DataFrame) -> DataFrame:
 
 
 def latest(versions: DataFrame, stamp: str = "_scraped_at") -> DataFrame:
-    """The newest version of each id. max_by over the whole row aggregates map-side, so many versions of one id do not meet in a task."""
-    rest = [c for c in versions.columns if c != "id"]
-    newest = versions.groupBy("id").agg(F.max_by(F.struct(*rest), F.struct(F.col(stamp), F.xxhash64(*[c for c in rest]))).alias("r"))
-    return newest.select("id", *[F.col(f"r.`{c}`").alias(c) for c in rest]).select(*versions.columns)
+    """The newest version of each id. max_by aggregates map-side, so many versions of one id do not meet in a task.
+
+    Each column has a max_by of its own, all by one place, so that only columns that are used are shuffled.
+    """
+    rest, place = [c for c in versions.columns if c != "id"], fresh(versions, "place")
+    placed = versions.withColumn(place, F.struct(F.col(stamp), F.xxhash64(*rest)))
+    return placed.groupBy("id").agg(*[F.max_by(c, place).alias(c) for c in rest]).select(*versions.columns)
 
 
 def unfetched(ids: DataFrame, ledger: DataFrame) -> DataFrame:
