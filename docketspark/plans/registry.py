@@ -433,8 +433,16 @@ _register(
     union all select id, title || '!', cast(year as varchar) from cases where year < 1996""",
 )
 _register("store_lookup", lambda s, d: _stored(s, d).load("D0000007").select("id", "court", "year"), "select id, court, year from cases where id = 'D0000007'")
+
+
+def _stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The figures of a store, filled once, as a row."""
+    found = _stored(spark, sf_dir).stats()
+    return spark.createDataFrame([tuple(found[k] for k in ("total_cases", "years", "tracked"))], "total_cases long, years long, tracked long")
+
+
 _register(
-    "store_stats", lambda s, d: s.createDataFrame([tuple(_stored(s, d).stats()[k] for k in ("total_cases", "years", "tracked"))], "total_cases long, years long, tracked long"),
+    "store_stats", _stats,
     "select count(*) as total_cases, count(distinct coalesce(cast(year as varchar), 'unknown')) as years, count(*) as tracked from cases",
 )
 _register(
