@@ -92,10 +92,10 @@ def compare(before: DataFrame, after: DataFrame, schema: Schema = CASE_SCHEMA) -
 PARTIAL = "kind string, field string, message string, severity string, n long, total decimal(38,12)"
 
 
-def partial(validated: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
+def partial(validated: DataFrame, schema: Schema = CASE_SCHEMA, by: tuple[str, ...] = ()) -> DataFrame:
     """Rows of PARTIAL for a batch of documents, read once: sums and counts that add up with those of any other batch.
 
-    Sums are decimals, so that merging in any order gives the same digits.
+    With `by`, columns of validated, there are rows for each of their values, so many batches take one pass. Sums are decimals, so that merging in any order gives the same digits.
     """
     number = lambda x: x.cast("decimal(18,12)")
     none = F.lit(None).cast("string")
@@ -108,14 +108,14 @@ def partial(validated: DataFrame, schema: Schema = CASE_SCHEMA) -> DataFrame:
     one = [entry("valid", number(F.col("valid").cast("int"))), entry("completeness", number(F.col("completeness_score"))), entry("bucket", number(F.lit(1)), bucket)]
     one += [entry("field", number(F.col("field_scores")[s.name]), F.lit(s.name)) for s in schema]
     issues = F.transform("issues", lambda i: entry("issue", number(F.lit(1)), i["field"], i["message"], i["severity"]))
-    rows = validated.select(F.inline(F.concat(F.array(*one), issues)))
-    return merged(rows.where("value is not null").select("kind", "field", "message", "severity", F.lit(1).cast("long").alias("n"), F.col("value").alias("total")))
+    rows = validated.select(*by, F.inline(F.concat(F.array(*one), issues)))
+    return merged(rows.where("value is not null").select(*by, "kind", "field", "message", "severity", F.lit(1).cast("long").alias("n"), F.col("value").alias("total")), by)
 
 
-def merged(partials: DataFrame) -> DataFrame:
-    """One partial report of any number of them, as rows of one table."""
-    summed = partials.groupBy("kind", "field", "message", "severity").agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,12)").alias("total"))
-    return summed.select("kind", "field", "message", "severity", "n", "total")
+def merged(partials: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """One partial report of any number of them, or one for each value of `by`, as rows of one table."""
+    keys = (*by, "kind", "field", "message", "severity")
+    return partials.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("total").cast("decimal(38,12)").alias("total")).select(*keys, "n", "total")
 
 
 def summary_of(partials: DataFrame) -> DataFrame:

@@ -124,8 +124,8 @@ def _unknown_issues(df: DataFrame, schema: Schema, raw: str | None) -> Column:
     return F.filter(F.array(*notes), lambda x: x.isNotNull()) if notes else F.array().cast(f"array<{_ISSUE}>")
 
 
-def validate(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = False, raw: str | None = None) -> DataFrame:
-    """case_id, valid, completeness_score, field_scores (map), issues (array), one row a document.
+def validate(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = False, raw: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """case_id, valid, completeness_score, field_scores (map), issues (array), and the columns to keep, one row a document.
 
     strict makes a wrong kind of value an error in fields that are not required too, and nothing else.
     raw names a column with the document's JSON text, from which unknown fields are then read.
@@ -138,6 +138,7 @@ def validate(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = Fals
         own_id.alias("case_id"),
         *[c.alias(f"_s{k}") for k, (_, c, _) in enumerate(checks)],
         F.concat(F.filter(F.array(*[i for _, _, i in checks]), lambda x: x.isNotNull()), extra).alias("issues"),
+        *keep,
     )
     weighted = [F.col(f"_s{k}") * F.lit(float(s.weight)) for k, s in enumerate(schema)]
     score = reduce(lambda a, b: a + b, weighted) / F.lit(float(total)) if total else F.lit(0.0)
@@ -149,6 +150,7 @@ def validate(cases: DataFrame, schema: Schema = CASE_SCHEMA, strict: bool = Fals
         score.alias("completeness_score"),
         by_field.alias("field_scores"),
         "issues",
+        *keep,
     )
 
 
