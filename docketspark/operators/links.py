@@ -22,12 +22,9 @@ from pyspark.sql import functions as F
 
 from docketspark.operators.dedup import classes, members, most_distance
 from docketspark.operators.graph import components
+from docketspark.operators.tiles import TILE, Distances, met, numbered, packed, pieces, tiles_for
 from docketspark.plans.stored import partitions, written
 
-#: Fingerprints of a tile at most, on average, and the pairs that a task compares at a time.
-TILE = 1 << 13
-PAIRS = 1 << 20
-
 _TILES = "part long, left_side boolean, same boolean, tile int, number array<long>, hi array<long>, lo array<long>"
 _FOUND = "number long, links long, distance int, nearest long, root long"
 
@@ -60,34 +57,36 @@ def _compared(one: tuple, two: tuple | None, most: int) -> Iterator[tuple]:
     left, right = one, two or one
     n, m = len(left[0]), len(right[0])
     links = [np.zeros(n, np.int64), np.zeros(m, np.int64)]
-    far = 1 << 20
-    best = [np.full(n, far), np.full(m, far)]
+    best = [np.full(n, _FAR, np.uint8), np.full(m, _FAR, np.uint8)]
     nearest = [np.full(n, -1), np.full(m, -1)]
     # places in order of number, so that the root of a group is its least number whichever tile holds it
     order = np.argsort(np.concatenate([left[0], right[0]]) if two else left[0], kind="stable")
     place = np.empty(len(order), np.int64)
     place[order] = np.arange(len(order))
-    groups = _Groups(len(order))
-    step = max(1, PAIRS // max(1, m))
-    for i in range(0, n, step):
-        j = min(n, i + step)
-        distance = np.bitwise_count(left[1][i:j, None] ^ right[1][None, :]).astype(np.int16) + np.bitwise_count(left[2][i:j, None] ^ right[2][None, :])
-        if two is None:
-            distance[np.arange(j - i), np.arange(i, j)] = 1 << 12
+    groups, distances = _Groups(len(order)), Distances(left, right)
+    # what is known of each place's group: two that are one here are one, others may have become one since
+    known = [place[:n].astype(np.int32), place[n if two else 0 :].astype(np.int32)]
+    for i, j, a, b in pieces(n, m):
+        distance = distances.whole(i, j, a, b)
+        if two is None and a < j and i < b:
+            own = np.arange(max(i, a), min(j, b))
+            distance[own - i, own - a] = _FAR
         near = distance <= most
-        links[0][i:j] = near.sum(axis=1)
-        first = distance.argmin(axis=1)
-        best[0][i:j], nearest[0][i:j] = distance[np.arange(j - i), first], right[0][first]
+        links[0][i:j] += np.bitwise_count(np.packbits(near, axis=1)).sum(axis=1, dtype=np.int64)
+        least = distance.min(axis=1)
+        closer = np.flatnonzero(least < best[0][i:j])
+        best[0][i + closer], nearest[0][i + closer] = least[closer], right[0][a + distance[closer].argmin(axis=1)]
         if two is not None:
-            links[1] += near.sum(axis=0)
-            first = distance.argmin(axis=0)
-            least = distance[first, np.arange(m)]
-            closer = least < best[1]
-            best[1] = np.where(closer, least, best[1])
-            nearest[1] = np.where(closer, left[0][i:j][first], nearest[1])
-        base = n if two is not None else 0
-        for k in np.flatnonzero(near.any(axis=1)).tolist():
-            groups.join(int(place[i + k]), place[base + np.flatnonzero(near[k])])
+            links[1][a:b] += np.add.reduce(near.view(np.uint8), axis=0, dtype=np.uint8)
+            least = distance.min(axis=0)
+            closer = np.flatnonzero(least < best[1][a:b])
+            best[1][a + closer], nearest[1][a + closer] = least[closer], left[0][i + distance[:, closer].argmin(axis=0)]
+        near &= known[0][i:j, None] != known[1][None, a:b]
+        apart = np.flatnonzero(near.any(axis=1)).tolist()
+        for k in apart:
+            groups.join(int(known[0][i + k]), known[1][a:b][near[k]])
+        if apart:
+            known[0][i:j], known[1][a:b] = groups.roots(known[0][i:j]), groups.roots(known[1][a:b])
     number = np.concatenate([left[0], right[0]])[order] if two else left[0][order]
     root = number[groups.roots(place)]
     for side, tile in enumerate((left, right) if two else (left,)):
@@ -95,6 +94,10 @@ def _compared(one: tuple, two: tuple | None, most: int) -> Iterator[tuple]:
         yield tile[0][some], links[side][some], best[side][some], nearest[side][some], root[side * n : side * n + len(tile[0])][some]
 
 
+#: Farther than any two fingerprints are.
+_FAR = 255
+
+
 def _comparison(most: int):
     """Rows of _TILES sorted by part, the left tiles of a part first, to rows of _FOUND."""
 
@@ -119,19 +122,6 @@ def _comparison(most: int):
     return run
 
 
-def numbered(rows: DataFrame) -> DataFrame:
-    """rows with `number`, in the order of ids: of two ids the smaller has the smaller number. Written, so that numbers stay."""
-    ordered = rows.repartitionByRange(partitions(rows.sparkSession), "id").sortWithinPartitions("id")
-    return written(ordered.withColumn("number", F.monotonically_increasing_id()), "prints")
-
-
-def _packed(rows: DataFrame, tiles: int) -> DataFrame:
-    """tile, number, hi, lo: the fingerprints of each tile as arrays in the order of their numbers; dealt by hash, so tiles are alike in size."""
-    dealt = rows.select(F.pmod(F.xxhash64("number"), F.lit(tiles)).cast("int").alias("tile"), F.struct("number", "hi", "lo").alias("f"))
-    packed = dealt.groupBy("tile").agg(F.array_sort(F.collect_list("f")).alias("t"))
-    return packed.select("tile", "t.number", "t.hi", "t.lo")
-
-
 def link_summary(prints: DataFrame, threshold: float = 0.85, bits: int = 128, tile: int = TILE) -> DataFrame:
     """id, representative, copies, n_links, nearest, similarity, group_id of every document.
 
@@ -144,23 +134,15 @@ def link_summary(prints: DataFrame, threshold: float = 0.85, bits: int = 128, ti
     prints = written(prints.select("id", "sha", "hi", "lo"), "fingerprints")  # read several times, computed once
     texts = numbered(classes(prints).select(F.col("representative").alias("id"), "members", "hi", "lo"))
     compared = texts.where("hi <> 0 or lo <> 0")
-    # tiles enough for every core even where texts are few; one key never holds more than its tile
     many = compared.count() if most >= 0 else 0
-    tiles = max(math.ceil(many / tile), min(math.isqrt(4 * n) + 1, math.ceil(many / 64)), 1)
-    packed = written(_packed(compared, tiles), "tiles")
-    # a part is a left tile with a run of right tiles; pairs of tiles are met once, the lower tile on the left
-    run = max(1, math.ceil(tiles * (tiles + 1) / 2 / max(8 * n, tiles)))
-    runs = math.ceil(tiles / run)
-    part = lambda left, k: left.cast("long") * runs + k
-    own = (F.col("tile") / run).cast("int")
-    lefts = packed.select("*", F.explode(F.sequence(own, F.lit(runs - 1))).alias("k"))
-    lefts = lefts.select(part(F.col("tile"), F.col("k")).alias("part"), F.lit(True).alias("left_side"), (F.col("k") == own).alias("same"), "tile", "number", "hi", "lo")
-    rights = packed.where("tile > 0").select("*", F.explode(F.sequence(F.lit(0), F.col("tile") - 1)).alias("other"))
-    rights = rights.select(part(F.col("other"), own).alias("part"), F.lit(False).alias("left_side"), F.lit(False).alias("same"), "tile", "number", "hi", "lo")
-    dealt = lefts.unionByName(rights).repartition(max(n, min(8 * n, tiles * runs)), "part").sortWithinPartitions("part", F.desc("left_side"), "tile")
-    found = written(dealt.mapInArrow(_comparison(most), _FOUND), "compared")
-    summed = found.groupBy("number").agg(F.sum("links").alias("n_links"), F.min(F.struct("distance", "nearest")).alias("best"))
-    roots = components(found.select(F.col("number").alias("a"), F.col("root").alias("b")))
+    tiles = tiles_for(many, tile, n)
+    found = met(written(packed(compared, tiles), "tiles"), tiles).mapInArrow(_comparison(most), _FOUND)
+    # a text has a row from each pair of tiles; its least root stands for its others from here on
+    gathered = found.groupBy("number").agg(
+        F.sum("links").alias("n_links"), F.min(F.struct("distance", "nearest")).alias("best"), F.min("root").alias("least"), F.collect_set("root").alias("roots")
+    )
+    summed = written(gathered, "compared")
+    roots = components(summed.select(F.explode(F.array_union("roots", F.array("number"))).alias("a"), F.col("least").alias("b")))
     named = texts.select("number", F.col("id").alias("representative"), "members")
     near = texts.select(F.col("number").alias("near"), F.col("id").alias("nearest"))
     group = texts.select(F.col("number").alias("of"), F.col("id").alias("group_id"))
@@ -177,21 +159,38 @@ def link_summary(prints: DataFrame, threshold: float = 0.85, bits: int = 128, ti
 
 
 def _closest(one: tuple, two: tuple, k: int, bits: int, best: np.ndarray, number: np.ndarray) -> None:
-    """Puts what tile two has among the k nearest of each fingerprint of tile one into best (distances) and number, by distance, then number."""
-    left, right, m = one, two, len(two[0])
-    step, some = max(1, PAIRS // m), min(k, m)
-    empty = (right[1] == 0) & (right[2] == 0)
-    for i in range(0, len(left[0]), step):
-        j = min(len(left[0]), i + step)
-        distance = np.bitwise_count(left[1][i:j, None] ^ right[1][None, :]).astype(np.int64) + np.bitwise_count(left[2][i:j, None] ^ right[2][None, :])
-        bare = (left[1][i:j] == 0) & (left[2][i:j] == 0)
-        distance[bare[:, None] != empty[None, :]] = bits  # an empty fingerprint is like no other
-        distance[left[0][i:j, None] == right[0][None, :]] = _SELF
-        places = np.argpartition(distance * m + np.arange(m), some - 1, axis=1)[:, :some]
-        found = np.take_along_axis(distance, places, axis=1)
-        both, of = np.concatenate([best[i:j], found], axis=1), np.concatenate([number[i:j], right[0][places]], axis=1)
-        order = np.lexsort((of, both), axis=1)[:, :k]
-        best[i:j], number[i:j] = np.take_along_axis(both, order, axis=1), np.take_along_axis(of, order, axis=1)
+    """Puts what tile two has among the k nearest of each fingerprint of tile one into best (distances) and number, by distance, then number.
+
+    From a piece only what is as near as the k-th so far is ordered.
+    """
+    left, right, distances = one, two, Distances(one, two)
+    empty, bare = (right[1] == 0) & (right[2] == 0), (left[1] == 0) & (left[2] == 0)
+    odd = empty.any() or bare.any()
+    at = np.minimum(np.searchsorted(right[0], left[0]), len(right[0]) - 1)
+    own = np.where(right[0][at] == left[0], at, -1)
+    for i, j, a, b in pieces(len(left[0]), len(right[0])):
+        distance = distances.whole(i, j, a, b)
+        if odd:  # an empty fingerprint is like no other
+            distance[bare[i:j, None] != empty[None, a:b]] = bits
+        itself = np.flatnonzero((own[i:j] >= a) & (own[i:j] < b))
+        distance[itself, own[i + itself] - a] = _FAR
+        worst = np.minimum(best[i:j, -1], bits).astype(np.uint8)
+        if (best[i:j, -1] == _SELF).any():  # not yet k: no more than the k-th of the piece itself can be among them
+            some = min(k, b - a) - 1
+            worst = np.minimum(worst, np.partition(distance, some, axis=1)[:, some])
+            worst[best[i:j, -1] == _SELF] = bits if b - a < k else worst[best[i:j, -1] == _SELF]
+        row, column = np.nonzero(distance <= worst[:, None])
+        if not len(row):
+            continue
+        rows = np.unique(row)
+        place = np.concatenate([np.repeat(rows, k), row])
+        far = np.concatenate([best[i + rows].ravel(), distance[row, column].astype(np.int64)])
+        of = np.concatenate([number[i + rows].ravel(), right[0][a + column]])
+        order = np.lexsort((of, far, place))
+        place = place[order]
+        first = np.searchsorted(place, rows)
+        chosen = order[(first[:, None] + np.arange(k)).ravel()]
+        best[i + rows], number[i + rows] = far[chosen].reshape(-1, k), of[chosen].reshape(-1, k)
 
 
 #: Stands for the distance of a fingerprint to itself, and for a place that nothing has taken.
@@ -229,19 +228,18 @@ def _nearest(k: int, bits: int):
 def most_similar(prints: DataFrame, asked: str, k: int = 10, bits: int = 128, tile: int = TILE) -> DataFrame:
     """query, id, rank, similarity: the k documents most like each document for which `asked` holds, exactly, ties by id.
 
-    prints (id, hi, lo) are stored fingerprints, none is computed again. Queries are packed in tiles
-    eight times as large as those of the documents; each tile of queries meets every tile of
-    documents, and a task gives on k rows for each of its queries.
+    prints (id, hi, lo) are stored fingerprints, none is computed again. Each tile of queries meets every
+    tile of documents, dealt to a few tasks for each core; a task gives on k rows for each of its queries.
     """
     n = partitions(prints.sparkSession)
     rows = numbered(prints.select("id", "hi", "lo"))
     chosen = rows.where(asked)
     many, few = rows.count(), chosen.count()
     tiles = max(math.ceil(many / tile), min(4 * n, math.ceil(many / 64)), 1)
-    lots = max(math.ceil(few / (8 * tile)), 1)
-    runs = max(1, min(tiles, math.ceil(8 * n / lots)))
-    rights = written(_packed(rows, tiles), "tiles").select("*", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
-    lefts = _packed(chosen, lots).select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
+    lots = max(math.ceil(few / tile), 1)
+    runs = max(1, min(tiles, math.ceil(4 * prints.sparkSession.sparkContext.defaultParallelism / lots)))
+    rights = written(packed(rows, tiles), "tiles").select("*", F.explode(F.sequence(F.lit(0), F.lit(lots - 1))).alias("lot"))
+    lefts = packed(chosen, lots).select("*", F.explode(F.sequence(F.lit(0), F.lit(runs - 1))).alias("run"))
     part = lambda lot, run: F.col(lot).cast("long") * runs + run
     shape = ("tile", "number", "hi", "lo")
     lefts = lefts.select(part("tile", F.col("run")).alias("part"), F.lit(True).alias("left_side"), *shape)
