@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from docketspark.plans.schema import CASE_SCHEMA, Schema
+from docketspark.plans.stored import partitions
 
 #: The typed columns of a case.
 CASE_TYPE = T.StructType(
@@ -43,12 +44,17 @@ def write_documents(cases: DataFrame, path: str) -> None:
     every document as it was. Rows without an id are left out; of a repeated id the last by
     `_scraped_at`, if there is one, then by hash. A folder a document is for exports of a size that
     a file system can list; the store is for all else.
+
+    The cost is that of files, not of bytes, so documents are dealt to a given number of tasks: by
+    their bytes AQE would leave them all to one or two. They are dealt by a hash of the id, as the
+    optimizer drops a second dealing by the id itself.
     """
     named = cases.where(F.coalesce(F.col("id").cast("string"), F.lit("")) != "")
     rest = [c for c in named.columns if c != "id"]
     order = F.struct(*([F.col("_scraped_at")] if "_scraped_at" in rest else []), F.xxhash64(*rest) if rest else F.lit(0))
     one = named.groupBy("id").agg(F.max_by(F.struct("id", *rest), order).alias("r")).select(F.col("id").alias("document"), "r.*")
-    writer = one.repartition("document").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("pretty", True)
+    n = max(partitions(cases.sparkSession), cases.sparkSession.sparkContext.defaultParallelism)
+    writer = one.repartition(n, F.xxhash64("document")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("pretty", True)
     writer.partitionBy("document").json(path)
 
 

@@ -1,6 +1,7 @@
 """Limits of successes, budgets, resumed ingest, one case validated, folders reported."""
 
 import json
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -136,6 +137,14 @@ def test_documents_by_id(spark, tmp_path):
     assert kept == {"a/1": "A", "b:2": "B", "c": "new"}
 
 
+def test_documents_are_written_by_many_tasks(spark, tmp_path):
+    """Small documents are many files all the same: AQE must not leave them to one task."""
+    rows = spark.range(64).selectExpr("concat('a/', id) as id", "'x' as title", "cast(id as int) as year")
+    write_documents(rows, str(tmp_path / "d"))
+    tasks = Counter(f.name.split("-")[1] for f in (tmp_path / "d").rglob("part-*.json"))
+    assert sum(tasks.values()) == 64 and len(tasks) >= 4 and max(tasks.values()) <= 32
+
+
 def test_conditions_on_the_year_are_pushed(spark, sf_dir):
     path = f"{sf_dir}/orders.parquet"
     listed = connectors.enumerate_years(spark, "orders", 1990, 2004, path=path)
