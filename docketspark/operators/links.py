@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from docketspark.operators.dedup import classes, members, most_distance
 from docketspark.operators.graph import components
-from docketspark.operators.tiles import TILE, Distances, met, numbered, packed, pieces, tiles_for
+from docketspark.operators.tiles import TILE, Distances, lots, met, numbered, packed, pieces, tiles_for
 from docketspark.plans.stored import partitions, written
 
 _TILES = "part long, left_side boolean, same boolean, tile int, number array<long>, hi array<long>, lo array<long>"
@@ -44,21 +44,46 @@ class _Groups:
                 return found
             found = up
 
-    def join(self, place: int, others: np.ndarray) -> None:
-        found = self.roots(np.append(others, place))
-        self.parent[found] = found.min()
+    def join(self, some: np.ndarray, others: np.ndarray) -> None:
+        """Makes one group of the groups of some[k] and others[k], for each k."""
+        while len(some):
+            some, others = self.roots(some), self.roots(others)
+            apart = some != others
+            some, others = some[apart], others[apart]
+            np.minimum.at(self.parent, np.maximum(some, others), np.minimum(some, others))
+
+    def join_near(self, near: np.ndarray, ours: np.ndarray, theirs: np.ndarray) -> bool:
+        """Joins what is near: places of rows and of columns, by the groups known of them. False if all of it was one before.
+
+        Each row is joined with the first column of another group, then each column with such a row, until none is left.
+        """
+        joined, axis = False, 1
+        while True:
+            if (ours == ours[0]).all():  # most often one group already: few columns are not of it
+                some = np.flatnonzero(theirs != ours[0])
+                near, theirs = near[:, some], theirs[some]
+            near &= ours[:, None] != theirs
+            apart = np.flatnonzero(near.any(axis=axis))
+            if not len(apart):
+                return joined
+            if axis:
+                self.join(ours[apart], theirs[near[apart].argmax(axis=1)])
+            else:
+                self.join(theirs[apart], ours[near[:, apart].argmax(axis=0)])
+            ours, theirs = self.roots(ours), self.roots(theirs)
+            joined, axis = True, 1 - axis
 
 
 def _compared(one: tuple, two: tuple | None, most: int) -> Iterator[tuple]:
-    """(numbers, links, distance, nearest, roots) of tile one against tile two, or against itself; nearest -1 where there is none.
+    """(numbers, links, distance, nearest, roots) of what has links in tile one against tile two, or against itself.
 
-    Tiles are in order of their numbers, so the first of equally near fingerprints has the least number.
+    Tiles are in order of their numbers, so the first of equally near fingerprints of a lot has the least number.
     """
     left, right = one, two or one
     n, m = len(left[0]), len(right[0])
     links = [np.zeros(n, np.int64), np.zeros(m, np.int64)]
-    best = [np.full(n, _FAR, np.uint8), np.full(m, _FAR, np.uint8)]
-    nearest = [np.full(n, -1), np.full(m, -1)]
+    best = [np.full(n, most + 1, np.uint8), np.full(m, most, np.uint8)]
+    nearest = [np.full(n, _NONE), np.full(m, _NONE)]
     # places in order of number, so that the root of a group is its least number whichever tile holds it
     order = np.argsort(np.concatenate([left[0], right[0]]) if two else left[0], kind="stable")
     place = np.empty(len(order), np.int64)
@@ -66,34 +91,36 @@ def _compared(one: tuple, two: tuple | None, most: int) -> Iterator[tuple]:
     groups, distances = _Groups(len(order)), Distances(left, right)
     # what is known of each place's group: two that are one here are one, others may have become one since
     known = [place[:n].astype(np.int32), place[n if two else 0 :].astype(np.int32)]
-    for i, j, a, b in pieces(n, m):
-        distance = distances.whole(i, j, a, b)
-        if two is None and a < j and i < b:
-            own = np.arange(max(i, a), min(j, b))
-            distance[own - i, own - a] = _FAR
+    for rows, columns in lots(left, right, most):
+        distance = distances.of(rows, columns).whole(0, len(rows), 0, len(columns))
+        if two is None:
+            own = np.flatnonzero(np.isin(rows, columns, assume_unique=True))
+            distance[own, np.searchsorted(columns, rows[own])] = _FAR
         near = distance <= most
-        links[0][i:j] += np.bitwise_count(np.packbits(near, axis=1)).sum(axis=1, dtype=np.int64)
+        links[0][rows] += np.bitwise_count(np.packbits(near, axis=1)).sum(axis=1, dtype=np.int64)
         least = distance.min(axis=1)
-        closer = np.flatnonzero(least < best[0][i:j])
-        best[0][i + closer], nearest[0][i + closer] = least[closer], right[0][a + distance[closer].argmin(axis=1)]
+        closer = np.flatnonzero(least < best[0][rows])
+        best[0][rows[closer]], nearest[0][rows[closer]] = least[closer], right[0][columns[distance[closer].argmin(axis=1)]]
         if two is not None:
-            links[1][a:b] += np.add.reduce(near.view(np.uint8), axis=0, dtype=np.uint8)
+            links[1][columns] += np.add.reduce(near.view(np.uint8), axis=0, dtype=np.uint8)
             least = distance.min(axis=0)
-            closer = np.flatnonzero(least < best[1][a:b])
-            best[1][a + closer], nearest[1][a + closer] = least[closer], left[0][i + distance[:, closer].argmin(axis=0)]
-        near &= known[0][i:j, None] != known[1][None, a:b]
-        apart = np.flatnonzero(near.any(axis=1)).tolist()
-        for k in apart:
-            groups.join(int(known[0][i + k]), known[1][a:b][near[k]])
-        if apart:
-            known[0][i:j], known[1][a:b] = groups.roots(known[0][i:j]), groups.roots(known[1][a:b])
+            closer = np.flatnonzero(least <= best[1][columns])
+            found, at = left[0][rows[distance[:, closer].argmin(axis=0)]], columns[closer]
+            # lots are not in the order of numbers
+            least = least[closer]
+            better = (least < best[1][at]) | (found < nearest[1][at])
+            best[1][at[better]], nearest[1][at[better]] = least[better], found[better]
+        if groups.join_near(near, known[0][rows], known[1][columns]):
+            known[0][rows], known[1][columns] = groups.roots(known[0][rows]), groups.roots(known[1][columns])
     number = np.concatenate([left[0], right[0]])[order] if two else left[0][order]
     root = number[groups.roots(place)]
     for side, tile in enumerate((left, right) if two else (left,)):
-        some = best[side] <= most
+        some = nearest[side] != _NONE
         yield tile[0][some], links[side][some], best[side][some], nearest[side][some], root[side * n : side * n + len(tile[0])][some]
 
 
+#: Larger than any number of a fingerprint.
+_NONE = (1 << 63) - 1
 #: Farther than any two fingerprints are.
 _FAR = 255
 
@@ -133,9 +160,8 @@ def link_summary(prints: DataFrame, threshold: float = 0.85, bits: int = 128, ti
     n, most = partitions(prints.sparkSession), most_distance(threshold, bits)
     prints = written(prints.select("id", "sha", "hi", "lo"), "fingerprints")  # read several times, computed once
     texts = numbered(classes(prints).select(F.col("representative").alias("id"), "members", "hi", "lo"))
-    compared = texts.where("hi <> 0 or lo <> 0")
-    many = compared.count() if most >= 0 else 0
-    tiles = tiles_for(many, tile, n)
+    compared = texts.where(F.lit(most >= 0)).where("hi <> 0 or lo <> 0")
+    tiles = tiles_for(compared.count(), tile, n)
     found = met(written(packed(compared, tiles), "tiles"), tiles).mapInArrow(_comparison(most), _FOUND)
     # a text has a row from each pair of tiles; its least root stands for its others from here on
     gathered = found.groupBy("number").agg(

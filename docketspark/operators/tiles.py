@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from copy import copy
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -15,6 +16,8 @@ from docketspark.plans.stored import partitions, written
 TILE = 1 << 16
 #: Pairs compared at a time: rows and columns of a piece of two tiles. Counts of a piece's rows fit in a byte.
 ROWS, COLUMNS = 1 << 6, 1 << 12
+#: Fingerprints of a tile whose distances to all others say which of them are too far apart to be compared.
+PIVOTS = 16
 
 
 def numbered(rows: DataFrame) -> DataFrame:
@@ -59,6 +62,42 @@ def pieces(n: int, m: int) -> Iterator[tuple[int, int, int, int]]:
             yield i, min(n, i + ROWS), a, min(m, a + COLUMNS)
 
 
+def lots(left: tuple, right: tuple, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(rows, columns): places of left and of right, ascending, a piece at a time; each pair at most that far apart is in one of them, once.
+
+    Rows that are alike are a lot, by the nearest of a few pivots and its distance. A column whose distance to a
+    pivot differs by more than `most` from those of the lot is farther than that from all of it (triangle
+    inequality) and is left out. The lots come one after the other, the columns of a lot in ascending order.
+    """
+    n, m = len(left[0]), len(right[0])
+    pivots = tuple(x[:: max(1, math.ceil(n / PIVOTS))] for x in left)
+    rows_far, columns_far = (_to_pivots(side, pivots) for side in (left, right))
+    order = np.lexsort((rows_far.min(axis=0), rows_far.argmin(axis=0)))
+    possible, inside, shifted = np.empty(m, bool), np.empty(m, bool), np.empty(m, np.uint8)
+    for i in range(0, n, ROWS):
+        rows = np.sort(order[i : i + ROWS])
+        far = rows_far[:, rows].astype(np.int64)
+        low = np.maximum(far.min(axis=1) - most, 0)
+        width = far.max(axis=1) + most - low
+        possible[:] = True
+        for k, away in enumerate(columns_far):  # low <= away <= low + width: as unsigned bytes, one comparison
+            if width[k] < _BITS:
+                np.subtract(away, np.uint8(low[k]), out=shifted)
+                possible &= np.less_equal(shifted, np.uint8(width[k]), out=inside)
+        columns = np.flatnonzero(possible)
+        for a in range(0, len(columns), COLUMNS):
+            yield rows, columns[a : a + COLUMNS]
+
+
+#: Bits of a fingerprint at most.
+_BITS = 128
+
+
+def _to_pivots(side: tuple, pivots: tuple) -> np.ndarray:
+    """The distances of a tile's fingerprints to each pivot, a row a pivot."""
+    return np.stack([np.bitwise_count(side[1] ^ hi) + np.bitwise_count(side[2] ^ lo) for hi, lo in zip(pivots[1], pivots[2], strict=True)])
+
+
 class Distances:
     """Hamming distances of the pieces of two tiles (number, hi, lo), as bytes in an array that the next piece overwrites."""
 
@@ -67,6 +106,12 @@ class Distances:
         size = min(ROWS, len(left[0])) * min(COLUMNS, len(right[0]))
         self._word, self._hi, self._lo = np.empty(size, np.uint64), np.empty(size, np.uint8), np.empty(size, np.uint8)
 
+    def of(self, rows: np.ndarray, columns: np.ndarray) -> Distances:
+        """The distances of these places only, in the same arrays; see `lots`."""
+        some = copy(self)
+        some.left, some.right = ((None, side[1][at], side[2][at]) for side, at in ((self.left, rows), (self.right, columns)))
+        return some
+
     def _half(self, word: int, i: int, j: int, a: int, b: int, out: np.ndarray) -> np.ndarray:
         shape, size = (j - i, b - a), (j - i) * (b - a)
         differ, found = self._word[:size].reshape(shape), out[:size].reshape(shape)
@@ -80,14 +125,17 @@ class Distances:
     def within(self, most: int, i: int, j: int, a: int, b: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(row, column, distance) of the pairs at most that far apart; low halves are compared where few high ones are left."""
         found = self._half(1, i, j, a, b, self._hi)
-        cell = np.flatnonzero(found <= most)
-        if 16 * len(cell) > found.size:
+        near = found <= most
+        whole = 16 * np.count_nonzero(near) > found.size
+        if whole:
             np.add(found, self._half(2, i, j, a, b, self._lo), out=found)
-            cell = np.flatnonzero(found <= most)
-            row, column = np.divmod(cell, b - a)
-            return i + row, a + column, found.ravel()[cell]
-        row, column = np.divmod(cell, b - a)
-        row, column = i + row, a + column
-        distance = found.ravel()[cell] + np.bitwise_count(self.left[2][row] ^ self.right[2][column])
+            np.less_equal(found, most, out=near)
+        cell, starts = np.flatnonzero(near), np.arange(j - i + 1) * (b - a)
+        row = np.repeat(np.arange(j - i), np.diff(np.searchsorted(cell, starts)))
+        column, distance = a + cell - starts[row], found.ravel()[cell]
+        row += i
+        if whole:
+            return row, column, distance
+        distance += np.bitwise_count(self.left[2][row] ^ self.right[2][column])
         near = distance <= most
         return row[near], column[near], distance[near]

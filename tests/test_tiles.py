@@ -69,3 +69,48 @@ def test_near_pairs_of_many_tiles(spark):
     want = sorted((a, b, 1 - (x ^ y).bit_count() / 128) for a, x in reps for b, y in reps if a < b and (x ^ y).bit_count() <= 19)
     found = dedup.near_pairs(table(spark, rows), 0.85, tile=9).select("id_a", "id_b", "similarity")
     assert sorted(map(tuple, found.collect())) == want
+
+
+@pytest.mark.parametrize("most", [0, 6, 19, 128])
+def test_lots_hold_each_near_pair_once(sized, most):
+    one, two = tile(5, 90, 0), tile(5, 75, 1)
+    d, seen = far(one, two), np.zeros((90, 75), int)
+    for rows, columns in tiles.lots(one, two, most):
+        assert len(rows) <= tiles.ROWS and len(columns) <= tiles.COLUMNS
+        assert (np.diff(rows) > 0).all() and (np.diff(columns) > 0).all()
+        assert (tiles.Distances(one, two).of(rows, columns).whole(0, len(rows), 0, len(columns)) == d[np.ix_(rows, columns)]).all()
+        seen[np.ix_(rows, columns)] += 1
+    assert seen.max() == 1 and (seen[d <= most] == 1).all()
+
+
+def clustered(n):
+    """Texts around three far centres, in no order; all near pairs are within a centre."""
+    rng = np.random.default_rng(8)
+    which, bit = rng.integers(0, 3, n), rng.integers(0, 64, n).astype(np.uint64)
+    words = np.array([0x0, 0xFFFFFFFFFFFFFFFF, 0xFFFFFFFF], np.uint64)[which] ^ (np.uint64(1) << bit)
+    return np.arange(n), words, words ^ (np.uint64(3) << np.minimum(bit, np.uint64(62)))
+
+
+def test_far_clusters_are_not_compared(monkeypatch):
+    """Of three equal clusters a third of the pairs is compared, for links."""
+    monkeypatch.setattr(tiles, "ROWS", 8)
+    cells, real = [], tiles.Distances._half
+    monkeypatch.setattr(tiles.Distances, "_half", lambda self, word, i, j, a, b, out: cells.append((j - i) * (b - a) if word == 1 else 0) or real(self, word, i, j, a, b, out))
+    one, n = clustered(1200), 1200
+    links_found = sum(int(n_links.sum()) for _, n_links, *_ in links._compared(one, None, 12))
+    assert links_found == (far(one, one) <= 12).sum() - n and sum(cells) < 0.4 * n * n
+
+
+def test_groups_are_joined_by_rounds():
+    """Joins of a piece are a few rounds over arrays, not one for each row, and find the groups that one by one would."""
+    rng = np.random.default_rng(4)
+    near = rng.random((64, 500)) < 0.004
+    groups, root = links._Groups(564), list(range(564))
+    calls, real = [], groups.join
+    groups.join = lambda some, others: calls.append(1) or real(some, others)
+    assert groups.join_near(near.copy(), np.arange(64), np.arange(64, 564)) and len(calls) < 16
+    assert not groups.join_near(near.copy(), groups.roots(np.arange(64)), groups.roots(np.arange(64, 564)))
+    for _ in range(564):
+        for x, y in np.argwhere(near).tolist():
+            root[x] = root[64 + y] = min(root[x], root[64 + y])
+    assert groups.roots(np.arange(564)).tolist() == root
