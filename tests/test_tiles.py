@@ -1,6 +1,7 @@
 """Tiles of fingerprints compared piece by piece give what all pairs give, whatever the pieces."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from docketspark.operators import dedup, links, tiles
@@ -92,13 +93,19 @@ def clustered(n):
 
 
 def test_far_clusters_are_not_compared(monkeypatch):
-    """Of three equal clusters a third of the pairs is compared, for links."""
+    """Of three equal clusters a third of the pairs is compared, for links as for pairs."""
     monkeypatch.setattr(tiles, "ROWS", 8)
     cells, real = [], tiles.Distances._half
     monkeypatch.setattr(tiles.Distances, "_half", lambda self, word, i, j, a, b, out: cells.append((j - i) * (b - a) if word == 1 else 0) or real(self, word, i, j, a, b, out))
     one, n = clustered(1200), 1200
     links_found = sum(int(n_links.sum()) for _, n_links, *_ in links._compared(one, None, 12))
     assert links_found == (far(one, one) <= 12).sum() - n and sum(cells) < 0.4 * n * n
+    cells.clear()
+    ids = pa.array([f"{k:04d}" for k in range(n)])
+    row = {"left_side": [True], "same": [True], "number": [one[0]], "hi": [one[1].view(np.int64)], "lo": [one[2].view(np.int64)], "id": pa.ListArray.from_arrays([0, n], ids)}
+    found = list(dedup._near(12)(iter([pa.RecordBatch.from_pydict(row)])))
+    assert sum(len(b.column("pairs").values) for b in found) == links_found // 2 and sum(cells) < 0.4 * n * n
+    assert sum(len(b.column(c).values) for b in found for c in ("firsts", "seconds")) < links_found // 2 // 2, "an id leaves a task for several pairs"
 
 
 def test_groups_are_joined_by_rounds():
