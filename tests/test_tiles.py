@@ -3,6 +3,7 @@
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from docketspark.operators import dedup, links, tiles
 from tests.test_links import prints, table
@@ -121,3 +122,13 @@ def test_groups_are_joined_by_rounds():
         for x, y in np.argwhere(near).tolist():
             root[x] = root[64 + y] = min(root[x], root[64 + y])
     assert groups.roots(np.arange(564)).tolist() == root
+
+
+def test_rendered_formats_no_pair(spark):
+    rows = [("a", "b", 1 - d / 128, "simhash") for d in range(129)] + [("a", "b", 0.123, "x"), ("a", None, None, None)]
+    pairs = spark.createDataFrame(rows, "id_a string, id_b string, similarity double, method string")
+    want = F.format_string("%s <-> %s (%.1f%% similar, %s)", "id_a", "id_b", F.col("similarity") * 100, "method")
+    lines = dedup.rendered(pairs)
+    assert lines.where(~F.col("line").eqNullSafe(want)).count() == 0 and lines.count() == 131
+    plan = lines._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("format_string") == 1, "only what no fingerprint can have is formatted"
